@@ -6,7 +6,7 @@ over an array), so it stays inside whole-stage codegen / the JVM; no Python UDF.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values (must equal the reference's behaviour) -------------------------
@@ -111,3 +111,20 @@ def lenient_datetime_ok(s: Column) -> Column:
 def strict_datetime_ok(s: Column) -> Column:
     """A real calendar timestamp in ``DATETIME_FORMAT`` (the strict option)."""
     return F.try_to_timestamp(s, F.lit(DATETIME_FORMAT)).isNotNull()
+
+
+def split_once(lines: DataFrame, sep: str, col: str = "value", out: str = "_parts") -> DataFrame:
+    """Add the Java split of ``col`` as column ``out``, evaluated once per row.
+
+    The split is wrapped in a one-element ``explode``: Catalyst cannot push a
+    filter below a generator, so the filters that follow read the array instead
+    of re-inlining the regex/split into every predicate (which multiplies the
+    per-row work and makes the generated method too large for the JIT).
+    """
+    return lines.select("*", F.explode(F.array(java_split(F.col(col), sep))).alias(out))
+
+
+def evaluate_once(df: DataFrame, *cols: Column) -> DataFrame:
+    """Project ``cols`` (all aliased) through a one-row generator so that later
+    filters and projections reference the computed values, not their formulas."""
+    return df.select(F.inline(F.array(F.struct(*cols))))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.functions.parsing import java_split
+from tessera.functions.parsing import split_once
 from tessera.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, bounded_rows
 
 # --- fixed values ------------------------------------------------------------------
@@ -19,8 +19,8 @@ def parse_ip_rules(lines: DataFrame) -> DataFrame:
     """``|``-separated rule lines -> ``(start, end, province)``; fields 2, 3 and 6.
 
     Uses throwing casts: a malformed rule fails the job."""
-    parts = java_split(F.col("value"), "|")
-    return lines.select(F.element_at(parts, 3).cast("bigint").alias("start"),
+    parts = F.col("_parts")
+    return split_once(lines, "|").select(F.element_at(parts, 3).cast("bigint").alias("start"),
                         F.element_at(parts, 4).cast("bigint").alias("end"),
                         F.element_at(parts, 7).alias("province"))
 

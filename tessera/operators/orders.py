@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.parsing import field, ip_to_long, is_ipv4, java_split, parse_double, parse_float
+from tessera.functions.parsing import (evaluate_once, field, ip_to_long, is_ipv4, parse_double,
+                                       parse_float, split_once)
 
 ORDER_COLUMNS = ("user", "ip", "category", "item", "price", "amount", "total")
 POLICIES = ("strict", "lenient")
@@ -25,19 +26,26 @@ def parse_orders(lines: DataFrame, policy: str = "strict") -> DataFrame:
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}")
-    parts = java_split(F.col("value"), " ")
-    ip_text = field(parts, 1)
-    price = parse_double(field(parts, 4))
-    amount = parse_float(field(parts, 5))
-    ip = ip_to_long(ip_text)
-    ok = (F.size(parts) == 6) & price.isNotNull() & amount.isNotNull()
-    ok = ok & (is_ipv4(ip_text) if policy == "strict" else ip.isNotNull())
     extra = [c for c in lines.columns if c != "value"]
-    typed = lines.where(ok).select(
-        field(parts, 0).alias("user"), ip.alias("ip"), field(parts, 2).alias("category"),
-        field(parts, 3).alias("item"), price.alias("price"), amount.alias("amount"), *extra)
-    return typed.select(*ORDER_COLUMNS[:-1],
-                        (F.col("price") * F.col("amount").cast("double")).alias("total"), *extra)
+    parts = F.col("_parts")
+    typed = evaluate_once(
+        split_once(lines, " "),
+        F.size(parts).alias("_n"), field(parts, 0).alias("user"), field(parts, 1).alias("_ip_text"),
+        field(parts, 2).alias("category"), field(parts, 3).alias("item"),
+        parse_double(field(parts, 4)).alias("price"), parse_float(field(parts, 5)).alias("amount"),
+        *[F.col(c) for c in extra])
+    ok = (F.col("_n") == 6) & F.col("price").isNotNull() & F.col("amount").isNotNull()
+    if policy == "strict":
+        ok = ok & is_ipv4(F.col("_ip_text"))
+        ip = ip_to_long(F.col("_ip_text"))
+    else:
+        typed = evaluate_once(typed, *[F.col(c) for c in typed.columns],
+                              ip_to_long(F.col("_ip_text")).alias("_ip"))
+        ok = ok & F.col("_ip").isNotNull()
+        ip = F.col("_ip")
+    return typed.where(ok).select(
+        "user", ip.alias("ip"), "category", "item", "price", "amount",
+        (F.col("price") * F.col("amount").cast("double")).alias("total"), *extra)
 
 
 def order_total(orders: DataFrame) -> DataFrame:

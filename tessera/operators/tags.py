@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.parsing import field, java_split
+from tessera.functions.parsing import field, split_once
 from tessera.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 
 TAG_VALUES = ("male", "female", "age1", "age2", "age3", "age4", "age5")
@@ -19,12 +19,12 @@ def parse_tags(lines: DataFrame, order_col: str | None = "line_no") -> DataFrame
     job, as in the reference, instead of silently skewing every profile.
     ``app_id`` stays the raw string (``"007"`` is not ``"7"``).
     """
-    parts = java_split(F.col("value"), "|")
+    parts = F.col("_parts")
     cols = [field(parts, 0).alias("app_id"), field(parts, 1).alias("name")]
     cols += [F.element_at(parts, i + 3).cast("double").alias(v) for i, v in enumerate(TAG_VALUES)]
     if order_col is not None:
         cols.append(F.col(order_col))
-    return lines.select(*cols)
+    return split_once(lines, "|").select(*cols)
 
 
 def dedupe_last_wins(tags: DataFrame, order_col: str = "line_no") -> DataFrame:

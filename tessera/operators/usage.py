@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.parsing import field, is_blank, java_split, parse_int, parse_long
+from tessera.functions.parsing import (evaluate_once, field, is_blank, parse_int, parse_long,
+                                       split_once)
 
 # Field positions in a usage line (fixed by the log format).
 MDN_IDX, TIMES_IDX, APP_IDX = 0, 12, 15
@@ -17,8 +18,9 @@ POLICIES = ("strict", "lenient")
 def parse_usage(lines: DataFrame) -> DataFrame:
     """``DF[value]`` -> ``DF[mdn, app_id, times]`` with NULL where a field is missing
     or unparsable. ``app_id`` is the re-printed int (``"007"`` -> ``"7"``)."""
-    parts = java_split(F.col("value"), "|")
-    return lines.select(
+    parts = F.col("_parts")
+    return evaluate_once(
+        split_once(lines.select("value"), "|"),
         field(parts, MDN_IDX).alias("mdn"),
         parse_int(field(parts, APP_IDX)).cast("string").alias("app_id"),
         parse_long(field(parts, TIMES_IDX)).alias("times"))

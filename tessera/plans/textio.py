@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.parsing import field, java_split, parse_double, parse_long
+from tessera.functions.parsing import evaluate_once, field, parse_double, parse_long, split_once
 from tessera.operators.profile import PROFILE_VALUES
 
 
@@ -21,10 +21,11 @@ def profile_to_text(profiles: DataFrame) -> DataFrame:
 
 def profile_from_text(lines: DataFrame) -> DataFrame:
     """Lines with 8 fields; a value that is not a Java double fails the row."""
-    parts = java_split(F.col("value"), "|")
+    parts = F.col("_parts")
     vals = [parse_double(field(parts, i + 1)).alias(n) for i, n in enumerate(PROFILE_VALUES)]
-    out = lines.select(field(parts, 0).alias("mdn"), *vals)
-    return out.where(F.size(parts) == 8).dropna()
+    out = evaluate_once(split_once(lines.select("value"), "|"), F.size(parts).alias("_n"),
+                        field(parts, 0).alias("mdn"), *vals)
+    return out.where(F.col("_n") == 8).drop("_n").dropna()
 
 
 def usage_sums_to_text(sums: DataFrame) -> DataFrame:
@@ -34,9 +35,9 @@ def usage_sums_to_text(sums: DataFrame) -> DataFrame:
 def usage_sums_from_text(lines: DataFrame) -> DataFrame:
     """Only lines with exactly three fields are usage sums; the app id is kept as
     written and a time that is not a Java long fails the job."""
-    parts = java_split(F.col("value"), "|")
+    parts = F.col("_parts")
     times = parse_long(field(parts, 2))
-    return lines.where(F.size(parts) == 3).select(
+    return split_once(lines.select("value"), "|").where(F.size(parts) == 3).select(
         field(parts, 0).alias("mdn"), field(parts, 1).alias("app_id"),
         F.coalesce(times, F.raise_error(F.lit("usage sum time is not a long")).cast("bigint"))
         .alias("times"))
