@@ -1,0 +1,22 @@
+from tessera.operators.appstats import clean_appstats
+from tests.conftest import lines_df
+
+LINES = [
+    "1.2.3.4,u,click,2020-01-01 10:00:00,9",          # ok
+    "1.2.3.4,u,click,2020-13-40 25:61:61,9",          # lenient calendar: ok
+    "1.2.3.4,u,click,2020-01-01 10:00:00xyz,9",       # trailing junk: ok
+    "1.2.3.4,u,click,2020-01-01 10:00:00,9,",         # trailing empty field dropped: ok
+    "0.2.3.4,u,click,2020-01-01 10:00:00,9",          # bad ip
+    "1.2.3.4,u,click,x,9",                            # bad date
+    "1.2.3.4,u,click,2020-01-01 10:00:00",            # 4 fields
+    "1.2.3.4,u,click,2020-01-01 10:00:00,9,extra",    # 6 fields
+    "",
+]
+
+
+def test_appstats_lenient_and_strict(spark):
+    df = lines_df(spark, LINES)
+    lenient = [r.value for r in clean_appstats(df).collect()]
+    assert sorted(lenient) == sorted(LINES[:4])
+    strict = [r.value for r in clean_appstats(df, "strict").collect()]
+    assert sorted(strict) == sorted([LINES[0], LINES[3]])

@@ -1,0 +1,89 @@
+"""Java parsing parity of the column expressions."""
+
+import math
+
+from pyspark.sql import functions as F
+
+from tessera.functions import parsing as P
+
+
+def _eval(spark, values, expr_fn, typ="string"):
+    df = spark.createDataFrame([(v,) for v in values], f"v {typ}")
+    return [r[0] for r in df.select(expr_fn(F.col("v")).alias("r")).collect()]
+
+
+def test_java_split_drops_trailing_empty_fields(spark):
+    got = _eval(spark, ["a|b||", "a||b", "", "|||", "|a", "a"], lambda c: P.java_split(c, "|"))
+    assert got == [["a", "b"], ["a", "", "b"], [""], [], ["", "a"], ["a"]]
+
+
+def test_java_split_space_and_dot(spark):
+    assert _eval(spark, ["A 1.2.3.4 c i 10 2 "], lambda c: F.size(P.java_split(c, " "))) == [6]
+    assert _eval(spark, ["1.2.3.", "..."], lambda c: P.java_split(c, ".")) == [["1", "2", "3"], []]
+
+
+def test_parse_int_like_java(spark):
+    vals = ["7", "+7", "-7", "007", " 7", "7 ", "", "x", "2147483647", "2147483648", "1.0"]
+    assert _eval(spark, vals, P.parse_int) == [7, 7, -7, 7, None, None, None, None, 2147483647,
+                                               None, None]
+
+
+def test_parse_long_like_java(spark):
+    vals = ["-1", "9223372036854775807", "9223372036854775808", "\t5", "1e3"]
+    assert _eval(spark, vals, P.parse_long) == [-1, 9223372036854775807, None, None, None]
+
+
+def test_parse_double_like_java(spark):
+    vals = ["1.5", " 1.5 ", "1e3", "NaN", "+NaN", "-Infinity", "Infinity", "1d", "1.5f", "0x1p3",
+            "nan", "inf", "-inf", "infinity", "INFINITY", "1_0", "", "x", ".5", "1."]
+    got = _eval(spark, vals, P.parse_double)
+    exp = [1.5, 1.5, 1000.0, "nan", "nan", -math.inf, math.inf, 1.0, 1.5, 8.0,
+           None, None, None, None, None, None, None, None, 0.5, 1.0]
+    for g, e in zip(got, exp):
+        if e == "nan":
+            assert isinstance(g, float) and math.isnan(g)
+        else:
+            assert g == e
+
+
+def test_float_widening(spark):
+    # price * amount with the amount parsed as float, then widened to double
+    got = _eval(spark, ["0.1"], lambda c: P.parse_float(c).cast("double") * F.lit(2.0))
+    assert got[0] == 0.20000000298023224
+
+
+def test_ipv4_pattern(spark):
+    vals = ["202.106.196.115", "1.0.0.0", "255.255.255.255", "0.1.1.1", "1.01.1.1", "256.1.1.1",
+            "1.2.3", "1.2.3.4.5", "1.2.3.4 ", "", None, "10.0.0.255"]
+    assert _eval(spark, vals, P.is_ipv4) == [True, True, True, False, False, False, False, False,
+                                             False, False, False, True]
+
+
+def test_ip_to_long(spark):
+    vals = ["202.106.196.115", "1.0.0.0", "255.255.255.255", "0.1.1.1", "1.2.3", "...", "1..2",
+            "300.1.1.1", ""]
+    got = _eval(spark, vals, P.ip_to_long)
+    assert got == [3395994739, 16777216, 4294967295, 65793, 66051, 0, None, (300 << 24) | 65793,
+                   None]
+
+
+def test_ip_from_long_round_trip(spark):
+    vals = [3395994739, 16777216, 4294967295, 0]
+    got = _eval(spark, vals, lambda c: P.ip_to_long(P.ip_from_long(c)), "bigint")
+    assert got == vals
+
+
+def test_lenient_datetime(spark):
+    vals = ["2020-01-01 10:00:00", "2020-13-01 25:00:00", "2020-01-01 10:00:00junk",
+            "2020-1-1 1:1:1", "2020- 01-01 \t10:00:00", "x", "2020-01-01", "2020/01/01 10:00:00",
+            " 2020-01-01 10:00:00", "2020-01-01T10:00:00"]
+    assert _eval(spark, vals, P.lenient_datetime_ok) == [True, True, True, True, True, False,
+                                                         False, False, True, False]
+    assert _eval(spark, ["2020-01-01 10:00:00", "2020-13-01 25:00:00"], P.strict_datetime_ok) == [
+        True, False]
+
+
+def test_split_once_keeps_other_columns(spark):
+    df = spark.createDataFrame([("a|b", 1), ("c||", 2)], "value string, k int")
+    out = P.split_once(df, "|").orderBy("k").collect()
+    assert [(r.k, r._parts) for r in out] == [(1, ["a", "b"]), (2, ["c"])]
