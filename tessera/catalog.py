@@ -17,7 +17,6 @@ from tessera.operators import orders as ord_ops
 from tessera.operators import profile as prof
 from tessera.operators import usage as use
 from tessera.operators.appstats import clean_appstats
-from tessera.operators.ipgeo import attach_province, parse_ip_rules, prepare_rules
 from tessera.operators.partitions import partition_by_user, partition_report
 from tessera.operators.tags import join_tags, tag_library
 from tessera.plans import jobs
@@ -56,8 +55,7 @@ def q_distinct_users(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_record_counts(spark: SparkSession, sf: str) -> DataFrame:
-    usage = use.clean_usage(d.usage_lines(spark, sf))
-    return use.record_counts(usage, use.usage_by_user_app(usage), d.stored_profiles(spark, sf))
+    return use.record_counts(use.clean_usage(d.usage_lines(spark, sf)), d.stored_profiles(spark, sf))
 
 
 # --- tags and profiles -----------------------------------------------------------------
@@ -148,7 +146,7 @@ def _order_source_dir(spark: SparkSession, sf: str, files: int = 4) -> str:
 def q_order_kpi_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Streaming KPIs over the lines in several micro-batches (one file each)."""
     root = scratch_path(spark, "order-kpi")
-    lines = stream_text_dir(spark, _order_source_dir(spark, sf), max_files_per_trigger=1)
+    lines = stream_text_dir(spark, _order_source_dir(spark, sf), max_files_per_trigger=2)
     q = so.start_kpi_query(lines, d.ip_rule_lines(spark, sf), f"{root}/kpi", f"{root}/ckpt",
                            trigger="availableNow")
     q.awaitTermination()
@@ -214,6 +212,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_report": q_partition_report,
 }
 
-# ``attach_province``/``prepare_rules``/``parse_ip_rules`` are re-exported for users
-# composing their own jobs from this module.
-__all__ = ["QUERIES", "attach_province", "prepare_rules", "parse_ip_rules"]

@@ -33,7 +33,6 @@ PRIOR = {"male": 0.5, "female": 0.5, "age1": 0.2, "age2": 0.2, "age3": 0.2, "age
 # ---------------------------------------------------------------------------------
 
 SOURCE_STORE, SOURCE_LOG = "store", "log"
-STEP_FIELDS = ("app_id", "times") + TAG_VALUES
 
 
 def _left_sum(cols: list[Column]) -> Column:
@@ -43,16 +42,33 @@ def _left_sum(cols: list[Column]) -> Column:
     return out
 
 
-def _renormalise(acc: Column, x: Column, names: tuple[str, ...]) -> list[Column]:
-    t = x["times"]
-    d = _left_sum([acc[n] for n in names]) + _left_sum([x[n] for n in names]) * t
-    return [F.when(d != F.lit(0.0), (acc[n] + x[n] * t) / d).otherwise(acc[n]).alias(n)
+def step_struct(times: Column, tag: dict[str, Column], app_id: Column | None = None) -> Column:
+    """One fold step with its state-independent products computed up front.
+
+    ``w_<n> = tag_n * t`` and ``s_gender`` / ``s_age`` = (sum of the group's tag
+    values) * t are exactly the sub-expressions of the update that do not depend
+    on the state, evaluated in the same order, so the fold's results are
+    bit-identical while the per-step work inside the (interpreted) lambda shrinks.
+    ``app_id`` leads the struct so ``array_sort`` orders steps by it.
+    """
+    t = times
+    fields = [] if app_id is None else [app_id.alias("app_id")]
+    fields += [(_left_sum([tag[n] for n in GENDER]) * t).alias("s_gender"),
+               (_left_sum([tag[n] for n in AGES]) * t).alias("s_age")]
+    fields += [(tag[n] * t).alias("w_" + n) for n in PROFILE_VALUES]
+    return F.struct(*fields)
+
+
+def _renormalise(acc: Column, x: Column, names: tuple[str, ...], s: str) -> list[Column]:
+    d = _left_sum([acc[n] for n in names]) + x[s]
+    return [F.when(d != F.lit(0.0), (acc[n] + x["w_" + n]) / d).otherwise(acc[n]).alias(n)
             for n in names]
 
 
 def fold_step(acc: Column, x: Column) -> Column:
-    """One app applied to the state struct (both groups, independently)."""
-    return F.struct(*_renormalise(acc, x, GENDER), *_renormalise(acc, x, AGES))
+    """Apply one step to the state struct: for each group,
+    ``d = sum(state) + sum(tag) * t``; if ``d != 0``: ``state_i = (state_i + tag_i * t) / d``."""
+    return F.struct(*_renormalise(acc, x, GENDER, "s_gender"), *_renormalise(acc, x, AGES, "s_age"))
 
 
 def prior_state() -> Column:
@@ -69,7 +85,8 @@ def collect_steps(tagged_sums: DataFrame) -> DataFrame:
 
     Untagged apps contribute no step but keep the user (``collect_list`` skips
     the NULLs, leaving an empty array)."""
-    step = F.when(F.col("male").isNotNull(), F.struct(*[F.col(c) for c in STEP_FIELDS]))
+    step = F.when(F.col("male").isNotNull(),
+                  step_struct(F.col("times"), {n: F.col(n) for n in TAG_VALUES}, F.col("app_id")))
     return tagged_sums.groupBy("mdn").agg(F.collect_list(step).alias("steps"))
 
 

@@ -58,15 +58,22 @@ def distinct_users(usage: DataFrame) -> DataFrame:
     return usage.agg(F.countDistinct("mdn").alias("users"))
 
 
-def record_counts(usage: DataFrame, sums: DataFrame, store: DataFrame) -> DataFrame:
-    """Row counts of the cleaned log, the usage sums, the store and their union,
-    as ``(metric, n)``."""
-    counts = [usage.agg(F.count(F.lit(1)).alias("n")).withColumn("metric", F.lit("usage_rows")),
-              sums.agg(F.count(F.lit(1)).alias("n")).withColumn("metric", F.lit("usage_sums")),
-              store.agg(F.count(F.lit(1)).alias("n")).withColumn("metric", F.lit("stored_profiles"))]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    merged = out.where(F.col("metric") != "usage_rows").agg(F.sum("n").alias("n")).withColumn(
-        "metric", F.lit("merged_rows"))
-    return out.unionByName(merged).select("metric", "n")
+def record_counts(usage: DataFrame, store: DataFrame) -> DataFrame:
+    """Row counts as ``(metric, n)``: cleaned log rows, usage sums, stored
+    profiles and their union (the merged input of the profile job).
+
+    The log is read once (rows are counted inside the per-(user, app)
+    aggregate); the result is a single action over two one-row aggregates."""
+    u = (usage.groupBy("mdn", "app_id").agg(F.count(F.lit(1)).alias("c"))
+         .agg(F.sum("c").alias("usage_rows"), F.count(F.lit(1)).alias("usage_sums"))
+         .withColumn("stored_profiles", F.lit(0).cast("bigint")))
+    s = store.agg(F.count(F.lit(1)).alias("stored_profiles")).select(
+        F.lit(0).cast("bigint").alias("usage_rows"), F.lit(0).cast("bigint").alias("usage_sums"),
+        "stored_profiles")
+    t = u.unionByName(s).agg(*[F.sum(c).cast("bigint").alias(c)
+                               for c in ("usage_rows", "usage_sums", "stored_profiles")])
+    return t.select(F.inline(F.array(
+        *[F.struct(F.lit(c).alias("metric"), F.col(c).alias("n"))
+          for c in ("usage_rows", "usage_sums", "stored_profiles")],
+        F.struct(F.lit("merged_rows").alias("metric"),
+                 (F.col("usage_sums") + F.col("stored_profiles")).alias("n")))))

@@ -49,6 +49,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _by_order(lineitem: DataFrame) -> DataFrame:
+    """Hash-partition line items by order key ahead of the join with ``orders``.
+
+    A shuffle join on the order key needs exactly this distribution, so on a
+    large input the exchange is the join's own (no extra shuffle); when
+    ``orders`` is small enough to broadcast it still spreads the text building
+    and parsing that follow over all tasks instead of one per input file.
+    """
+    return lineitem.repartition("l_orderkey")
+
+
 def _pseudo_ip(a: Column, mul_a: int, b: Column | None = None, mul_b: int = 0) -> Column:
     x = (a % F.lit(IP_SPAN)) * F.lit(mul_a)
     if b is not None:
@@ -63,8 +74,8 @@ def _spoil_first_octet(ip: Column, spoil: Column) -> Column:
 
 def usage_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Usage log: 16 ``|`` fields, mdn at 0, procedure time at 12, app id at 15."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+    li = _by_order(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     k = F.col("l_orderkey")
@@ -118,7 +129,7 @@ def stored_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders: ``user ip category item price amount`` separated by one space."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    li = _by_order(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)

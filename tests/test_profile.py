@@ -104,8 +104,12 @@ def test_fold_of_concatenation(spark):
     b = [(rng.randint(1, 50), *[rng.random() for _ in range(7)]) for _ in range(4)]
     st = "array<struct<app_id:string,times:bigint," + ",".join(f"{v}:double" for v in TAG_VALUES) + ">>"
     df = spark.createDataFrame([([("x", *r) for r in a], [("x", *r) for r in b])], f"a {st}, b {st}")
-    one = F.aggregate(F.concat("a", "b"), PR.prior_state(), PR.fold_step)
-    two = F.aggregate("b", F.aggregate("a", PR.prior_state(), PR.fold_step), PR.fold_step)
+    def steps(c):
+        return F.transform(c, lambda x: PR.step_struct(x["times"], {n: x[n] for n in TAG_VALUES},
+                                                       x["app_id"]))
+    one = F.aggregate(F.concat(steps("a"), steps("b")), PR.prior_state(), PR.fold_step)
+    two = F.aggregate(steps("b"), F.aggregate(steps("a"), PR.prior_state(), PR.fold_step),
+                      PR.fold_step)
     r = df.select(one.alias("one"), two.alias("two")).collect()[0]
     assert r.one == r.two
 
