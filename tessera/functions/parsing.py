@@ -34,6 +34,12 @@ def _char_class(sep: str) -> str:
     return "[" + ("\\" + sep if sep in "]\\^-[" else sep) + "]"
 
 
+def _split_regex(sep: str) -> str:
+    """The separator as a one-char or backslash-escaped regex: ``String.split``
+    then takes its non-regex fast path instead of compiling a Pattern per row."""
+    return "\\" + sep if sep in ".$|()[{^?*+\\" else sep
+
+
 def java_split(s: Column, sep: str) -> Column:
     """``String.split`` on a one-character separator.
 
@@ -44,7 +50,7 @@ def java_split(s: Column, sep: str) -> Column:
     stripped = F.regexp_replace(s, cls + "+$", "")
     return (F.when(s == F.lit(""), F.array(F.lit("")))
             .when(stripped == F.lit(""), F.array().cast("array<string>"))
-            .otherwise(F.split(stripped, cls)))
+            .otherwise(F.split(stripped, _split_regex(sep))))
 
 
 def field(parts: Column, idx: int) -> Column:

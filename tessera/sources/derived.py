@@ -45,19 +45,37 @@ LAPSED_PREFIX = "L"
 # ---------------------------------------------------------------------------------
 
 
+# Columns of the driver tables used here. Declaring them skips the footer-reading
+# schema inference job on every read; columns not listed are never read anyway.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "part": "p_partkey bigint, p_name string, p_type string, p_retailprice double",
+    "customer": "c_custkey bigint, c_mktsegment string, c_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = TABLE_SCHEMAS.get(name)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def _by_order(lineitem: DataFrame) -> DataFrame:
     """Hash-partition line items by order key ahead of the join with ``orders``.
 
-    A shuffle join on the order key needs exactly this distribution, so on a
-    large input the exchange is the join's own (no extra shuffle); when
-    ``orders`` is small enough to broadcast it still spreads the text building
-    and parsing that follow over all tasks instead of one per input file.
+    A shuffle join on the order key needs exactly this distribution (same key,
+    ``spark.sql.shuffle.partitions`` partitions), so on a large input the
+    exchange is the join's own; when ``orders`` is small enough to broadcast it
+    still spreads the CPU-bound text building and parsing that follow over all
+    tasks. The count is explicit so AQE does not merge these partitions by byte
+    size (the rows are narrow, the work per row is not).
     """
-    return lineitem.repartition("l_orderkey")
+    n = int(lineitem.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return lineitem.repartition(n, "l_orderkey")
 
 
 def _pseudo_ip(a: Column, mul_a: int, b: Column | None = None, mul_b: int = 0) -> Column:
