@@ -27,7 +27,9 @@ from tessera.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS
 
 # --- fixed values -----------------------------------------------------------------
 BATCH_INTERVAL = "20 seconds"           # micro-batch interval of the order job
-HOUR_PARTITIONS = ("year", "month", "day", "hour")
+HOUR_PARTITIONS = ("year", "month", "day", "hour")   # layout "ymdh": yyyy / MM / dd / HH
+HOUR_BUCKET = "dt_hour"                              # layout "hourly": yyyy-MM-dd-HH
+HOUR_BUCKET_FORMAT = "yyyy-MM-dd-HH"
 # -----------------------------------------------------------------------------------
 
 
@@ -71,39 +73,59 @@ def read_kpis(spark: SparkSession, kpi_root: str) -> DataFrame:
     return df.groupBy("metric", "key").agg(F.max_by("value", "batch_id").alias("value"))
 
 
-def hour_columns(zone: str = "UTC") -> list:
-    """Zero-padded processing-time parts in ``zone`` (constant per micro-batch)."""
+def hour_columns(zone: str = "UTC", layout: str = "ymdh") -> list:
+    """Processing-time bucket columns in ``zone`` (constant per micro-batch):
+    zero-padded ``year, month, day, hour`` (layout ``ymdh``) or one
+    ``dt_hour = yyyy-MM-dd-HH`` column (layout ``hourly``)."""
     local = F.convert_timezone(None, F.lit(zone), F.current_timestamp().cast("timestamp_ntz"))
+    if layout == "hourly":
+        return [F.date_format(local, HOUR_BUCKET_FORMAT).alias(HOUR_BUCKET)]
+    if layout != "ymdh":
+        raise ValueError("layout must be 'ymdh' or 'hourly'")
     return [F.date_format(local, fmt).alias(name)
             for name, fmt in zip(HOUR_PARTITIONS, ("yyyy", "MM", "dd", "HH"))]
 
 
-def archive_stream(lines: DataFrame, policy: str = "strict", zone: str = "UTC") -> DataFrame:
-    return parse_orders(lines, policy).select(*ORDER_COLUMNS, *hour_columns(zone))
+def partition_names(layout: str = "ymdh") -> tuple[str, ...]:
+    return HOUR_PARTITIONS if layout == "ymdh" else (HOUR_BUCKET,)
+
+
+def archive_stream(lines: DataFrame, policy: str = "strict", zone: str = "UTC",
+                   layout: str = "ymdh") -> DataFrame:
+    return parse_orders(lines, policy).select(*ORDER_COLUMNS, *hour_columns(zone, layout))
 
 
 def start_archive_query(lines: DataFrame, archive_root: str, checkpoint: str,
                         policy: str = "strict", zone: str = "UTC", fmt: str = "parquet",
                         trigger: str | None = BATCH_INTERVAL,
-                        max_records_per_file: int | None = None) -> StreamingQuery:
+                        max_records_per_file: int | None = None, layout: str = "ymdh",
+                        files_per_batch: int | None = None) -> StreamingQuery:
     """File sink, one directory per processing hour. ``max_records_per_file``
     bounds file size (the rolling size limit); small files of an hour are merged
-    later by ``compact_hour``. Parallelism is left to the source partitions: no
-    ``coalesce(1)`` on the stream, so a large batch is still written in parallel."""
-    w = (archive_stream(lines, policy, zone).writeStream.format(fmt).outputMode("append")
-         .partitionBy(*HOUR_PARTITIONS).option("checkpointLocation", checkpoint)
+    later by ``compact_hour``. By default parallelism is left to the source
+    partitions, so a large batch is still written in parallel;
+    ``files_per_batch=1`` reproduces "one file per batch" (a ``coalesce`` on the
+    stream, narrow, applied per micro-batch) for small streams."""
+    df = archive_stream(lines, policy, zone, layout)
+    if files_per_batch:
+        df = df.coalesce(files_per_batch)
+    w = (df.writeStream.format(fmt).outputMode("append")
+         .partitionBy(*partition_names(layout)).option("checkpointLocation", checkpoint)
          .option("path", archive_root))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
     return _trigger(w, trigger).start()
 
 
-def archive_schema(spark: SparkSession) -> str:
-    return ("user string, ip bigint, category string, item string, price double, amount float, "
-            "total double, year string, month string, day string, hour string")
+ORDER_SCHEMA = ("user string, ip bigint, category string, item string, price double, "
+                "amount float, total double")
+
+
+def archive_schema(layout: str = "ymdh") -> str:
+    return ORDER_SCHEMA + "".join(f", {c} string" for c in partition_names(layout))
 
 
-def read_archive(spark: SparkSession, archive_root: str) -> DataFrame:
+def read_archive(spark: SparkSession, archive_root: str, layout: str = "ymdh") -> DataFrame:
     """The archive through the sink's commit log (only committed files), with
     string partition values (``month=03`` stays ``"03"``)."""
-    return spark.read.schema(archive_schema(spark)).parquet(archive_root)
+    return spark.read.schema(archive_schema(layout)).parquet(archive_root)
