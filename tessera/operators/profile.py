@@ -8,8 +8,8 @@ one, else the prior):
 
 Gender (2 values) and age (5 brackets) are folded independently. The fold is
 order dependent -- every step renormalises -- so it is never replaced by a sum.
-It runs as Spark's ``aggregate`` higher-order function over a sorted array, i.e.
-inside the JVM. The array holds at most one entry per tagged app of a user
+It runs as Spark's ``aggregate`` higher-order function over the steps ordered by
+``sort_array``, i.e. inside the JVM. The array holds at most one entry per tagged app of a user
 (it is built after the per-(user, app) aggregate), so its length is bounded by
 the size of the tag library whatever the user's share of the log.
 """
@@ -49,7 +49,7 @@ def step_struct(times: Column, tag: dict[str, Column], app_id: Column | None = N
     values) * t are exactly the sub-expressions of the update that do not depend
     on the state, evaluated in the same order, so the fold's results are
     bit-identical while the per-step work inside the (interpreted) lambda shrinks.
-    ``app_id`` leads the struct so ``array_sort`` orders steps by it.
+    ``app_id`` leads the struct so ``sort_array`` orders steps by it.
     """
     t = times
     fields = [] if app_id is None else [app_id.alias("app_id")]
@@ -77,7 +77,7 @@ def prior_state() -> Column:
 
 def fold_profile(start: Column, steps: Column) -> Column:
     """Fold an array of step structs, sorted by ``app_id`` string, into ``start``."""
-    return F.aggregate(F.array_sort(steps), start, fold_step)
+    return F.aggregate(F.sort_array(steps), start, fold_step)
 
 
 def collect_steps(tagged_sums: DataFrame) -> DataFrame:
