@@ -29,7 +29,6 @@ from tessera.sources.text import read_lines, stream_text_dir
 from tessera.streaming import compact as cmp
 from tessera.streaming import orders as so
 
-REPORT_PARTITIONS = 4   # the partition count of the reference's partition report
 
 
 def _money(df: DataFrame, col: str = "value") -> DataFrame:
@@ -180,8 +179,11 @@ def q_appstats_etl(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_partition_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Placement of the usage sums after hash partitioning by user into the
+    session's shuffle partition count (the reference used a fixed 4)."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sums = jobs.usage_sums(d.usage_lines(spark, sf))
-    return partition_report(partition_by_user(sums, REPORT_PARTITIONS))
+    return partition_report(partition_by_user(sums, n))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
