@@ -50,6 +50,14 @@ class SnapshotStore:
             raise FileNotFoundError(f"no committed snapshot under {self.root}")
         return self.spark.read.parquet(self.path(version))
 
+    def drop_versions_below(self, version: int) -> None:
+        """Delete committed versions older than ``version`` (retention)."""
+        jvm = self.spark.sparkContext._jvm
+        _, fs = self._fs()
+        for v in self.versions():
+            if v < version:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(self.path(v)), True)
+
     def write(self, df: DataFrame, version: int, sort_key: str | None = "mdn") -> str:
         """Write ``df`` as ``version`` (overwrite: a retried day replaces its own
         output only). Rows are sorted inside each file by the key, which keeps

@@ -5,11 +5,12 @@ cluster, a text directory in tests):
 
 * KPIs: parse -> stream-static broadcast range join (IP -> province) -> one
   ``groupBy(metric, key).sum`` whose running totals live in the state store.
-  ``foreachBatch`` writes the *new value* of every updated counter into a
-  directory named after the batch id. Assignment, not increment: a replayed
-  batch rewrites its own directory with the same numbers, so a restart neither
-  loses nor double-counts. Readers take, per counter, the value of the highest
-  batch.
+  ``foreachBatch`` receives the counters updated in the batch and writes the
+  whole (small: one row per province / category, plus the total) counter table
+  as version ``batch_id``: the previous version with the updated counters
+  *assigned*. A replayed batch rebuilds the same version from the same
+  inputs, so a restart neither loses nor double-counts, and readers open only
+  the latest committed version.
 * Archive: cleaned orders written by the exactly-once file sink, partitioned by
   the processing-time hour (``current_timestamp`` is fixed per micro-batch and
   recorded in the offset log, so a replay lands in the same hour).
@@ -24,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tessera.operators.ipgeo import attach_province, parse_ip_rules, prepare_rules
 from tessera.operators.orders import ORDER_COLUMNS, order_kpis, parse_orders
 from tessera.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS
+from tessera.plans.snapshot import SnapshotStore
 
 # --- fixed values -----------------------------------------------------------------
 BATCH_INTERVAL = "20 seconds"           # micro-batch interval of the order job
@@ -47,30 +49,40 @@ def kpi_stream(lines: DataFrame, rule_lines: DataFrame, policy: str = "strict",
     return order_kpis(enriched)
 
 
-def _kpi_writer(kpi_root: str):
+def _kpi_writer(kpi_root: str, retain: int):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return          # nothing changed in this batch
-        (batch.select("metric", "key", "value").coalesce(1).write.mode("overwrite")
-         .parquet(f"{kpi_root}/batch_id={batch_id}"))
+        updates = batch.select("metric", "key", "value")
+        if updates.isEmpty():
+            return          # nothing changed: the latest version stays current
+        store = SnapshotStore(batch.sparkSession, kpi_root)
+        older = [v for v in store.versions() if v < batch_id]
+        table = updates
+        if older:
+            table = (store.read(older[-1]).join(updates.select("metric", "key"),
+                                                ["metric", "key"], "left_anti")
+                     .unionByName(updates))
+        store.write(table.coalesce(1), batch_id, sort_key=None)
+        if retain:
+            store.drop_versions_below(batch_id - retain + 1)
     return write_batch
 
 
 def start_kpi_query(lines: DataFrame, rule_lines: DataFrame, kpi_root: str, checkpoint: str,
                     policy: str = "strict", trigger: str | None = BATCH_INTERVAL,
-                    query_name: str | None = None) -> StreamingQuery:
+                    query_name: str | None = None, retain_versions: int = 10) -> StreamingQuery:
+    """Start the KPI query; ``retain_versions`` old counter tables are kept for
+    readers still holding an older version (0 keeps all)."""
     w = (kpi_stream(lines, rule_lines, policy).writeStream.outputMode("update")
-         .foreachBatch(_kpi_writer(kpi_root)).option("checkpointLocation", checkpoint))
+         .foreachBatch(_kpi_writer(kpi_root, retain_versions))
+         .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)
     return _trigger(w, trigger).start()
 
 
 def read_kpis(spark: SparkSession, kpi_root: str) -> DataFrame:
-    """Current counters: for each (metric, key) the value written by the latest
-    batch that touched it (the dump of all keys and values)."""
-    df = spark.read.parquet(kpi_root)
-    return df.groupBy("metric", "key").agg(F.max_by("value", "batch_id").alias("value"))
+    """Every counter with its current value (the latest committed version)."""
+    return SnapshotStore(spark, kpi_root).read().select("metric", "key", "value")
 
 
 def hour_columns(zone: str = "UTC", layout: str = "ymdh") -> list:

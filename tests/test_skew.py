@@ -1,0 +1,48 @@
+"""A user holding a third of all log lines: results stay exact and per-user
+state stays bounded by the number of apps."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from tessera.operators import profile as PR
+from tessera.plans import jobs
+from tests.conftest import lines_df
+from tests.test_profile import py_fold
+
+
+def usage_line(mdn, app, t):
+    return "|".join([mdn] + ["f"] * 11 + [str(t), "g", "h", str(app)])
+
+
+def tag_line(app, vals):
+    return "|".join([str(app), "n"] + [repr(v) for v in vals])
+
+
+def test_hot_user(spark):
+    rng = random.Random(1)
+    apps = list(range(1, 41))
+    tags = {a: [rng.random() for _ in range(7)] for a in apps[:30]}   # apps 31-40 untagged
+    lines = []
+    for i in range(30000):
+        mdn = "hot" if i % 3 == 0 else f"u{rng.randrange(500)}"
+        lines.append(usage_line(mdn, rng.choice(apps), rng.randrange(1, 50)))
+    usage = lines_df(spark, lines).repartition(8)
+    tag_df = lines_df(spark, [tag_line(a, v) for a, v in tags.items()],
+                      line_no=list(range(len(tags))))
+    tagged = jobs.tagged_usage(usage, tag_df)
+    steps = PR.collect_steps(tagged)
+    longest = steps.agg(F.max(F.size("steps"))).collect()[0][0]
+    assert longest <= len(tags)
+    got = {r.mdn: r for r in PR.build_profiles(tagged).collect()}
+    sums = {}
+    for ln in lines:
+        f = ln.split("|")
+        sums.setdefault(f[0], {}).setdefault(f[15], 0)
+        sums[f[0]][f[15]] += int(f[12])
+    names = ("male", "female", "age1", "age2", "age3", "age4", "age5")
+    exp_hot = py_fold(PR.PRIOR, [dict(times=t, **dict(zip(names, tags[int(a)])))
+                                 for a, t in sorted(sums["hot"].items()) if int(a) in tags])
+    for n in PR.PROFILE_VALUES:
+        assert got["hot"][n] == exp_hot[n]
+    assert len(got) == len(sums)

@@ -77,3 +77,18 @@ def test_archive_and_compaction(spark):
     assert sorted(tuple(x) for x in comp.collect()) == expected
     files = [f for o in outs for f in os.listdir(local_path(o)) if f.endswith(".parquet")]
     assert len(files) == sum(1 for _ in outs) * 2 or len(files) >= 2   # 6 rows / 4 per file
+
+
+def test_kpi_versions_are_pruned(spark):
+    from tessera.plans.snapshot import SnapshotStore
+    root = local_path(scratch_path(spark, "t-retain"))
+    src = f"{root}/src"
+    for i in range(0, len(GOLDEN), 2):
+        write_lines(src, f"p{i:03d}.txt", GOLDEN[i:i + 2])
+    q = S.start_kpi_query(stream_text_dir(spark, src, 1), lines_df(spark, RULE_LINES),
+                          f"{root}/kpi", f"{root}/ckpt", trigger="availableNow", retain_versions=2)
+    q.awaitTermination()
+    store = SnapshotStore(spark, f"{root}/kpi")
+    # batches 3-6 hold only rejected lines: no update, no new version
+    assert store.versions() == [1, 2]
+    assert kpis_as_dict(S.read_kpis(spark, f"{root}/kpi"))[("total", "all")] == 18398.0
