@@ -135,17 +135,30 @@ def q_order_kpi(spark: SparkSession, sf: str) -> DataFrame:
     return _money(ord_ops.order_kpis(_orders_with_province(spark, sf)))
 
 
-def _order_source_dir(spark: SparkSession, sf: str, files: int = 4) -> str:
-    """Land the derived order lines as text files: the stream's input folder."""
+def _order_source_dir(spark: SparkSession, sf: str) -> tuple[str, int]:
+    """Land the derived order lines as text files: the stream's input folder.
+
+    One file per partition of the derived lines (line items are hash-partitioned
+    by order key into ``spark.sql.shuffle.partitions``), so the landing write
+    is as parallel as the session. Returns the folder and the file count."""
     src = scratch_path(spark, "order-src")
-    d.order_lines(spark, sf).repartition(files).write.text(src)
-    return src
+    lines = d.order_lines(spark, sf)
+    n_files = lines.rdd.getNumPartitions()
+    lines.write.text(src)
+    return src, n_files
+
+
+def _two_batches(n_files: int) -> int:
+    """Files per trigger so the stream runs in (about) two micro-batches: the
+    second batch updates state written by the first."""
+    return max(1, -(-n_files // 2))
 
 
 def q_order_kpi_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Streaming KPIs over the lines in several micro-batches (one file each)."""
+    """Streaming KPIs over the landed lines in two micro-batches."""
     root = scratch_path(spark, "order-kpi")
-    lines = stream_text_dir(spark, _order_source_dir(spark, sf), max_files_per_trigger=2)
+    src, n_files = _order_source_dir(spark, sf)
+    lines = stream_text_dir(spark, src, max_files_per_trigger=_two_batches(n_files))
     q = so.start_kpi_query(lines, d.ip_rule_lines(spark, sf), f"{root}/kpi", f"{root}/ckpt",
                            trigger="availableNow")
     q.awaitTermination()
@@ -154,7 +167,8 @@ def q_order_kpi_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 def _archive(spark: SparkSession, sf: str) -> str:
     root = scratch_path(spark, "order-archive")
-    lines = stream_text_dir(spark, _order_source_dir(spark, sf), max_files_per_trigger=2)
+    src, n_files = _order_source_dir(spark, sf)
+    lines = stream_text_dir(spark, src, max_files_per_trigger=_two_batches(n_files))
     q = so.start_archive_query(lines, f"{root}/data", f"{root}/ckpt", trigger="availableNow")
     q.awaitTermination()
     return f"{root}/data"
