@@ -71,6 +71,12 @@ def q_profile_build(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.profiles_from_logs(d.usage_lines(spark, sf), d.tag_lines(spark, sf))
 
 
+def q_profile_build_lenient(spark: SparkSession, sf: str) -> DataFrame:
+    """The same profile job under the lenient cleaning policy of the other two
+    runtimes (keeps app id 0, negative times and a literal NULL mdn)."""
+    return jobs.profiles_from_logs(d.usage_lines(spark, sf), d.tag_lines(spark, sf), "lenient")
+
+
 def q_profile_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Snapshot v0 = stored profiles; the day's update writes v1, read back."""
     store = SnapshotStore(spark, scratch_path(spark, "profiles"))
@@ -209,6 +215,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tag_library": q_tag_library,
     "usage_tag_join": q_usage_tag_join,
     "profile_build": q_profile_build,
+    "profile_build_lenient": q_profile_build_lenient,
     "profile_merge": q_profile_merge,
     "tagged_union": q_tagged_union,
     "update_sequence": q_update_sequence,

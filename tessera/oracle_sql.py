@@ -55,6 +55,7 @@ USAGE_LENIENT = f"""usage_lenient AS (
 
 SUMS = """sums AS (
   SELECT mdn, app_id, CAST(SUM(times) AS BIGINT) AS times FROM usage_strict GROUP BY mdn, app_id)"""
+SUMS_LENIENT = SUMS.replace("usage_strict", "usage_lenient")
 
 _raw = [f"CAST((pk * {k}) % 7 + 1 AS DOUBLE)" for k in range(1, 6)]
 _raw_total = "(" + " + ".join(_raw) + ")"
@@ -121,6 +122,15 @@ seed AS (SELECT DISTINCT mdn, {_prior} FROM sums),
 {_fold("seed")}
 {_FOLD_RESULT}"""
 
+PROFILE_BUILD_LENIENT = f"""WITH RECURSIVE {USAGE_RAW},
+{USAGE_LENIENT},
+{SUMS_LENIENT},
+{TAGS},
+{STEPS},
+seed AS (SELECT DISTINCT mdn, {_prior} FROM sums),
+{_fold("seed")}
+{_FOLD_RESULT}"""
+
 _seed_merge = ", ".join(f"COALESCE(st.{n}, {_dbl(PRIOR[n])}) AS {n}" for n in V)
 PROFILE_MERGE = f"""WITH RECURSIVE {USAGE_RAW},
 {USAGE_STRICT},
@@ -216,6 +226,7 @@ UNION ALL SELECT 'merged_rows', (SELECT COUNT(*) FROM sums) + (SELECT COUNT(*) F
 SELECT s.mdn, s.app_id, s.times, {', '.join('t.' + n for n in V)}
 FROM sums s LEFT JOIN tags t ON s.app_id = t.app_id""",
         "profile_build": PROFILE_BUILD,
+        "profile_build_lenient": PROFILE_BUILD_LENIENT,
         "profile_merge": PROFILE_MERGE,
         "tagged_union": f"{with_store}\nSELECT * FROM tagged",
         "update_sequence": f"""{with_store}
