@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.functions.parsing import split_once
-from tessera.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS
+from tessera.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, materialize_head
 
 # --- fixed values ------------------------------------------------------------------
 UNKNOWN_PROVINCE = "未知"   # an address outside every range
@@ -47,23 +47,19 @@ def prepare_rules(rules: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                   check_disjoint: bool = True) -> tuple[DataFrame, bool]:
     """Block table of ``rules`` and whether it is broadcast.
 
-    One small job reads at most ``max_rows - 65536 + 1`` rules and counts them
-    together with the overlaps. Disjoint ranges over 32 bits explode to at most
-    ``n_rules + 65536`` blocks, so a rule count within that budget proves the
-    block table fits the broadcast bound; otherwise the join is a shuffle join
-    on the block key (AQE splits hot blocks).
+    At most ``max_rows - 65536 + 1`` rules are computed once and checkpointed;
+    disjoint ranges over 32 bits explode to at most ``n_rules + 65536`` blocks,
+    so a rule count within that budget proves the block table fits the
+    broadcast bound, and the overlap check runs on those checkpointed rules.
+    Otherwise the join is a shuffle join on the block key (AQE splits hot
+    blocks).
     """
     budget = max(1, max_rows - 65536)
-    head = rules.limit(budget + 1)
-    w = Window.orderBy("start", "end")
-    stats = (head.withColumn("_over", (F.lag("end").over(w) >= F.col("start")).cast("int"))
-             .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_over"), F.lit(0)).alias("over"))
-             .collect()[0])
-    small = stats.n <= budget
-    if small and check_disjoint and stats.over > 0:
+    head, n = materialize_head(rules.select("start", "end", "province"), budget)
+    small = n <= budget
+    if small and check_disjoint and overlapping_rules(head).limit(1).count() > 0:
         raise ValueError("IP rules overlap; a range lookup over them is ambiguous")
-    blocks = rule_blocks(rules)
-    return (F.broadcast(blocks), True) if small else (blocks, False)
+    return (F.broadcast(rule_blocks(head)), True) if small else (rule_blocks(rules), False)
 
 
 def attach_province(df: DataFrame, rules: DataFrame, ip_col: str = "ip",

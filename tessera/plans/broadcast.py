@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import shared_root
+
 # Default bound on the rows of a broadcast dimension. An app tag library or an
 # exploded IP-rule table is far below this; a side above it is joined by shuffle.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
@@ -18,11 +20,27 @@ def bounded_rows(df: DataFrame, max_rows: int) -> int:
     return df.limit(max_rows + 1).count()
 
 
+def materialize_head(df: DataFrame, max_rows: int) -> tuple[DataFrame, int]:
+    """Compute at most ``max_rows + 1`` rows of ``df`` once and keep them.
+
+    The rows go to a reliable checkpoint in the shared ``spark.checkpoint.dir``
+    (lineage cut, survives executor loss). Returns the checkpointed rows and
+    their count; when the count is ``<= max_rows`` they are *all* of ``df``.
+    """
+    shared_root(df.sparkSession)          # make sure a checkpoint dir is set
+    head = df.limit(max_rows + 1).checkpoint(eager=True)
+    return head, head.count()
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
                        ) -> tuple[DataFrame, bool]:
-    """``(F.broadcast(df), True)`` when ``df`` has at most ``max_rows`` rows,
+    """``(broadcast side, True)`` when ``df`` has at most ``max_rows`` rows,
     otherwise ``(df, False)`` so the caller's join falls back to a shuffle join
-    (sort-merge; AQE may still switch it at runtime from measured sizes)."""
-    if bounded_rows(df, max_rows) <= max_rows:
-        return F.broadcast(df), True
+    (sort-merge; AQE splits skewed keys and may still switch at runtime).
+
+    The small side is computed once: the checked rows themselves are broadcast.
+    """
+    head, n = materialize_head(df, max_rows)
+    if n <= max_rows:
+        return F.broadcast(head), True
     return df, False
