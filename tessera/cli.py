@@ -97,7 +97,8 @@ def cmd_appstats_etl(a) -> None:
 def cmd_compact_hour(a) -> None:
     spark = _spark()
     out = compact.compact_hour(spark, a.archive, a.out, a.year, a.month, a.day, a.hour,
-                               rows_per_file=a.rows_per_file, delete_inputs=a.delete_inputs)
+                               rows_per_file=a.rows_per_file, delete_inputs=a.delete_inputs,
+                               layout=a.layout)
     print(f"wrote {out}")
 
 
@@ -164,6 +165,7 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument(f"--{f}", required=True)
     s.add_argument("--rows-per-file", type=int, default=compact.DEFAULT_ROWS_PER_FILE)
     s.add_argument("--delete-inputs", action="store_true")
+    s.add_argument("--layout", choices=("ymdh", "hourly"), default="ymdh")
     s.set_defaults(fn=cmd_compact_hour)
     return p
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.orders import ORDER_COLUMNS
-from tessera.streaming.orders import HOUR_PARTITIONS, read_archive
+from tessera.streaming.orders import (HOUR_BUCKET, HOUR_PARTITIONS, partition_names,
+                                      read_archive)
 
 DEFAULT_ROWS_PER_FILE = 5_000_000
 
@@ -17,14 +18,21 @@ def hour_path(root: str, year: str, month: str, day: str, hour: str) -> str:
     return f"{root.rstrip('/')}/{year}/{month}/{day}/{hour}"
 
 
-def archived_hours(spark: SparkSession, archive_root: str) -> DataFrame:
-    """Distinct (year, month, day, hour) present in the archive."""
-    return read_archive(spark, archive_root).select(*HOUR_PARTITIONS).distinct()
+def archived_hours(spark: SparkSession, archive_root: str, layout: str = "ymdh") -> DataFrame:
+    """Distinct hour buckets present in the archive (one row per hour)."""
+    return read_archive(spark, archive_root, layout).select(*partition_names(layout)).distinct()
+
+
+def _hour_filter(layout: str, year: str, month: str, day: str, hour: str):
+    if layout == "hourly":
+        return F.col(HOUR_BUCKET) == f"{year}-{month}-{day}-{hour}"
+    return ((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)
+            & (F.col("hour") == hour))
 
 
 def compact_hour(spark: SparkSession, archive_root: str, out_root: str, year: str, month: str,
                  day: str, hour: str, rows_per_file: int = DEFAULT_ROWS_PER_FILE,
-                 delete_inputs: bool = False) -> str:
+                 delete_inputs: bool = False, layout: str = "ymdh") -> str:
     """Rewrite one hour as ``ceil(rows / rows_per_file)`` files under
     ``out_root/yyyy/MM/dd/HH``.
 
@@ -35,27 +43,31 @@ def compact_hour(spark: SparkSession, archive_root: str, out_root: str, year: st
     asked and only after the write has committed; readers of the archive root
     then need ``spark.sql.files.ignoreMissingFiles``.
     """
-    sel = read_archive(spark, archive_root).where(
-        (F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)
-        & (F.col("hour") == hour)).select(*ORDER_COLUMNS)
+    sel = read_archive(spark, archive_root, layout).where(
+        _hour_filter(layout, year, month, day, hour)).select(*ORDER_COLUMNS)
     n_rows = sel.count()
     n_files = max(1, math.ceil(n_rows / rows_per_file))
     out = hour_path(out_root, year, month, day, hour)
     sel.coalesce(n_files).write.mode("overwrite").parquet(out)
     if delete_inputs:
         jvm = spark.sparkContext._jvm
-        src = jvm.org.apache.hadoop.fs.Path(
-            f"{archive_root.rstrip('/')}/year={year}/month={month}/day={day}/hour={hour}")
+        sub = (f"{HOUR_BUCKET}={year}-{month}-{day}-{hour}" if layout == "hourly"
+               else f"year={year}/month={month}/day={day}/hour={hour}")
+        src = jvm.org.apache.hadoop.fs.Path(f"{archive_root.rstrip('/')}/{sub}")
         src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(src, True)
     return out
 
 
 def compact_all(spark: SparkSession, archive_root: str, out_root: str,
-                rows_per_file: int = DEFAULT_ROWS_PER_FILE) -> list[str]:
+                rows_per_file: int = DEFAULT_ROWS_PER_FILE, layout: str = "ymdh") -> list[str]:
     """Compact every archived hour (the list of hours is small: one row per hour)."""
-    hours = archived_hours(spark, archive_root).collect()
-    return [compact_hour(spark, archive_root, out_root, r.year, r.month, r.day, r.hour,
-                         rows_per_file) for r in hours]
+    out = []
+    for r in archived_hours(spark, archive_root, layout).collect():
+        parts = (r[HOUR_BUCKET].split("-") if layout == "hourly"
+                 else [r[c] for c in HOUR_PARTITIONS])
+        out.append(compact_hour(spark, archive_root, out_root, *parts,
+                                rows_per_file=rows_per_file, layout=layout))
+    return out
 
 
 def read_compacted(spark: SparkSession, out_root: str) -> DataFrame:

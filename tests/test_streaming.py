@@ -91,3 +91,19 @@ def test_kpi_versions_are_pruned(spark):
     store = SnapshotStore(spark, f"{root}/kpi")
     assert store.versions() == [5, 6]     # 7 batches (one file each), the last 2 kept
     assert kpis_as_dict(S.read_kpis(spark, f"{root}/kpi"))[("total", "all")] == 18398.0
+
+
+def test_hourly_layout_archive_and_compaction(spark):
+    root = local_path(scratch_path(spark, "t-hourly"))
+    src = f"{root}/src"
+    write_lines(src, "a.txt", GOLDEN)
+    q = S.start_archive_query(stream_text_dir(spark, src), f"{root}/data", f"{root}/ckpt",
+                              trigger="availableNow", zone="Asia/Shanghai", layout="hourly",
+                              files_per_batch=1)
+    q.awaitTermination()
+    arch = S.read_archive(spark, f"{root}/data", "hourly").collect()
+    assert len(arch) == 6 and len(arch[0].dt_hour) == len("2024-01-02-03")
+    outs = C.compact_all(spark, f"{root}/data", f"{root}/compacted", layout="hourly")
+    comp = C.read_compacted(spark, f"{root}/compacted").select(*O.ORDER_COLUMNS)
+    expected = sorted(tuple(x) for x in O.parse_orders(lines_df(spark, GOLDEN)).collect())
+    assert sorted(tuple(x) for x in comp.collect()) == expected and len(outs) >= 1
