@@ -174,3 +174,27 @@ def test_update_sequence_and_secondary_sort(spark):
     for p in parts:
         keys = [(r.mdn, 0 if r.source == "store" else 1, r.app_id or "") for r in p]
         assert keys == sorted(keys)
+
+
+def test_closed_form_equals_fold(spark):
+    """m_n = (m_0 + sum_k x_k prod_{j<k} d_j) / prod_j d_j with x_k = v_k t_k,
+    d_1 = S_0 + s_1, d_k = 1 + s_k (no zero denominators)."""
+    rng = random.Random(21)
+    rows = random_steps(rng, n_users=20, max_apps=8)
+    got = {r.mdn: r for r in PR.build_profiles(tagged(spark, rows)).collect()}
+    by_user = {}
+    for r in rows:
+        by_user.setdefault(r[0], []).append(dict(zip(("app_id", "times") + TAG_VALUES, r[1:])))
+    for mdn, steps in by_user.items():
+        steps = sorted(steps, key=lambda s: s["app_id"])
+        for group in (PR.GENDER, PR.AGES):
+            s0 = sum(PR.PRIOR[n] for n in group)
+            ds = [(s0 if k == 0 else 1.0) + sum(st[n] for n in group) * st["times"]
+                  for k, st in enumerate(steps)]
+            if any(x == 0 for x in ds):
+                continue
+            total = math.prod(ds)
+            for n in group:
+                num = PR.PRIOR[n] + sum(st[n] * st["times"] * math.prod(ds[:k])
+                                        for k, st in enumerate(steps))
+                assert math.isclose(got[mdn][n], num / total, rel_tol=1e-9, abs_tol=1e-12)
