@@ -140,7 +140,7 @@ def update_sequence(tagged: DataFrame) -> DataFrame:
     holds at most one row per app plus the stored row."""
     w = Window.partitionBy("mdn").orderBy(source_rank(), F.col("app_id"))
     return tagged.select("mdn", "source", "app_id", "times",
-                         F.row_number().over(w).alias("seq"))
+                         F.row_number().over(w).cast("bigint").alias("seq"))
 
 
 def secondary_sort(tagged: DataFrame, num_partitions: int | None = None) -> DataFrame:
