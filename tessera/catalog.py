@@ -78,8 +78,13 @@ def q_profile_build_lenient(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_profile_merge(spark: SparkSession, sf: str) -> DataFrame:
-    """Snapshot v0 = stored profiles; the day's update writes v1, read back."""
-    store = SnapshotStore(spark, scratch_path(spark, "profiles"))
+    """Snapshot v0 = stored profiles; the day's update writes v1, read back.
+
+    The store is bucketed by mdn into the session's shuffle partition count, so
+    the merge reads v0 without an exchange on the snapshot side."""
+    root = scratch_path(spark, "profiles")
+    store = SnapshotStore(spark, root, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")),
+                          table_prefix="tessera_profiles_" + root.rsplit("-", 1)[-1])
     store.write(d.stored_profiles(spark, sf), 0)
     v = jobs.run_daily_update(store, 0, d.usage_lines(spark, sf), d.tag_lines(spark, sf))
     return store.read(v)

@@ -36,7 +36,7 @@ def _spark() -> SparkSession:
 
 def cmd_profile_update(a) -> None:
     spark = _spark()
-    store = SnapshotStore(spark, a.store)
+    store = SnapshotStore(spark, a.store, buckets=a.buckets, table_prefix=a.table_prefix)
     if a.init_from and store.latest() is None:
         store.write(spark.read.parquet(a.init_from), 0)
     base = a.base_version if a.base_version is not None else store.latest()
@@ -112,6 +112,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--store", required=True)
     s.add_argument("--base-version", type=int)
     s.add_argument("--init-from", help="Parquet profiles that become version 0 of an empty store")
+    s.add_argument("--buckets", type=int, help="bucket the snapshots by mdn (needs --table-prefix)")
+    s.add_argument("--table-prefix", help="catalog table name prefix of bucketed snapshots")
     s.add_argument("--policy", choices=("strict", "lenient"), default="strict")
     s.set_defaults(fn=cmd_profile_update)
 

@@ -39,3 +39,29 @@ def test_partial_aggregation_before_shuffle(spark):
     assert "partial_sum" in plan
     kpi = physical(QUERIES["order_kpi"](spark, SF_SMALL))
     assert "partial_sum" in kpi
+
+
+def test_bucketed_snapshot_merge_skips_the_store_exchange(spark):
+    from tessera.plans import jobs
+    from tessera.plans.snapshot import SnapshotStore
+    from tessera.session import scratch_path
+    from tessera.sources import derived as d
+    root = scratch_path(spark, "t-bucket")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    store = SnapshotStore(spark, root, buckets=n, table_prefix="t_bucket_" + root.rsplit("-", 1)[-1])
+    store.write(d.stored_profiles(spark, SF_SMALL), 0)
+    merged = jobs.profiles_with_store(store.read(0), d.usage_lines(spark, SF_SMALL),
+                                      d.tag_lines(spark, SF_SMALL))
+    lines = physical(merged).splitlines()
+    scan = next(i for i, ln in enumerate(lines) if "t_bucket_" in ln and "FileScan" in ln)
+    depth = len(lines[scan]) - len(lines[scan].lstrip(" :+-"))
+    # walk up from the snapshot scan to the join: no Exchange on the way
+    for ln in reversed(lines[:scan]):
+        d_ = len(ln) - len(ln.lstrip(" :+-"))
+        if d_ < depth:
+            assert "Exchange" not in ln, ln
+            depth = d_
+            if "SortMergeJoin" in ln:
+                break
+    v = jobs.run_daily_update(store, 0, d.usage_lines(spark, SF_SMALL), d.tag_lines(spark, SF_SMALL))
+    assert store.read(v).count() == merged.count()
