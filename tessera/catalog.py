@@ -90,6 +90,17 @@ def q_profile_merge(spark: SparkSession, sf: str) -> DataFrame:
     return store.read(v)
 
 
+def q_profile_merge_sorted(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily merge by secondary sort (``fold_mode='sorted'``): the exact path
+    used when the tag library is too large for a proven per-user bound. Same
+    result as ``profile_merge``; here on plain Parquet snapshots."""
+    store = SnapshotStore(spark, scratch_path(spark, "profiles-sorted"))
+    store.write(d.stored_profiles(spark, sf), 0)
+    v = jobs.run_daily_update(store, 0, d.usage_lines(spark, sf), d.tag_lines(spark, sf),
+                              fold_mode="sorted")
+    return store.read(v)
+
+
 def q_tagged_union(spark: SparkSession, sf: str) -> DataFrame:
     return prof.tagged_union(d.stored_profiles(spark, sf), jobs.usage_sums(d.usage_lines(spark, sf)))
 
@@ -222,6 +233,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_build": q_profile_build,
     "profile_build_lenient": q_profile_build_lenient,
     "profile_merge": q_profile_merge,
+    "profile_merge_sorted": q_profile_merge_sorted,
     "tagged_union": q_tagged_union,
     "update_sequence": q_update_sequence,
     "merged_sorted": q_merged_sorted,

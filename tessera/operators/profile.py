@@ -153,3 +153,97 @@ def secondary_sort(tagged: DataFrame, num_partitions: int | None = None) -> Data
 def merged_sorted(tagged: DataFrame) -> DataFrame:
     """Global order by (mdn, source, app): range-partitioned sort."""
     return tagged.orderBy("mdn", source_rank(), "app_id")
+
+
+# --- streaming fold: the exact path for groups with no proven size bound ---------
+
+_EVENT_SCHEMA = ("mdn string, rank int, app_id string, times bigint, "
+                 + ", ".join(f"{n} double" for n in PROFILE_VALUES))
+_OUT_SCHEMA = "mdn string, " + ", ".join(f"{n} double" for n in PROFILE_VALUES)
+
+
+def _fold_partition(batches):
+    """Fold rows sorted by (mdn, rank, app_id), carrying the state across Arrow
+    batches: memory is one batch, whatever the number of rows of a user.
+
+    rank 0 = start state (the stored profile), rank 1 = a step (tag values NULL
+    for an untagged app: skipped, the user is still emitted). The arithmetic is
+    the same IEEE operations in the same order as ``fold_step``.
+    """
+    import numpy as np
+    import pandas as pd
+
+    groups = (("male", "female"), ("age1", "age2", "age3", "age4", "age5"))
+    cur, state, out = None, None, []
+
+    def flush():
+        out.append((cur, *[state[n] for n in PROFILE_VALUES]))
+
+    for pdf in batches:
+        mdns = pdf["mdn"].to_numpy(dtype=object)
+        ranks = pdf["rank"].to_numpy()
+        times = pdf["times"].to_numpy(dtype="float64", na_value=np.nan)
+        vals = {n: pdf[n].to_numpy(dtype="float64", na_value=np.nan) for n in PROFILE_VALUES}
+        for i in range(len(pdf)):
+            if mdns[i] != cur:
+                if cur is not None:
+                    flush()
+                cur, state = mdns[i], dict(PRIOR)
+            if ranks[i] == 0:
+                state = {n: float(vals[n][i]) for n in PROFILE_VALUES}
+                continue
+            if np.isnan(vals["male"][i]):
+                continue                      # untagged app: no update
+            t = float(times[i])
+            for g in groups:
+                s_tag = vals[g[0]][i]
+                for n in g[1:]:
+                    s_tag = s_tag + vals[n][i]
+                acc = state[g[0]]
+                for n in g[1:]:
+                    acc = acc + state[n]
+                d = acc + float(s_tag) * t
+                if d != 0.0:
+                    for n in g:
+                        state[n] = (state[n] + float(vals[n][i]) * t) / d
+        if len(out) >= 4096:      # emit finished users batch by batch
+            yield pd.DataFrame(out, columns=list(PROFILE_COLUMNS))
+            out = []
+    if cur is not None:
+        flush()
+    if out:
+        yield pd.DataFrame(out, columns=list(PROFILE_COLUMNS))
+
+
+def fold_sorted(events: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Profiles from an event relation ``(mdn, rank, app_id, times, 7 values)``
+    by secondary sort: hash-partition by mdn, sort inside partitions by
+    (mdn, rank, app_id) -- Spark's external sort, spilling as needed -- and fold
+    each partition in order. No group is materialised anywhere."""
+    n = num_partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = events.repartition(n, "mdn").sortWithinPartitions("mdn", "rank", "app_id")
+    return ordered.mapInPandas(_fold_partition, _OUT_SCHEMA)
+
+
+def step_events(tagged_sums: DataFrame) -> DataFrame:
+    return tagged_sums.select("mdn", F.lit(1).alias("rank"), "app_id",
+                              F.col("times").cast("bigint").alias("times"), *TAG_VALUES)
+
+
+def store_events(store: DataFrame) -> DataFrame:
+    return store.where(F.length("mdn") > 0).select(
+        "mdn", F.lit(0).alias("rank"), F.lit(None).cast("string").alias("app_id"),
+        F.lit(None).cast("bigint").alias("times"),
+        *[F.coalesce(F.col(n), F.raise_error(F.lit(f"NULL {n} in a stored profile")))
+          .alias(n) for n in PROFILE_VALUES])
+
+
+def build_profiles_sorted(tagged_sums: DataFrame) -> DataFrame:
+    """``build_profiles`` by secondary sort (no per-user array)."""
+    return fold_sorted(step_events(tagged_sums))
+
+
+def merge_profiles_sorted(store: DataFrame, tagged_sums: DataFrame) -> DataFrame:
+    """``merge_profiles`` by secondary sort: the stored row sorts first in its
+    user's sequence (rank 0), exactly the order the fold needs."""
+    return fold_sorted(store_events(store).unionByName(step_events(tagged_sums)))

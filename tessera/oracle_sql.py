@@ -228,6 +228,7 @@ FROM sums s LEFT JOIN tags t ON s.app_id = t.app_id""",
         "profile_build": PROFILE_BUILD,
         "profile_build_lenient": PROFILE_BUILD_LENIENT,
         "profile_merge": PROFILE_MERGE,
+        "profile_merge_sorted": PROFILE_MERGE,
         "tagged_union": f"{with_store}\nSELECT * FROM tagged",
         "update_sequence": f"""{with_store}
 SELECT mdn, source, app_id, times,

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 
 from tessera.operators.ipgeo import attach_province, parse_ip_rules, prepare_rules
 from tessera.operators.orders import order_kpis, parse_orders
-from tessera.operators.profile import build_profiles, merge_profiles
-from tessera.operators.tags import join_tags, tag_library
+from tessera.operators.profile import (build_profiles, build_profiles_sorted, merge_profiles,
+                                      merge_profiles_sorted)
+from tessera.operators.tags import join_tags_checked, tag_library
 from tessera.operators.usage import clean_usage, usage_by_user_app
 from tessera.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS
 from tessera.plans.snapshot import SnapshotStore
@@ -17,33 +18,63 @@ def usage_sums(usage_lines: DataFrame, policy: str = "strict") -> DataFrame:
     return usage_by_user_app(clean_usage(usage_lines, policy))
 
 
+FOLD_MODES = ("auto", "array", "sorted")
+
+
+def tagged_usage_checked(usage_lines: DataFrame, tag_lines: DataFrame, policy: str = "strict",
+                         order_col: str = "line_no",
+                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
+                         ) -> tuple[DataFrame, bool]:
+    tags = tag_library(tag_lines, order_col)
+    return join_tags_checked(usage_sums(usage_lines, policy), tags, max_broadcast_rows)
+
+
 def tagged_usage(usage_lines: DataFrame, tag_lines: DataFrame, policy: str = "strict",
                  order_col: str = "line_no",
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    tags = tag_library(tag_lines, order_col)
-    return join_tags(usage_sums(usage_lines, policy), tags, max_broadcast_rows)
+    return tagged_usage_checked(usage_lines, tag_lines, policy, order_col, max_broadcast_rows)[0]
+
+
+def _use_array(fold_mode: str, tags_bounded: bool) -> bool:
+    """The per-user array fold needs a proven bound on a user's tagged apps; the
+    size-checked tag library gives one. Without it (a library too large to
+    broadcast) the fold runs by secondary sort, which never builds a group."""
+    if fold_mode not in FOLD_MODES:
+        raise ValueError(f"fold_mode must be one of {FOLD_MODES}")
+    return fold_mode == "array" or (fold_mode == "auto" and tags_bounded)
 
 
 def profiles_from_logs(usage_lines: DataFrame, tag_lines: DataFrame, policy: str = "strict",
-                       order_col: str = "line_no") -> DataFrame:
+                       order_col: str = "line_no", fold_mode: str = "auto",
+                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Today's profiles from the prior: parse -> filter -> sum by (user, app) ->
     broadcast tag join -> per-user ordered fold."""
-    return build_profiles(tagged_usage(usage_lines, tag_lines, policy, order_col))
+    tagged, bounded = tagged_usage_checked(usage_lines, tag_lines, policy, order_col,
+                                           max_broadcast_rows)
+    if _use_array(fold_mode, bounded):
+        return build_profiles(tagged)
+    return build_profiles_sorted(tagged)
 
 
 def profiles_with_store(store: DataFrame, usage_lines: DataFrame, tag_lines: DataFrame,
-                        policy: str = "strict", order_col: str = "line_no") -> DataFrame:
-    return merge_profiles(store, tagged_usage(usage_lines, tag_lines, policy, order_col))
+                        policy: str = "strict", order_col: str = "line_no",
+                        fold_mode: str = "auto",
+                        max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    tagged, bounded = tagged_usage_checked(usage_lines, tag_lines, policy, order_col,
+                                           max_broadcast_rows)
+    if _use_array(fold_mode, bounded):
+        return merge_profiles(store, tagged)
+    return merge_profiles_sorted(store, tagged)
 
 
 def run_daily_update(store: SnapshotStore, base_version: int, usage_lines: DataFrame,
                      tag_lines: DataFrame, policy: str = "strict",
-                     order_col: str = "line_no") -> int:
+                     order_col: str = "line_no", fold_mode: str = "auto") -> int:
     """Read snapshot ``base_version``, fold the day's logs in, write
     ``base_version + 1``. Re-running the same day from the same base rewrites the
     same snapshot, so a retried day does not apply its logs twice."""
     merged = profiles_with_store(store.read(base_version), usage_lines, tag_lines, policy,
-                                 order_col)
+                                 order_col, fold_mode)
     store.write(merged, base_version + 1)
     return base_version + 1
 

@@ -23,6 +23,18 @@ def test_no_nested_loops_cartesian_or_python(spark, name):
         assert bad not in plan, f"{name}: {bad} in plan"
 
 
+def test_sorted_fold_plan(spark):
+    """The one Python operator: a per-partition fold over rows hash-partitioned
+    by mdn and sorted within partitions (no grouping operator, no collect)."""
+    from tessera.plans import jobs
+    from tessera.sources import derived as d
+    df = jobs.profiles_from_logs(d.usage_lines(spark, SF_SMALL), d.tag_lines(spark, SF_SMALL),
+                                 fold_mode="sorted")
+    plan = physical(df)
+    assert "MapInPandas" in plan and "collect_list" not in plan
+    assert "hashpartitioning(mdn" in plan and "Sort [mdn" in plan
+
+
 @pytest.mark.parametrize("name", ["usage_tag_join", "profile_build", "ip_province", "order_kpi"])
 def test_dimension_joins_are_broadcast(spark, name):
     assert "BroadcastHashJoin" in physical(QUERIES[name](spark, SF_SMALL))

@@ -198,3 +198,35 @@ def test_closed_form_equals_fold(spark):
                 num = PR.PRIOR[n] + sum(st[n] * st["times"] * math.prod(ds[:k])
                                         for k, st in enumerate(steps))
                 assert math.isclose(got[mdn][n], num / total, rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_sorted_fold_equals_array_fold(spark):
+    """The secondary-sort fold (no per-user array) gives bit-identical results,
+    including stored-only users, untagged-only users and the stored start row."""
+    rng = random.Random(5)
+    rows = random_steps(rng, n_users=30, max_apps=15)
+    rows += [("untagged", "7", 10) + (None,) * 7]
+    steps = tagged(spark, rows).repartition(5)
+    store = spark.createDataFrame(
+        [(f"u{i}", rng.random(), rng.random(), *[rng.random() for _ in range(5)]) for i in range(0, 30, 3)]
+        + [("only_store", 0.3, 0.7, 0.2, 0.2, 0.2, 0.2, 0.2)],
+        "mdn string, " + ", ".join(f"{v} double" for v in PR.PROFILE_VALUES))
+    a = sorted(tuple(r) for r in PR.build_profiles(steps).collect())
+    b = sorted(tuple(r) for r in PR.build_profiles_sorted(steps).collect())
+    assert a == b
+    a = sorted(tuple(r) for r in PR.merge_profiles(store, steps).collect())
+    b = sorted(tuple(r) for r in PR.merge_profiles_sorted(store, steps).collect())
+    assert a == b and len(a) == 32
+
+
+def test_fold_mode_follows_the_tag_bound(spark):
+    from tessera.sources import derived as d
+    sf = "/root/testdata/sf0.001"
+    usage, tags = d.usage_lines(spark, sf), d.tag_lines(spark, sf)
+    plan_auto = jobs.profiles_from_logs(usage, tags)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan_auto                     # bounded library: array fold
+    small_bound = jobs.profiles_from_logs(usage, tags, max_broadcast_rows=10)
+    plan = small_bound._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" in plan                              # no proven bound: sorted fold
+    assert sorted(tuple(r) for r in small_bound.collect()) == sorted(
+        tuple(r) for r in jobs.profiles_from_logs(usage, tags).collect())
