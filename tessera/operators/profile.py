@@ -168,49 +168,48 @@ def _fold_partition(batches):
 
     rank 0 = start state (the stored profile), rank 1 = a step (tag values NULL
     for an untagged app: skipped, the user is still emitted). The arithmetic is
-    the same IEEE operations in the same order as ``fold_step``.
+    written out with the same IEEE operations in the same order as
+    ``fold_step`` (``d = sum(state) + sum(tag) * t``, ``(state + tag * t) / d``),
+    so both paths give bit-identical results.
     """
-    import numpy as np
-    import pandas as pd
-
-    groups = (("male", "female"), ("age1", "age2", "age3", "age4", "age5"))
-    cur, state, out = None, None, []
+    import math
 
-    def flush():
-        out.append((cur, *[state[n] for n in PROFILE_VALUES]))
+    import pandas as pd
 
+    p = [PRIOR[n] for n in PROFILE_VALUES]
+    cur = None
+    s0 = s1 = a1 = a2 = a3 = a4 = a5 = 0.0
+    out = []
     for pdf in batches:
-        mdns = pdf["mdn"].to_numpy(dtype=object)
-        ranks = pdf["rank"].to_numpy()
-        times = pdf["times"].to_numpy(dtype="float64", na_value=np.nan)
-        vals = {n: pdf[n].to_numpy(dtype="float64", na_value=np.nan) for n in PROFILE_VALUES}
-        for i in range(len(pdf)):
-            if mdns[i] != cur:
+        mdns = pdf["mdn"].tolist()
+        ranks = pdf["rank"].tolist()
+        times = pdf["times"].tolist()
+        cols = [pdf[n].tolist() for n in PROFILE_VALUES]
+        for i, m in enumerate(mdns):
+            if m != cur:
                 if cur is not None:
-                    flush()
-                cur, state = mdns[i], dict(PRIOR)
+                    out.append((cur, s0, s1, a1, a2, a3, a4, a5))
+                cur = m
+                s0, s1, a1, a2, a3, a4, a5 = p
+            vm, vf, v1, v2, v3, v4, v5 = (c[i] for c in cols)
             if ranks[i] == 0:
-                state = {n: float(vals[n][i]) for n in PROFILE_VALUES}
+                s0, s1, a1, a2, a3, a4, a5 = vm, vf, v1, v2, v3, v4, v5
                 continue
-            if np.isnan(vals["male"][i]):
+            if vm is None or (isinstance(vm, float) and math.isnan(vm)):
                 continue                      # untagged app: no update
             t = float(times[i])
-            for g in groups:
-                s_tag = vals[g[0]][i]
-                for n in g[1:]:
-                    s_tag = s_tag + vals[n][i]
-                acc = state[g[0]]
-                for n in g[1:]:
-                    acc = acc + state[n]
-                d = acc + float(s_tag) * t
-                if d != 0.0:
-                    for n in g:
-                        state[n] = (state[n] + float(vals[n][i]) * t) / d
+            d = (s0 + s1) + (vm + vf) * t
+            if d != 0.0:
+                s0, s1 = (s0 + vm * t) / d, (s1 + vf * t) / d
+            d = ((((a1 + a2) + a3) + a4) + a5) + ((((v1 + v2) + v3) + v4) + v5) * t
+            if d != 0.0:
+                a1, a2, a3, a4, a5 = ((a1 + v1 * t) / d, (a2 + v2 * t) / d, (a3 + v3 * t) / d,
+                                      (a4 + v4 * t) / d, (a5 + v5 * t) / d)
         if len(out) >= 4096:      # emit finished users batch by batch
             yield pd.DataFrame(out, columns=list(PROFILE_COLUMNS))
             out = []
     if cur is not None:
-        flush()
+        out.append((cur, s0, s1, a1, a2, a3, a4, a5))
     if out:
         yield pd.DataFrame(out, columns=list(PROFILE_COLUMNS))
 
