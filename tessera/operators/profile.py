@@ -8,10 +8,17 @@ one, else the prior):
 
 Gender (2 values) and age (5 brackets) are folded independently. The fold is
 order dependent -- every step renormalises -- so it is never replaced by a sum.
-It runs as Spark's ``aggregate`` higher-order function over the steps ordered by
-``sort_array``, i.e. inside the JVM. The array holds at most one entry per tagged app of a user
-(it is built after the per-(user, app) aggregate), so its length is bounded by
-the size of the tag library whatever the user's share of the log.
+
+Two exact implementations, bit-identical:
+
+* array fold (default): Spark's ``aggregate`` higher-order function over the
+  user's steps ordered by ``sort_array``, inside the JVM. The array holds at
+  most one entry per tagged app of the user (it is built after the
+  per-(user, app) aggregate), so its length is bounded by the size-checked tag
+  library whatever the user's share of the log.
+* sorted fold (``fold_sorted``): secondary sort -- hash-partition by mdn, sort
+  within partitions, fold each partition in order -- for when no such bound is
+  proven; no group is ever materialised.
 """
 
 from __future__ import annotations
