@@ -68,4 +68,12 @@ def stream_kafka(spark: SparkSession, brokers: str, topics: str, *,
         r = r.option("kafka.group.id", group_id)
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    return r.load().select(F.col("value").cast("string").alias("value"))
+    try:
+        df = r.load()
+    except Exception as e:  # the connector is a separate package
+        if "kafka" in str(e).lower() and ("find" in str(e).lower() or "not" in str(e).lower()):
+            raise RuntimeError(
+                "Kafka source unavailable: add org.apache.spark:spark-sql-kafka-0-10_2.13 "
+                "(same version as Spark) to spark.jars.packages") from e
+        raise
+    return df.select(F.col("value").cast("string").alias("value"))
