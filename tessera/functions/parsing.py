@@ -83,6 +83,12 @@ def parse_float(s: Column) -> Column:
     return _java_float_text(s).try_cast("float")
 
 
+def required(value: Column, what: str, dtype: str) -> Column:
+    """``value`` (of type ``dtype``), or fail the job when it is NULL -- a
+    malformed mandatory field -- independent of the session's ANSI setting."""
+    return F.coalesce(value, F.raise_error(F.lit(f"malformed input: {what}")).cast(dtype))
+
+
 def is_blank(s: Column) -> Column:
     """commons-lang ``StringUtils.isEmpty``: null or zero length."""
     return F.coalesce(F.length(s) == 0, F.lit(True))

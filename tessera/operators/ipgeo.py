@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.functions.parsing import split_once
+from tessera.functions.parsing import field, parse_long, required, split_once
 from tessera.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, materialize_head
 
 # --- fixed values ------------------------------------------------------------------
@@ -18,11 +18,12 @@ BLOCK_BITS = 16             # ranges are cut into /16 blocks for the equi-join k
 def parse_ip_rules(lines: DataFrame) -> DataFrame:
     """``|``-separated rule lines -> ``(start, end, province)``; fields 2, 3 and 6.
 
-    Uses throwing casts: a malformed rule fails the job."""
+    A malformed rule (missing field, non-numeric bound) fails the job."""
     parts = F.col("_parts")
-    return split_once(lines, "|").select(F.element_at(parts, 3).cast("bigint").alias("start"),
-                        F.element_at(parts, 4).cast("bigint").alias("end"),
-                        F.element_at(parts, 7).alias("province"))
+    return split_once(lines, "|").select(
+        required(parse_long(field(parts, 2)), "rule start", "bigint").alias("start"),
+        required(parse_long(field(parts, 3)), "rule end", "bigint").alias("end"),
+        required(field(parts, 6), "rule province", "string").alias("province"))
 
 
 def overlapping_rules(rules: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.parsing import field, split_once
+from tessera.functions.parsing import field, parse_double, required, split_once
 from tessera.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 
 TAG_VALUES = ("male", "female", "age1", "age2", "age3", "age4", "age5")
@@ -15,13 +15,14 @@ TAG_COLUMNS = ("app_id", "name") + TAG_VALUES
 def parse_tags(lines: DataFrame, order_col: str | None = "line_no") -> DataFrame:
     """``app_id|name|male|female|age1..age5`` -> typed columns.
 
-    The seven values use a throwing (ANSI) cast: a malformed tag line fails the
+    The seven values must parse as Java doubles: a malformed tag line fails the
     job, as in the reference, instead of silently skewing every profile.
     ``app_id`` stays the raw string (``"007"`` is not ``"7"``).
     """
     parts = F.col("_parts")
     cols = [field(parts, 0).alias("app_id"), field(parts, 1).alias("name")]
-    cols += [F.element_at(parts, i + 3).cast("double").alias(v) for i, v in enumerate(TAG_VALUES)]
+    cols += [required(parse_double(field(parts, i + 2)), f"tag {v}", "double").alias(v)
+             for i, v in enumerate(TAG_VALUES)]
     if order_col is not None:
         cols.append(F.col(order_col))
     return split_once(lines, "|").select(*cols)

@@ -102,3 +102,19 @@ def test_kpis_in_one_pass(spark):
     assert kpi[("province", "北京")] == 8000.0
     assert kpi[("province", UNKNOWN_PROVINCE)] == 10398.0
     assert kpi[("category", "食品")] == 6000.0
+
+
+def test_malformed_rule_or_tag_fails(spark):
+    from tessera.operators.tags import tag_library
+    with pytest.raises(Exception):
+        parse_ip_rules(lines_df(spark, ["a|b|x|10|c|d|p"])).collect()
+    with pytest.raises(Exception):
+        parse_ip_rules(lines_df(spark, ["a|b|1|10|c"])).collect()
+    with pytest.raises(Exception):
+        tag_library(lines_df(spark, ["7|n|0.5|x|0.2|0.2|0.2|0.2|0.2"], line_no=[1])).collect()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception):
+            tag_library(lines_df(spark, ["7|n|0.5|x|0.2|0.2|0.2|0.2|0.2"], line_no=[1])).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
