@@ -30,7 +30,6 @@ from tessera.streaming import compact as cmp
 from tessera.streaming import orders as so
 
 
-
 def _money(df: DataFrame, col: str = "value") -> DataFrame:
     return df.withColumn(col, F.round(F.col(col), 2))
 
