@@ -38,16 +38,18 @@ def shared_root(spark: SparkSession) -> str:
 
     Read from ``spark.checkpoint.dir`` (or a checkpoint dir already set on the
     context). Only when neither exists -- a bare test session -- a local temp
-    folder is created and registered as the checkpoint dir.
+    folder is created. The folder is also registered as the context's
+    checkpoint dir when none is set, so ``DataFrame.checkpoint()`` works.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+        "spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
