@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tessera.operators import sorted_fold
 from tessera.operators.tags import TAG_VALUES
 
 GENDER = ("male", "female")
@@ -164,63 +165,9 @@ def merged_sorted(tagged: DataFrame) -> DataFrame:
 
 # --- streaming fold: the exact path for groups with no proven size bound ---------
 
-_EVENT_SCHEMA = ("mdn string, rank int, app_id string, times bigint, "
-                 + ", ".join(f"{n} double" for n in PROFILE_VALUES))
 _OUT_SCHEMA = "mdn string, " + ", ".join(f"{n} double" for n in PROFILE_VALUES)
 
 
-def _fold_partition(batches):
-    """Fold rows sorted by (mdn, rank, app_id), carrying the state across Arrow
-    batches: memory is one batch, whatever the number of rows of a user.
-
-    rank 0 = start state (the stored profile), rank 1 = a step (tag values NULL
-    for an untagged app: skipped, the user is still emitted). The arithmetic is
-    written out with the same IEEE operations in the same order as
-    ``fold_step`` (``d = sum(state) + sum(tag) * t``, ``(state + tag * t) / d``),
-    so both paths give bit-identical results.
-    """
-    import math
-
-    import pandas as pd
-
-    p = [PRIOR[n] for n in PROFILE_VALUES]
-    cur = None
-    s0 = s1 = a1 = a2 = a3 = a4 = a5 = 0.0
-    out = []
-    for pdf in batches:
-        mdns = pdf["mdn"].tolist()
-        ranks = pdf["rank"].tolist()
-        times = pdf["times"].tolist()
-        cols = [pdf[n].tolist() for n in PROFILE_VALUES]
-        for i, m in enumerate(mdns):
-            if m != cur:
-                if cur is not None:
-                    out.append((cur, s0, s1, a1, a2, a3, a4, a5))
-                cur = m
-                s0, s1, a1, a2, a3, a4, a5 = p
-            vm, vf, v1, v2, v3, v4, v5 = (c[i] for c in cols)
-            if ranks[i] == 0:
-                s0, s1, a1, a2, a3, a4, a5 = vm, vf, v1, v2, v3, v4, v5
-                continue
-            if vm is None or (isinstance(vm, float) and math.isnan(vm)):
-                continue                      # untagged app: no update
-            t = float(times[i])
-            d = (s0 + s1) + (vm + vf) * t
-            if d != 0.0:
-                s0, s1 = (s0 + vm * t) / d, (s1 + vf * t) / d
-            d = ((((a1 + a2) + a3) + a4) + a5) + ((((v1 + v2) + v3) + v4) + v5) * t
-            if d != 0.0:
-                a1, a2, a3, a4, a5 = ((a1 + v1 * t) / d, (a2 + v2 * t) / d, (a3 + v3 * t) / d,
-                                      (a4 + v4 * t) / d, (a5 + v5 * t) / d)
-        if len(out) >= 4096:      # emit finished users batch by batch
-            yield pd.DataFrame(out, columns=list(PROFILE_COLUMNS))
-            out = []
-    if cur is not None:
-        out.append((cur, s0, s1, a1, a2, a3, a4, a5))
-    if out:
-        yield pd.DataFrame(out, columns=list(PROFILE_COLUMNS))
-
-
 def fold_sorted(events: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Profiles from an event relation ``(mdn, rank, app_id, times, 7 values)``
     by secondary sort: hash-partition by mdn, sort inside partitions by
@@ -228,7 +175,7 @@ def fold_sorted(events: DataFrame, num_partitions: int | None = None) -> DataFra
     each partition in order. No group is materialised anywhere."""
     n = num_partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = events.repartition(n, "mdn").sortWithinPartitions("mdn", "rank", "app_id")
-    return ordered.mapInPandas(_fold_partition, _OUT_SCHEMA)
+    return ordered.mapInPandas(sorted_fold.fold_partition(PRIOR, PROFILE_VALUES), _OUT_SCHEMA)
 
 
 def step_events(tagged_sums: DataFrame) -> DataFrame:
