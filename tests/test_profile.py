@@ -230,3 +230,15 @@ def test_fold_mode_follows_the_tag_bound(spark):
     assert "MapInPandas" in plan                              # no proven bound: sorted fold
     assert sorted(tuple(r) for r in small_bound.collect()) == sorted(
         tuple(r) for r in jobs.profiles_from_logs(usage, tags).collect())
+
+
+def test_bucketed_store_falls_back_to_parquet(spark):
+    from tessera.sources import derived as d
+    root = scratch_path(spark, "t-bk-fallback")
+    store = SnapshotStore(spark, root, buckets=4, table_prefix="t_fb_" + root.rsplit("-", 1)[-1])
+    store.write(d.stored_profiles(spark, "/root/testdata/sf0.001"), 0)
+    via_table = sorted(tuple(r) for r in store.read(0).collect())
+    spark.sql(f"DROP TABLE {store.table(0)}")          # as in a new app without a metastore
+    assert not spark.catalog.tableExists(store.table(0))
+    via_files = sorted(tuple(r) for r in store.read(0).collect())
+    assert via_table == via_files and len(via_files) > 0

@@ -107,3 +107,20 @@ def test_hourly_layout_archive_and_compaction(spark):
     comp = C.read_compacted(spark, f"{root}/compacted").select(*O.ORDER_COLUMNS)
     expected = sorted(tuple(x) for x in O.parse_orders(lines_df(spark, GOLDEN)).collect())
     assert sorted(tuple(x) for x in comp.collect()) == expected and len(outs) >= 1
+
+
+def test_archive_restart_is_exactly_once(spark):
+    root = local_path(scratch_path(spark, "t-arch-restart"))
+    src = f"{root}/src"
+    write_lines(src, "a.txt", GOLDEN[:4])
+
+    def run():
+        q = S.start_archive_query(stream_text_dir(spark, src, 1), f"{root}/data", f"{root}/ckpt",
+                                  trigger="availableNow")
+        q.awaitTermination()
+        return S.read_archive(spark, f"{root}/data").count()
+
+    assert run() == 4
+    assert run() == 4                       # restart without new input: nothing rewritten
+    write_lines(src, "b.txt", GOLDEN[4:6])
+    assert run() == 6                       # only the new file is appended
