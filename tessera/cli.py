@@ -73,9 +73,15 @@ def cmd_order_stream(a) -> None:
     aq = orders.start_archive_query(src, a.archive, f"{ckpt}/archive", a.policy, a.zone,
                                     trigger=a.trigger, layout=a.layout,
                                     max_records_per_file=a.max_records_per_file)
-    spark.streams.awaitAnyTermination()
-    for q in (kq, aq):
-        q.stop()
+    if a.trigger == "availableNow":
+        for q in (kq, aq):          # each drains the input, then stops by itself
+            q.awaitTermination()
+        return
+    try:
+        spark.streams.awaitAnyTermination()   # runs until one fails or is stopped
+    finally:
+        for q in (kq, aq):
+            q.stop()
 
 
 def cmd_order_kpis(a) -> None:

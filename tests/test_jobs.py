@@ -79,3 +79,17 @@ def test_kafka_source_without_connector_explains_itself(spark):
     else:   # connector present: the stream has the one string column
         assert df.columns == ["value"]
         pytest.skip("kafka connector available")
+
+
+def test_cli_order_stream_from_directory(spark):
+    root = local_path(scratch_path(spark, "t-cli-stream"))
+    write(f"{root}/in/a.txt", GOLDEN[:7])
+    write(f"{root}/in/b.txt", GOLDEN[7:])
+    write(f"{root}/rules/r.txt", ["a|b|3395994624|3395994879|x|y|北京|z"])
+    cli.main(["order-stream", "--input-dir", f"{root}/in", "--rules", f"{root}/rules",
+              "--kpi", f"{root}/kpi", "--archive", f"{root}/archive", "--checkpoint",
+              f"{root}/ckpt", "--trigger", "availableNow", "--zone", "UTC"])
+    from tessera.streaming import orders as S
+    kpi = {(r.metric, r.key): r.value for r in S.read_kpis(spark, f"{root}/kpi").collect()}
+    assert kpi[("total", "all")] == 18398.0
+    assert S.read_archive(spark, f"{root}/archive").count() == 6
