@@ -21,11 +21,11 @@ from tessera.operators.partitions import partition_by_user, partition_report
 from tessera.operators.tags import join_tags, tag_library
 from tessera.plans import jobs
 from tessera.plans.snapshot import SnapshotStore
-from tessera.plans.textio import (profile_from_text, profile_to_text, usage_sums_from_text,
-                                  usage_sums_to_text, write_text)
+from tessera.plans.textio import (profile_from_text, profile_to_text, tagged_from_text,
+                                  usage_sums_from_text, usage_sums_to_text, write_text)
 from tessera.session import scratch_path
 from tessera.sources import derived as d
-from tessera.sources.text import read_lines, stream_text_dir
+from tessera.sources.text import read_lines, read_tagged_paths, stream_text_dir
 from tessera.streaming import compact as cmp
 from tessera.streaming import orders as so
 
@@ -104,6 +104,18 @@ def q_tagged_union(spark: SparkSession, sf: str) -> DataFrame:
     return prof.tagged_union(d.stored_profiles(spark, sf), jobs.usage_sums(d.usage_lines(spark, sf)))
 
 
+def q_tagged_union_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The multi-input form: stored profiles and usage sums land as ``|`` text in
+    two folders and come back through ONE read whose ``source`` is taken from
+    the file path (the folder holding the store export is marked)."""
+    root = scratch_path(spark, "tagged-files")
+    write_text(profile_to_text(d.stored_profiles(spark, sf)), f"{root}/fromstore")
+    write_text(usage_sums_to_text(jobs.usage_sums(d.usage_lines(spark, sf))), f"{root}/fromlog")
+    lines = read_tagged_paths(spark, [f"{root}/fromstore", f"{root}/fromlog"], "fromstore",
+                              "store", "log")
+    return tagged_from_text(lines)
+
+
 def q_update_sequence(spark: SparkSession, sf: str) -> DataFrame:
     return prof.update_sequence(q_tagged_union(spark, sf))
 
@@ -234,6 +246,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_merge": q_profile_merge,
     "profile_merge_sorted": q_profile_merge_sorted,
     "tagged_union": q_tagged_union,
+    "tagged_union_files": q_tagged_union_files,
     "update_sequence": q_update_sequence,
     "merged_sorted": q_merged_sorted,
     "profile_text": q_profile_text,

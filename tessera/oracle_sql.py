@@ -230,6 +230,7 @@ FROM sums s LEFT JOIN tags t ON s.app_id = t.app_id""",
         "profile_merge": PROFILE_MERGE,
         "profile_merge_sorted": PROFILE_MERGE,
         "tagged_union": f"{with_store}\nSELECT * FROM tagged",
+        "tagged_union_files": f"{with_store}\nSELECT * FROM tagged",
         "update_sequence": f"""{with_store}
 SELECT mdn, source, app_id, times,
        ROW_NUMBER() OVER (PARTITION BY mdn ORDER BY {rank}, app_id) AS seq

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.parsing import evaluate_once, field, parse_double, parse_long, split_once
-from tessera.operators.profile import PROFILE_VALUES
+from tessera.operators.profile import PROFILE_VALUES, tagged_union
 
 
 def profile_to_text(profiles: DataFrame) -> DataFrame:
@@ -46,3 +46,12 @@ def usage_sums_from_text(lines: DataFrame) -> DataFrame:
 def write_text(df: DataFrame, path: str) -> str:
     df.select("value").write.mode("overwrite").text(path)
     return path
+
+
+def tagged_from_text(lines: DataFrame) -> DataFrame:
+    """One read over stored-profile text and usage-sum text (``source`` column
+    from the path, see ``sources.text.read_tagged_paths``) -> the typed tagged
+    relation of ``operators.profile.tagged_union``."""
+    store = profile_from_text(lines.where(F.col("source") == "store").select("value"))
+    sums = usage_sums_from_text(lines.where(F.col("source") == "log").select("value"))
+    return tagged_union(store, sums)
