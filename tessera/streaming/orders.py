@@ -104,13 +104,17 @@ def start_archive_query(lines: DataFrame, archive_root: str, checkpoint: str,
                         policy: str = "strict", zone: str = "UTC", fmt: str = "parquet",
                         trigger: str | None = BATCH_INTERVAL,
                         max_records_per_file: int | None = None, layout: str = "ymdh",
-                        files_per_batch: int | None = None) -> StreamingQuery:
+                        files_per_batch: int | None = None,
+                        log_retention: str | None = None) -> StreamingQuery:
     """File sink, one directory per processing hour. ``max_records_per_file``
     bounds file size (the rolling size limit); small files of an hour are merged
     later by ``compact_hour``. By default parallelism is left to the source
     partitions, so a large batch is still written in parallel;
     ``files_per_batch=1`` reproduces "one file per batch" (a ``coalesce`` on the
-    stream, narrow, applied per micro-batch) for small streams."""
+    stream, narrow, applied per micro-batch) for small streams. ``log_retention``
+    (e.g. ``"30d"``) ages entries out of the sink's commit log, which otherwise
+    lists every file ever written; readers then see only the retained files,
+    so compact an hour before its entries expire."""
     df = archive_stream(lines, policy, zone, layout)
     if files_per_batch:
         df = df.coalesce(files_per_batch)
@@ -119,6 +123,8 @@ def start_archive_query(lines: DataFrame, archive_root: str, checkpoint: str,
          .option("path", archive_root))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
+    if log_retention:
+        w = w.option("retention", log_retention)
     return _trigger(w, trigger).start()
 
 

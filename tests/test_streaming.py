@@ -62,7 +62,7 @@ def test_archive_and_compaction(spark):
     for i in range(0, len(GOLDEN), 2):
         write_lines(src, f"p{i:03d}.txt", GOLDEN[i:i + 2])
     q = S.start_archive_query(stream_text_dir(spark, src, 2), f"{root}/data", f"{root}/ckpt",
-                              trigger="availableNow", zone="Asia/Shanghai")
+                              trigger="availableNow", zone="Asia/Shanghai", log_retention="30d")
     q.awaitTermination()
     arch = S.read_archive(spark, f"{root}/data")
     rows = arch.collect()
