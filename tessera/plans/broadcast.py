@@ -12,14 +12,6 @@ from tessera.session import shared_root
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> int:
-    """Row count of ``df`` capped at ``max_rows + 1`` (stops reading early).
-
-    The cap only bounds the size check itself; no data is dropped from the join.
-    """
-    return df.limit(max_rows + 1).count()
-
-
 def materialize_head(df: DataFrame, max_rows: int) -> tuple[DataFrame, int]:
     """Compute at most ``max_rows + 1`` rows of ``df`` once and keep them.
 
