@@ -25,7 +25,10 @@ def profile_from_text(lines: DataFrame) -> DataFrame:
     vals = [parse_double(field(parts, i + 1)).alias(n) for i, n in enumerate(PROFILE_VALUES)]
     out = evaluate_once(split_once(lines.select("value"), "|"), F.size(parts).alias("_n"),
                         field(parts, 0).alias("mdn"), *vals)
-    return out.where(F.col("_n") == 8).drop("_n").dropna()
+    ok = F.col("_n") == 8
+    for c in ("mdn",) + PROFILE_VALUES:     # NULL = not a Java double; NaN is a valid value
+        ok = ok & F.col(c).isNotNull()
+    return out.where(ok).drop("_n")
 
 
 def usage_sums_to_text(sums: DataFrame) -> DataFrame:

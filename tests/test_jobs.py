@@ -93,3 +93,12 @@ def test_cli_order_stream_from_directory(spark):
     kpi = {(r.metric, r.key): r.value for r in S.read_kpis(spark, f"{root}/kpi").collect()}
     assert kpi[("total", "all")] == 18398.0
     assert S.read_archive(spark, f"{root}/archive").count() == 6
+
+
+def test_profile_text_keeps_nan_and_rejects_garbage(spark):
+    from tessera.plans.textio import profile_from_text
+    from tests.conftest import lines_df
+    df = lines_df(spark, ["a|NaN|0.5|0.2|0.2|0.2|0.2|0.2", "b|x|0.5|0.2|0.2|0.2|0.2|0.2",
+                          "c|0.5|0.5|0.2|0.2|0.2|0.2", "d|1e-3|0.999|0.2|0.2|0.2|0.2|0.2"])
+    got = {r.mdn: r for r in profile_from_text(df).collect()}
+    assert set(got) == {"a", "d"} and got["a"].male != got["a"].male and got["d"].male == 0.001
