@@ -179,14 +179,17 @@ def fold_sorted(events: DataFrame, num_partitions: int | None = None) -> DataFra
 
 
 def step_events(tagged_sums: DataFrame) -> DataFrame:
+    """Usage sums as fold events (rank 1); ``tagged`` marks a tag-library hit
+    (a NaN tag value is a hit, as in the array fold)."""
     return tagged_sums.select("mdn", F.lit(1).alias("rank"), "app_id",
-                              F.col("times").cast("bigint").alias("times"), *TAG_VALUES)
+                              F.col("times").cast("bigint").alias("times"),
+                              F.col("male").isNotNull().alias("tagged"), *TAG_VALUES)
 
 
 def store_events(store: DataFrame) -> DataFrame:
     return store.where(F.length("mdn") > 0).select(
         "mdn", F.lit(0).alias("rank"), F.lit(None).cast("string").alias("app_id"),
-        F.lit(None).cast("bigint").alias("times"),
+        F.lit(None).cast("bigint").alias("times"), F.lit(True).alias("tagged"),
         *[F.coalesce(F.col(n), F.raise_error(F.lit(f"NULL {n} in a stored profile")))
           .alias(n) for n in PROFILE_VALUES])
 

@@ -26,8 +26,6 @@ def _fold(batches, prior, names):
     ``fold_step`` (``d = sum(state) + sum(tag) * t``, ``(state + tag * t) / d``),
     so both paths give bit-identical results.
     """
-    import math
-
     import pandas as pd
 
     p = [prior[n] for n in names]
@@ -38,6 +36,7 @@ def _fold(batches, prior, names):
     for pdf in batches:
         mdns = pdf["mdn"].tolist()
         ranks = pdf["rank"].tolist()
+        tagged = pdf["tagged"].tolist()
         times = pdf["times"].tolist()
         cols = [pdf[n].tolist() for n in names]
         for i, m in enumerate(mdns):
@@ -50,7 +49,7 @@ def _fold(batches, prior, names):
             if ranks[i] == 0:
                 s0, s1, a1, a2, a3, a4, a5 = vm, vf, v1, v2, v3, v4, v5
                 continue
-            if vm is None or (isinstance(vm, float) and math.isnan(vm)):
+            if not tagged[i]:
                 continue                      # untagged app: no update
             t = float(times[i])
             d = (s0 + s1) + (vm + vf) * t
