@@ -175,7 +175,7 @@ def fold_sorted(events: DataFrame, num_partitions: int | None = None) -> DataFra
     each partition in order. No group is materialised anywhere."""
     n = num_partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = events.repartition(n, "mdn").sortWithinPartitions("mdn", "rank", "app_id")
-    return ordered.mapInPandas(sorted_fold.fold_partition(PRIOR, PROFILE_VALUES), _OUT_SCHEMA)
+    return ordered.mapInArrow(sorted_fold.fold_partition(PRIOR, PROFILE_VALUES), _OUT_SCHEMA)
 
 
 def step_events(tagged_sums: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 
 def fold_partition(prior: dict, names: tuple):
-    """The ``mapInPandas`` function, with the prior and value names bound."""
+    """The ``mapInArrow`` function, with the prior and value names bound."""
     prior, names = dict(prior), tuple(names)
 
     def run(batches):
@@ -18,7 +18,7 @@ def fold_partition(prior: dict, names: tuple):
 
 def _fold(batches, prior, names):
     """Fold rows sorted by (mdn, rank, app_id), carrying the state across Arrow
-    batches: memory is one batch, whatever the number of rows of a user.
+    record batches: memory is one batch, whatever the number of rows of a user.
 
     rank 0 = start state (the stored profile), rank 1 = a step (tag values NULL
     for an untagged app: skipped, the user is still emitted). The arithmetic is
@@ -26,19 +26,29 @@ def _fold(batches, prior, names):
     ``fold_step`` (``d = sum(state) + sum(tag) * t``, ``(state + tag * t) / d``),
     so both paths give bit-identical results.
     """
-    import pandas as pd
+    import pyarrow as pa
 
     p = [prior[n] for n in names]
     columns = ["mdn", *names]
+    types = [pa.string()] + [pa.float64()] * len(names)
+
+    def emit(rows):
+        # Arrow arrays built from Python floats keep NaN as a value (a pandas
+        # round trip would turn it into NULL)
+        cols = list(zip(*rows))
+        return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, types)],
+                                          names=columns)
+
     cur = None
     s0 = s1 = a1 = a2 = a3 = a4 = a5 = 0.0
     out = []
-    for pdf in batches:
-        mdns = pdf["mdn"].tolist()
-        ranks = pdf["rank"].tolist()
-        tagged = pdf["tagged"].tolist()
-        times = pdf["times"].tolist()
-        cols = [pdf[n].tolist() for n in names]
+    for batch in batches:
+        col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+        mdns = col["mdn"].to_pylist()
+        ranks = col["rank"].to_pylist()
+        tagged = col["tagged"].to_pylist()
+        times = col["times"].to_pylist()
+        cols = [col[n].to_pylist() for n in names]
         for i, m in enumerate(mdns):
             if m != cur:
                 if cur is not None:
@@ -60,12 +70,12 @@ def _fold(batches, prior, names):
                 a1, a2, a3, a4, a5 = ((a1 + v1 * t) / d, (a2 + v2 * t) / d, (a3 + v3 * t) / d,
                                       (a4 + v4 * t) / d, (a5 + v5 * t) / d)
         if len(out) >= 4096:      # emit finished users batch by batch
-            yield pd.DataFrame(out, columns=columns)
+            yield emit(out)
             out = []
     if cur is not None:
         out.append((cur, s0, s1, a1, a2, a3, a4, a5))
     if out:
-        yield pd.DataFrame(out, columns=columns)
+        yield emit(out)
 
 
 try:  # ship this module's code with the function instead of importing it remotely

@@ -19,7 +19,7 @@ def physical(df) -> str:
 def test_no_nested_loops_cartesian_or_python(spark, name):
     plan = physical(QUERIES[name](spark, SF_SMALL))
     for bad in ("NestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython",
-                "FlatMapGroupsInPandas", "MapInPandas"):
+                "FlatMapGroupsInPandas", "MapInPandas", "MapInArrow"):
         assert bad not in plan, f"{name}: {bad} in plan"
 
 
@@ -31,7 +31,7 @@ def test_sorted_fold_plan(spark):
     df = jobs.profiles_from_logs(d.usage_lines(spark, SF_SMALL), d.tag_lines(spark, SF_SMALL),
                                  fold_mode="sorted")
     plan = physical(df)
-    assert "MapInPandas" in plan and "collect_list" not in plan
+    assert "MapInArrow" in plan and "collect_list" not in plan
     assert "hashpartitioning(mdn" in plan and "Sort [mdn" in plan
 
 

@@ -224,10 +224,10 @@ def test_fold_mode_follows_the_tag_bound(spark):
     sf = "/root/testdata/sf0.001"
     usage, tags = d.usage_lines(spark, sf), d.tag_lines(spark, sf)
     plan_auto = jobs.profiles_from_logs(usage, tags)._jdf.queryExecution().executedPlan().toString()
-    assert "MapInPandas" not in plan_auto                     # bounded library: array fold
+    assert "MapInArrow" not in plan_auto                     # bounded library: array fold
     small_bound = jobs.profiles_from_logs(usage, tags, max_broadcast_rows=10)
     plan = small_bound._jdf.queryExecution().executedPlan().toString()
-    assert "MapInPandas" in plan                              # no proven bound: sorted fold
+    assert "MapInArrow" in plan                              # no proven bound: sorted fold
     assert sorted(tuple(r) for r in small_bound.collect()) == sorted(
         tuple(r) for r in jobs.profiles_from_logs(usage, tags).collect())
 
