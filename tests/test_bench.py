@@ -1,0 +1,22 @@
+"""bench.py prints exactly one JSON line in the driver's format."""
+
+import json
+import os
+import subprocess
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def test_bench_prints_one_json_line():
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_CPUS="2",
+               BENCH_WARMUP="0", BENCH_QUERIES="usage_clean,order_total")
+    out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py")], env=env, cwd="/tmp",
+                         capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    lines = [ln for ln in out.stdout.splitlines() if ln.strip()]
+    assert len(lines) == 1
+    rec = json.loads(lines[0])
+    assert rec["unit"] == "sec" and rec["sf"] == 0.001 and rec["metric"]
+    assert set(rec["queries"]) == {"usage_clean", "order_total"}
+    assert abs(rec["value"] - sum(rec["queries"].values())) < 0.01
