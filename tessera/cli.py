@@ -42,7 +42,7 @@ def cmd_profile_update(a) -> None:
     base = a.base_version if a.base_version is not None else store.latest()
     if base is None:
         raise SystemExit(f"no snapshot under {a.store}; seed one with --init-from")
-    usage = read_lines(spark, a.logs)
+    usage = read_lines(spark, a.logs, rebalance=a.rebalance_input)
     tags = read_lines(spark, a.tags, with_order=True)
     v = jobs.run_daily_update(store, base, usage, tags, a.policy, order_col="line_order")
     print(f"wrote {store.path(v)}")
@@ -50,7 +50,7 @@ def cmd_profile_update(a) -> None:
 
 def cmd_profiles(a) -> None:
     spark = _spark()
-    prof = jobs.profiles_from_logs(read_lines(spark, a.logs),
+    prof = jobs.profiles_from_logs(read_lines(spark, a.logs, rebalance=a.rebalance_input),
                                    read_lines(spark, a.tags, with_order=True), a.policy,
                                    order_col="line_order")
     if a.format == "text":
@@ -86,7 +86,8 @@ def cmd_order_stream(a) -> None:
 
 def cmd_order_kpis(a) -> None:
     spark = _spark()
-    kpis = jobs.batch_order_kpis(read_lines(spark, a.orders), read_lines(spark, a.rules), a.policy)
+    kpis = jobs.batch_order_kpis(read_lines(spark, a.orders, rebalance=a.rebalance_input),
+                                 read_lines(spark, a.rules), a.policy)
     kpis.write.mode("overwrite").parquet(a.out)
 
 
@@ -97,7 +98,8 @@ def cmd_kpi_dump(a) -> None:
 
 def cmd_appstats_etl(a) -> None:
     spark = _spark()
-    write_text(clean_appstats(read_lines(spark, a.input), a.date_policy), a.out)
+    write_text(clean_appstats(read_lines(spark, a.input, rebalance=a.rebalance_input),
+                              a.date_policy), a.out)
 
 
 def cmd_compact_hour(a) -> None:
@@ -113,6 +115,8 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="job", required=True)
 
     s = sub.add_parser("profile-update")
+    s.add_argument("--rebalance-input", action="store_true",
+                   help="spread non-splittable (e.g. gzip) input before parsing")
     s.add_argument("--logs", nargs="+", required=True)
     s.add_argument("--tags", nargs="+", required=True)
     s.add_argument("--store", required=True)
@@ -124,6 +128,8 @@ def parser() -> argparse.ArgumentParser:
     s.set_defaults(fn=cmd_profile_update)
 
     s = sub.add_parser("profiles")
+    s.add_argument("--rebalance-input", action="store_true",
+                   help="spread non-splittable (e.g. gzip) input before parsing")
     s.add_argument("--logs", nargs="+", required=True)
     s.add_argument("--tags", nargs="+", required=True)
     s.add_argument("--out", required=True)
@@ -149,6 +155,8 @@ def parser() -> argparse.ArgumentParser:
     s.set_defaults(fn=cmd_order_stream)
 
     s = sub.add_parser("order-kpis")
+    s.add_argument("--rebalance-input", action="store_true",
+                   help="spread non-splittable (e.g. gzip) input before parsing")
     s.add_argument("--orders", nargs="+", required=True)
     s.add_argument("--rules", nargs="+", required=True)
     s.add_argument("--out", required=True)
@@ -161,6 +169,8 @@ def parser() -> argparse.ArgumentParser:
     s.set_defaults(fn=cmd_kpi_dump)
 
     s = sub.add_parser("appstats-etl")
+    s.add_argument("--rebalance-input", action="store_true",
+                   help="spread non-splittable (e.g. gzip) input before parsing")
     s.add_argument("--input", nargs="+", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--date-policy", choices=("lenient", "strict"), default="lenient")

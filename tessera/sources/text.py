@@ -9,13 +9,19 @@ from pyspark.sql import functions as F
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], *, with_order: bool = False,
-               source: str | None = None) -> DataFrame:
+               source: str | None = None, rebalance: bool = False) -> DataFrame:
     """``spark.read.text`` over one or more paths -> ``DF[value]``.
 
     ``with_order`` adds ``line_order``, a sortable struct that follows file order
     (file path, split start, position inside the split), for "last line wins"
     inputs. ``source`` adds a literal ``source`` column (the origin tag that the
     reference derived from the input path).
+
+    ``rebalance`` spreads the lines over AQE-sized partitions (Spark's
+    ``REBALANCE`` hint: one round-robin shuffle). Use it when the input is not
+    splittable, e.g. a few large gzip files, so one file holding a third of the
+    lines does not leave the CPU-bound parsing to one task. Splittable text is
+    already spread by the scan, so it is off by default.
     """
     if isinstance(paths, str):
         paths = [paths]
@@ -27,6 +33,8 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], *, with_order: b
             F.monotonically_increasing_id().alias("pos")))
     if source is not None:
         df = df.withColumn("source", F.lit(source))
+    if rebalance:
+        df = df.hint("rebalance")
     return df
 
 

@@ -102,3 +102,16 @@ def test_profile_text_keeps_nan_and_rejects_garbage(spark):
                           "c|0.5|0.5|0.2|0.2|0.2|0.2", "d|1e-3|0.999|0.2|0.2|0.2|0.2|0.2"])
     got = {r.mdn: r for r in profile_from_text(df).collect()}
     assert set(got) == {"a", "d"} and got["a"].male != got["a"].male and got["d"].male == 0.001
+
+
+def test_rebalanced_gzip_input(spark):
+    import gzip
+    root = local_path(scratch_path(spark, "t-gz"))
+    os.makedirs(f"{root}/logs", exist_ok=True)
+    with gzip.open(f"{root}/logs/d.txt.gz", "wt", encoding="utf-8") as f:
+        f.write("\n".join(usage_line(f"u{i % 7}", 10 + i % 3, i) for i in range(3000)) + "\n")
+    plain = read_lines(spark, f"{root}/logs")
+    spread = read_lines(spark, f"{root}/logs", rebalance=True)
+    assert plain.rdd.getNumPartitions() == 1
+    assert sorted(r.value for r in spread.collect()) == sorted(r.value for r in plain.collect())
+    assert "RebalancePartitions" in spread._jdf.queryExecution().optimizedPlan().toString()
