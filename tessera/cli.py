@@ -63,7 +63,8 @@ def cmd_order_stream(a) -> None:
     spark = _spark()
     if a.brokers:
         src = stream_kafka(spark, a.brokers, a.topics, starting_offsets=a.starting_offsets,
-                           group_id=a.group)
+                           group_id=a.group, max_offsets_per_trigger=a.max_offsets_per_trigger,
+                           min_partitions=a.min_partitions)
     else:
         src = stream_text_dir(spark, a.input_dir)
     ckpt = a.checkpoint or f"{shared_root(spark)}/tessera/order-stream"
@@ -142,6 +143,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--topics", default="")
     s.add_argument("--group")
     s.add_argument("--starting-offsets", default="earliest")
+    s.add_argument("--max-offsets-per-trigger", type=int)
+    s.add_argument("--min-partitions", type=int, help="split large Kafka partitions over tasks")
     s.add_argument("--input-dir", help="text directory instead of Kafka")
     s.add_argument("--rules", nargs="+", required=True)
     s.add_argument("--kpi", required=True)

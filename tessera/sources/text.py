@@ -61,11 +61,15 @@ def stream_text_dir(spark: SparkSession, path: str, max_files_per_trigger: int |
 
 def stream_kafka(spark: SparkSession, brokers: str, topics: str, *,
                  starting_offsets: str = "earliest", group_id: str | None = None,
-                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+                 max_offsets_per_trigger: int | None = None,
+                 min_partitions: int | None = None) -> DataFrame:
     """Kafka topics (comma-separated list) as a stream of ``value`` strings.
 
     Needs the spark-sql-kafka package on the cluster's classpath. Offsets are
     tracked by the query checkpoint, so no consumer commit is needed.
+    ``min_partitions`` lets Spark split a large topic partition over several
+    tasks, so one partition holding a third of the orders is not one task;
+    ``max_offsets_per_trigger`` bounds a batch after downtime.
     """
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", brokers)
@@ -76,6 +80,8 @@ def stream_kafka(spark: SparkSession, brokers: str, topics: str, *,
         r = r.option("kafka.group.id", group_id)
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if min_partitions:
+        r = r.option("minPartitions", str(min_partitions))
     try:
         df = r.load()
     except Exception as e:  # the connector is a separate package
