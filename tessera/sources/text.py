@@ -62,20 +62,23 @@ def stream_text_dir(spark: SparkSession, path: str, max_files_per_trigger: int |
 def stream_kafka(spark: SparkSession, brokers: str, topics: str, *,
                  starting_offsets: str = "earliest", group_id: str | None = None,
                  max_offsets_per_trigger: int | None = None,
-                 min_partitions: int | None = None) -> DataFrame:
+                 min_partitions: int | None = None,
+                 fail_on_data_loss: bool = True) -> DataFrame:
     """Kafka topics (comma-separated list) as a stream of ``value`` strings.
 
     Needs the spark-sql-kafka package on the cluster's classpath. Offsets are
     tracked by the query checkpoint, so no consumer commit is needed.
     ``min_partitions`` lets Spark split a large topic partition over several
     tasks, so one partition holding a third of the orders is not one task;
-    ``max_offsets_per_trigger`` bounds a batch after downtime.
+    ``max_offsets_per_trigger`` bounds a batch after downtime. By default the
+    query fails when offsets it has not read were deleted by retention, rather
+    than silently leaving those orders out of the totals.
     """
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", brokers)
          .option("subscribe", topics)
          .option("startingOffsets", starting_offsets)
-         .option("failOnDataLoss", "false"))
+         .option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if group_id:
         r = r.option("kafka.group.id", group_id)
     if max_offsets_per_trigger:
