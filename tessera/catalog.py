@@ -225,6 +225,11 @@ def q_appstats_etl(spark: SparkSession, sf: str) -> DataFrame:
     return clean_appstats(d.appstat_lines(spark, sf))
 
 
+def q_appstats_etl_strict(spark: SparkSession, sf: str) -> DataFrame:
+    """Same validation with a real calendar check on the timestamp (month 13 fails)."""
+    return clean_appstats(d.appstat_lines(spark, sf), "strict")
+
+
 def q_partition_report(spark: SparkSession, sf: str) -> DataFrame:
     """Placement of the usage sums after hash partitioning by user into the
     session's shuffle partition count (the reference used a fixed 4)."""
@@ -261,6 +266,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_archive": q_order_archive,
     "order_compact": q_order_compact,
     "appstats_etl": q_appstats_etl,
+    "appstats_etl_strict": q_appstats_etl_strict,
     "partition_report": q_partition_report,
 }
 

@@ -198,11 +198,14 @@ SELECT 'category' AS metric, category AS key, ROUND(SUM(total), 2) AS value
 FROM order_prov GROUP BY category"""
 
 _stat_ip = _pseudo_ip("event_id", d.IP_MUL_ORDER)
+_stat_date = (f"CASE WHEN event_id % {d.STAT_MONTH_13} = 0 THEN strftime(ts, '%Y-13-%d %H:%M:%S') "
+              "ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END")
 APPSTATS = f"""SELECT concat_ws(',', {_dotted(_stat_ip)}, CAST(user_id AS VARCHAR), event_type,
-                 strftime(ts, '%Y-%m-%d %H:%M:%S'), CAST(event_id AS VARCHAR)) AS value
+                 {_stat_date}, CAST(event_id AS VARCHAR)) AS value
 FROM events
 WHERE event_id % {d.STAT_SPOIL_DROP_FIELD} <> 0 AND event_id % {d.STAT_SPOIL_OCTET_ZERO} <> 0
   AND event_id % {d.STAT_SPOIL_DATE_TEXT} <> 0"""
+APPSTATS_STRICT = APPSTATS + f"\n  AND event_id % {d.STAT_MONTH_13} <> 0"
 
 
 def oracle_queries() -> dict[str, str]:
@@ -251,4 +254,5 @@ FROM tagged""",
         "order_archive": f"{_ORDERS_BASE}\nSELECT {_ORDER_COLS} FROM order_strict",
         "order_compact": f"{_ORDERS_BASE}\nSELECT {_ORDER_COLS} FROM order_strict",
         "appstats_etl": APPSTATS,
+        "appstats_etl_strict": APPSTATS_STRICT,
     }

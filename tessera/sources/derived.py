@@ -33,6 +33,7 @@ ORDER_SPOIL_PRICE_TEXT = 37   # l_orderkey % 37 = 0 -> price "x"
 STAT_SPOIL_DROP_FIELD = 11    # event_id % 11 = 0 -> last field dropped
 STAT_SPOIL_OCTET_ZERO = 13    # event_id % 13 = 0 -> first octet 0
 STAT_SPOIL_DATE_TEXT = 17     # event_id % 17 = 0 -> date "x"
+STAT_MONTH_13 = 19            # event_id % 19 = 0 -> month 13 (lenient parse only)
 IP_BASE = 16777216            # 1.0.0.0
 IP_SPAN = 3741319168          # addresses drawn from [1.0.0.0, 1.0.0.0 + IP_SPAN)
 IP_MUL_ORDER = 1640531527     # keys are reduced mod IP_SPAN first: no 64-bit overflow
@@ -180,8 +181,9 @@ def appstat_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ip = _pseudo_ip(k, IP_MUL_ORDER)
     head = [_spoil_first_octet(ip, k % STAT_SPOIL_OCTET_ZERO == 0), F.col("user_id").cast("string"),
             F.col("event_type"),
-            F.when(k % STAT_SPOIL_DATE_TEXT == 0, F.lit("x")).otherwise(
-                F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss"))]
+            F.when(k % STAT_SPOIL_DATE_TEXT == 0, F.lit("x"))
+            .when(k % STAT_MONTH_13 == 0, F.date_format(F.col("ts"), "yyyy-'13'-dd HH:mm:ss"))
+            .otherwise(F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss"))]
     full = F.concat_ws(",", *head, k.cast("string"))
     short = F.concat_ws(",", *head)
     return e.select(F.when(k % STAT_SPOIL_DROP_FIELD == 0, short).otherwise(full).alias("value"))
