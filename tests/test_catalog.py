@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
-from tools.check_oracle import TABLES, compare
+from tools.check_oracle import TABLES, compare, type_mismatches
 
 QUERIES = E.queries()
 SQL = E.oracle_sql()
@@ -29,10 +29,11 @@ def test_every_query_has_an_oracle_or_is_physical():
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    res = duck.execute(SQL[name])
-    ok, msg = compare(rows, df.columns, res.fetchall(), [c[0] for c in res.description])
+    rel = duck.sql(SQL[name])
+    ok, msg = compare(rows, df.columns, rel.fetchall(), rel.columns)
     assert ok, msg
     assert len(rows) > 0
+    assert not type_mismatches(df.dtypes, rel.columns, rel.types)
 
 
 def test_partition_report_accounts_for_every_row(spark):
