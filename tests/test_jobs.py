@@ -115,3 +115,21 @@ def test_rebalanced_gzip_input(spark):
     assert plain.rdd.getNumPartitions() == 1
     assert sorted(r.value for r in spread.collect()) == sorted(r.value for r in plain.collect())
     assert "RebalancePartitions" in spread._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_cli_kpi_dump_and_compact_hour(spark, capsys):
+    root = local_path(scratch_path(spark, "t-cli-compact"))
+    write(f"{root}/in/a.txt", GOLDEN)
+    write(f"{root}/rules/r.txt", ["a|b|3395994624|3395994879|x|y|北京|z"])
+    cli.main(["order-stream", "--input-dir", f"{root}/in", "--rules", f"{root}/rules",
+              "--kpi", f"{root}/kpi", "--archive", f"{root}/archive", "--checkpoint",
+              f"{root}/ckpt", "--trigger", "availableNow", "--zone", "UTC"])
+    cli.main(["kpi-dump", "--kpi", f"{root}/kpi"])
+    assert "18398.0" in capsys.readouterr().out
+    from tessera.streaming import orders as S
+    h = S.read_archive(spark, f"{root}/archive").select("year", "month", "day", "hour").first()
+    cli.main(["compact-hour", "--archive", f"{root}/archive", "--out", f"{root}/compacted",
+              "--year", h.year, "--month", h.month, "--day", h.day, "--hour", h.hour])
+    out = f"{root}/compacted/{h.year}/{h.month}/{h.day}/{h.hour}"
+    assert spark.read.parquet(out).count() == 6
+    assert len([f for f in os.listdir(out) if f.endswith(".parquet")]) == 1
