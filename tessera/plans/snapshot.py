@@ -6,11 +6,14 @@ re-running a day from the same base version rewrites the same result
 (idempotent). Readers pick the highest version that has a ``_SUCCESS`` marker.
 
 With ``buckets`` and ``table_prefix`` every version is also registered in the
-session catalog as a table bucketed (and sorted) by the key. Where the catalog
-is persistent (a metastore), the next day's merge reads the bucketed table and
-its join on the key needs no exchange on the snapshot side: only the day's
-usage is shuffled. Without the catalog entry the version is read as plain
-Parquet (same rows, one extra shuffle).
+session catalog as a table bucketed (and sorted) by the key, and a
+``_BUCKETS-<key>-<n>`` marker is written next to the data (a leading ``_``
+without ``=`` keeps it hidden from Parquet readers). The next day's merge reads
+the bucketed table and its join on the key needs no exchange on the snapshot
+side: only the day's usage is shuffled. A new application whose catalog does
+not know the table (no persistent metastore) re-registers it from the marker;
+a version without the marker is read as plain Parquet (same rows, one more
+shuffle).
 """
 
 from __future__ import annotations
@@ -63,10 +66,39 @@ class SnapshotStore:
         if version is None:
             raise FileNotFoundError(f"no committed snapshot under {self.root}")
         name = self.table(version)
-        if name and self.spark.catalog.tableExists(name):
+        if name and (self.spark.catalog.tableExists(name) or self._register(version)):
             return self.spark.table(name)
         return self.spark.read.parquet(self.path(version))
 
+    # --- bucket spec kept with the data ----------------------------------------
+
+    def _marker_path(self, version: int):
+        """``_BUCKETS-<key>-<n>``: the spec is the file name, so checking it is one
+        ``exists`` call (files starting with ``_`` are invisible to Spark readers)."""
+        jvm = self.spark.sparkContext._jvm
+        return jvm.org.apache.hadoop.fs.Path(self.path(version),
+                                             f"_BUCKETS-{self.key}-{self.buckets}")
+
+    def _write_marker(self, version: int) -> None:
+        _, fs = self._fs()
+        fs.create(self._marker_path(version), True).close()
+
+    def _register(self, version: int) -> bool:
+        """Re-register a bucketed version in this application's catalog from the
+        marker written with it (metadata only), so a new application without a
+        persistent metastore still reads it bucketed. Versions without a
+        matching marker stay plain Parquet."""
+        _, fs = self._fs()
+        if not fs.exists(self._marker_path(version)):
+            return False
+        schema = self.spark.read.parquet(self.path(version)).schema   # from the footers
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.table(version)} ({cols}) USING parquet "
+            f"CLUSTERED BY ({self.key}) SORTED BY ({self.key}) INTO {self.buckets} BUCKETS "
+            f"LOCATION '{self.path(version)}'")
+        return True
+
     def drop_versions_below(self, version: int) -> None:
         """Delete committed versions older than ``version`` (retention)."""
         jvm = self.spark.sparkContext._jvm
@@ -86,6 +118,7 @@ class SnapshotStore:
         if name:
             (df.write.mode("overwrite").bucketBy(self.buckets, self.key).sortBy(self.key)
              .option("path", self.path(version)).saveAsTable(name))
+            self._write_marker(version)
             return self.path(version)
         out = df.sortWithinPartitions(sort_key) if sort_key else df
         out.write.mode("overwrite").parquet(self.path(version))

@@ -62,6 +62,7 @@ def test_bucketed_snapshot_merge_skips_the_store_exchange(spark):
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     store = SnapshotStore(spark, root, buckets=n, table_prefix="t_bucket_" + root.rsplit("-", 1)[-1])
     store.write(d.stored_profiles(spark, SF_SMALL), 0)
+    spark.sql(f"DROP TABLE {store.table(0)}")   # a new application: re-registered from the marker
     merged = jobs.profiles_with_store(store.read(0), d.usage_lines(spark, SF_SMALL),
                                       d.tag_lines(spark, SF_SMALL))
     lines = physical(merged).splitlines()

@@ -232,7 +232,7 @@ def test_fold_mode_follows_the_tag_bound(spark):
         tuple(r) for r in jobs.profiles_from_logs(usage, tags).collect())
 
 
-def test_bucketed_store_falls_back_to_parquet(spark):
+def test_bucketed_store_survives_a_new_catalog(spark):
     from tessera.sources import derived as d
     root = scratch_path(spark, "t-bk-fallback")
     store = SnapshotStore(spark, root, buckets=4, table_prefix="t_fb_" + root.rsplit("-", 1)[-1])
@@ -240,8 +240,16 @@ def test_bucketed_store_falls_back_to_parquet(spark):
     via_table = sorted(tuple(r) for r in store.read(0).collect())
     spark.sql(f"DROP TABLE {store.table(0)}")          # as in a new app without a metastore
     assert not spark.catalog.tableExists(store.table(0))
-    via_files = sorted(tuple(r) for r in store.read(0).collect())
-    assert via_table == via_files and len(via_files) > 0
+    again = store.read(0)                              # re-registered from the _BUCKETS marker
+    assert spark.catalog.tableExists(store.table(0))
+    spec = {r.col_name: r.data_type for r in spark.sql(
+        f"DESCRIBE TABLE EXTENDED {store.table(0)}").collect()}
+    assert spec.get("Num Buckets") == "4" and "mdn" in spec.get("Bucket Columns", "")
+    assert sorted(tuple(r) for r in again.collect()) == via_table and len(via_table) > 0
+    other = SnapshotStore(spark, root, buckets=8, table_prefix="t_fb2_" + root.rsplit("-", 1)[-1])
+    plain = other.read(0)                              # spec mismatch: plain Parquet
+    assert not spark.catalog.tableExists(other.table(0))
+    assert sorted(tuple(r) for r in plain.collect()) == via_table
 
 
 def test_nan_tag_value_same_in_both_folds(spark):
