@@ -133,3 +133,22 @@ def test_cli_kpi_dump_and_compact_hour(spark, capsys):
     out = f"{root}/compacted/{h.year}/{h.month}/{h.day}/{h.hour}"
     assert spark.read.parquet(out).count() == 6
     assert len([f for f in os.listdir(out) if f.endswith(".parquet")]) == 1
+
+
+def test_last_line_wins_across_file_splits(spark):
+    root = local_path(scratch_path(spark, "t-splits"))
+    lines = [tag_line(i % 500 + 1, round((i % 97) / 100, 2), 0.5) for i in range(20000)]
+    write(f"{root}/tags/t.txt", lines)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        df = read_lines(spark, f"{root}/tags", with_order=True)
+        assert df.rdd.getNumPartitions() > 4
+        got = {r.app_id: r.male for r in tag_library(df, "line_order").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    expected = {}
+    for ln in lines:                     # a map put per line: the last one stays
+        f = ln.split("|")
+        expected[f[0]] = float(f[2])
+    assert got == expected
