@@ -152,3 +152,12 @@ def test_last_line_wins_across_file_splits(spark):
         f = ln.split("|")
         expected[f[0]] = float(f[2])
     assert got == expected
+
+
+def test_last_line_wins_across_files(spark):
+    root = local_path(scratch_path(spark, "t-files"))
+    write(f"{root}/tags/a.txt", [tag_line(1, 0.1, 0.9), tag_line(2, 0.2, 0.8)])
+    write(f"{root}/tags/b.txt", [tag_line(1, 0.7, 0.3)])
+    got = {r.app_id: r.male for r in tag_library(read_lines(spark, f"{root}/tags", with_order=True),
+                                                  "line_order").collect()}
+    assert got == {"1": 0.7, "2": 0.2}
