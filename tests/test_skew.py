@@ -46,3 +46,32 @@ def test_hot_user(spark):
     for n in PR.PROFILE_VALUES:
         assert got["hot"][n] == exp_hot[n]
     assert len(got) == len(sums)
+
+
+def test_hot_province_and_category(spark):
+    """A third of all orders from one /16 block and one category: totals stay exact and
+    the range join never shuffles the order side (broadcast hash join on the block)."""
+    from tessera.operators.ipgeo import UNKNOWN_PROVINCE
+    from tessera.plans import jobs as J
+
+    rng = random.Random(9)
+    rules = [(s * 2**24, s * 2**24 + 2**23, f"P{s}") for s in range(1, 200, 3)]
+    orders, expected = [], {}
+    for i in range(9000):
+        if i % 3 == 0:
+            ip, cat = (10 << 24) | (7 << 16) | rng.randrange(65536), "hot"
+        else:
+            ip, cat = rng.randrange(1 << 24, 1 << 32), f"c{rng.randrange(20)}"
+        amount = rng.randrange(1, 9)
+        dotted = ".".join(str((ip >> s) & 255) for s in (24, 16, 8, 0))
+        orders.append(f"u{i} {dotted} {cat} item 1.5 {amount}")
+        prov = next((p for s, e, p in rules if s <= ip <= e), UNKNOWN_PROVINCE)
+        for key in (("total", "all"), ("province", prov), ("category", cat)):
+            expected[key] = expected.get(key, 0.0) + 1.5 * amount
+    rule_df = lines_df(spark, [f"a|b|{s}|{e}|x|y|{p}|z" for s, e, p in rules])
+    kpis = J.batch_order_kpis(lines_df(spark, orders).repartition(6), rule_df)
+    got = {(r.metric, r.key): r.value for r in kpis.collect()}
+    assert got.keys() == expected.keys()
+    assert all(abs(got[k] - expected[k]) < 1e-6 for k in got)
+    plan = kpis._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "partial_sum" in plan
