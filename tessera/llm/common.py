@@ -3,11 +3,13 @@ ranks and running totals, connected components."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.session import shared_root
+from tessera.session import scratch_path, shared_root
 
 # A word is a maximal run of characters other than space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,12 +33,24 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return flat.select(*[F.col(f"c{i}").alias(n) for i, n in zip(at, names)])
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into the shared ``spark.checkpoint.dir`` and go on from there."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """Like ``cut`` as a Parquet table, whose size Spark knows when it plans a join."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

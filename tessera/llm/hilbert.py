@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, pick, with_rank, with_running_total
+from tessera.llm.common import cut, let, pick, with_rank, with_running_total
 
 
 def cell_borders(df: DataFrame, dims: list[str], cells: int) -> list[list]:
@@ -59,11 +59,6 @@ def _texts(df: DataFrame, dims: list[str]) -> list[Column]:
     return out
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` evaluated once, however often ``use`` names it."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def curve_index(cells: list[Column], bits: int) -> Column:
     """Hilbert index of the grid point ``cells`` (``bits`` bits each).
 
@@ -97,7 +92,7 @@ def curve_index(cells: list[Column], bits: int) -> Column:
         t = F.aggregate(levels, F.lit(0), lambda acc, k: F.when(
             F.expr("1").bitwiseAND(F.call_function("shiftright", last, k)) != 0,
             acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1), k) - 1)).otherwise(acc))
-        return _let(t, lambda v: F.transform(g, lambda u: u.bitwiseXOR(v)))
+        return let(t, lambda v: F.transform(g, lambda u: u.bitwiseXOR(v)))
 
     def weave(x: Column) -> Column:
         places = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(i).alias("i"))
@@ -109,7 +104,7 @@ def curve_index(cells: list[Column], bits: int) -> Column:
     undone = start if not turns else F.aggregate(
         F.array(*[F.struct(F.lit((1 << k) - 1).alias("p"), F.lit(i).alias("i")) for k, i in turns]),
         start, turn)
-    return _let(undone, lambda x: _let(gray(x), lambda g: _let(fold(g), weave)))
+    return let(undone, lambda x: let(gray(x), lambda g: let(fold(g), weave)))
 
 
 def hilbert_order(df: DataFrame, dims: list[str], bits: int = 5) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.hilbert import shard_rows
+from tessera.llm.mixing import mix
+from tessera.llm.pii import pii_digest
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -20,6 +22,17 @@ def op4_hilbert_shards(spark: SparkSession, sf: str) -> DataFrame:
                        F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
+    return mix(_table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target",
+                                                      "taken")
+
+
+def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii_digest(_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hilbert_shards": op4_hilbert_shards,
+    "op9_mix_sources": op9_mix_sources,
+    "op10_pii": op10_pii,
 }
