@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.llm.hilbert import shard_rows
 from tessera.llm.mixing import mix
 from tessera.llm.pii import pii_digest
+from tessera.llm.quality import quality
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -22,6 +23,12 @@ def op4_hilbert_shards(spark: SparkSession, sf: str) -> DataFrame:
                        F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality(_table(spark, sf, "documents"), _table(spark, sf, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
 def op9_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mix(_table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target",
                                                       "taken")
@@ -33,6 +40,7 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hilbert_shards": op4_hilbert_shards,
+    "op6_quality": op6_quality,
     "op9_mix_sources": op9_mix_sources,
     "op10_pii": op10_pii,
 }
