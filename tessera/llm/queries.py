@@ -11,12 +11,17 @@ from tessera.llm.hilbert import shard_rows
 from tessera.llm.mixing import mix
 from tessera.llm.pii import pii_digest
 from tessera.llm.quality import quality
+from tessera.llm.sentencepiece import encode
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op3_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    return encode(_table(spark, sf, "documents"))
+
+
 def op4_hilbert_shards(spark: SparkSession, sf: str) -> DataFrame:
     rows = shard_rows(_table(spark, sf, "documents"), shards=24)
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -39,6 +44,7 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op6_quality": op6_quality,
     "op9_mix_sources": op9_mix_sources,
