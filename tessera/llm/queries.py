@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.hilbert import shard_rows
+from tessera.llm.langid import identify
 from tessera.llm.mixing import mix
 from tessera.llm.pii import pii_digest
 from tessera.llm.quality import quality
@@ -18,6 +19,10 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_langid(spark: SparkSession, sf: str) -> DataFrame:
+    return identify(_table(spark, sf, "documents"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return encode(_table(spark, sf, "documents"))
 
@@ -44,6 +49,7 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_langid": op1_langid,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op6_quality": op6_quality,
