@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.hilbert import shard_rows
+from tessera.llm.hnsw import near_duplicates
 from tessera.llm.langid import identify
 from tessera.llm.mixing import mix
 from tessera.llm.pii import pii_digest
@@ -33,6 +34,10 @@ def op4_hilbert_shards(spark: SparkSession, sf: str) -> DataFrame:
                        F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_hnsw(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf, "embeddings"))
+
+
 def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality(_table(spark, sf, "documents"), _table(spark, sf, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_hilbert_shards": op4_hilbert_shards,
+    "op5_hnsw": op5_hnsw,
     "op6_quality": op6_quality,
     "op9_mix_sources": op9_mix_sources,
     "op10_pii": op10_pii,
