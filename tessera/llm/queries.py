@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.hilbert import shard_rows
 from tessera.llm.hnsw import near_duplicates
+from tessera.llm.html_text import extract
 from tessera.llm.langid import identify
 from tessera.llm.mixing import mix
 from tessera.llm.pii import pii_digest
@@ -44,6 +45,10 @@ def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op8_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return extract(_table(spark, sf, "pages"))
+
+
 def op9_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mix(_table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target",
                                                       "taken")
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_hnsw": op5_hnsw,
     "op6_quality": op6_quality,
+    "op8_html_text": op8_html_text,
     "op9_mix_sources": op9_mix_sources,
     "op10_pii": op10_pii,
 }
