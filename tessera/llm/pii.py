@@ -198,3 +198,17 @@ def mask(text: Column, min_score: float = MIN_SCORE) -> Column:
 
         text = let(text, step)
     return text
+
+
+def mask_documents(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """``docs`` with masked texts; ``n_chars``, where there is one, counts the new text.
+    A null text stays null."""
+    names = docs.columns
+    low = [c.lower() for c in names]
+    at = names.index("text") if "text" in names else low.index("text")
+    flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    flat = flat.withColumn(f"c{at}", mask(F.col(f"c{at}"), min_score))
+    if "n_chars" in names:
+        n = names.index("n_chars")
+        flat = flat.withColumn(f"c{n}", F.char_length(f"c{at}").cast(dict(docs.dtypes)["n_chars"]))
+    return flat.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

@@ -125,13 +125,31 @@ def _score(w: Column, weights: list[float]) -> Column:
     return total / F.greatest(F.lit(1), 2 * F.size(w) - 1)
 
 
+def _verdict(text: Column, weights: list[float]) -> Column:
+    return let(F.coalesce(text, F.lit("")), lambda t: let(words(t), lambda w: F.struct(
+        *[c.alias(n) for n, c in _base(t, w).items()],
+        let(tokens(t), lambda k: _score(k, weights)).alias("score"))))
+
+
+def _base_failed(v: Column) -> Column:
+    return (v["n_words"] < MIN_WORDS) | (100 * v["n_repeat_words"] > 50 * v["n_words"])
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, that the rules keep."""
+    weights = target_weights(docs, labels)
+    names = docs.columns
+    at = names.index("text") if "text" in names else [c.lower() for c in names].index("text")
+    flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    ok = let(_verdict(F.col(f"c{at}"), weights),
+             lambda v: ~_base_failed(v) & (v["score"] >= threshold))
+    return flat.filter(ok).select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
+
+
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: ``doc_id``, the base figures, ``base_failed``, ``score``, ``kept``."""
     weights = target_weights(docs, labels)
     rows = pick(docs, "doc_id", "text")
-    verdict = let(F.coalesce(F.col("text"), F.lit("")), lambda t: let(words(t), lambda w: F.struct(
-        *[c.alias(n) for n, c in _base(t, w).items()], let(tokens(t), lambda k: _score(k, weights)).alias("score"))))
-    out = rows.select("doc_id", verdict.alias("v")).select("doc_id", "v.*")
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return out.withColumn("base_failed", failed).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    out = rows.select("doc_id", _verdict(F.col("text"), weights).alias("v"))
+    out = out.select("doc_id", "v.*", _base_failed(F.col("v")).alias("base_failed"))
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))

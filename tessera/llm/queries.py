@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.chosen_path import jaccard_classes
 from tessera.llm.hilbert import shard_rows
 from tessera.llm.hnsw import near_duplicates
 from tessera.llm.html_text import extract
@@ -45,6 +46,10 @@ def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op7_chosen_path(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_classes(_table(spark, sf, "documents"))
+
+
 def op8_html_text(spark: SparkSession, sf: str) -> DataFrame:
     return extract(_table(spark, sf, "pages"))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_hnsw": op5_hnsw,
     "op6_quality": op6_quality,
+    "op7_chosen_path": op7_chosen_path,
     "op8_html_text": op8_html_text,
     "op9_mix_sources": op9_mix_sources,
     "op10_pii": op10_pii,
