@@ -12,6 +12,7 @@ from tessera.llm.hilbert import shard_rows
 from tessera.llm.hnsw import near_duplicates
 from tessera.llm.html_text import extract
 from tessera.llm.langid import identify
+from tessera.llm.licenses import document_paths, scan
 from tessera.llm.mixing import mix
 from tessera.llm.pii import pii_digest
 from tessera.llm.quality import quality
@@ -26,6 +27,10 @@ def op1_langid(spark: SparkSession, sf: str) -> DataFrame:
     return identify(_table(spark, sf, "documents"))
 
 
+def op2_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return scan(document_paths(_table(spark, sf, "documents")))
+
+
 def op3_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return encode(_table(spark, sf, "documents"))
 
@@ -65,6 +70,7 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
+    "op2_licenses": op2_licenses,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_hnsw": op5_hnsw,
