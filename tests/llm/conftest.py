@@ -1,0 +1,25 @@
+import pytest
+
+SF_TINY = "/root/testdata/sf0.001"
+SF_SMALL = "/root/testdata/sf0.01"
+
+LONG = "word" + " and some more" * 20_000
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF_TINY}/documents.parquet").cache()
+
+
+def odd_documents(spark, texts=()):
+    """Nulls in every column, empty, long and equal texts, repeated rows, and extra columns
+    whose names clash with documents' or with those the operators use."""
+    rows = [(1, None, "en", "a", 0), (2, "", "en", "a", 0), (3, " \t\n ", "de", None, 3),
+            (4, LONG, "en", "b", len(LONG)), (5, LONG, None, "b", len(LONG)),
+            (None, "a text without an id and a few more words", "en", "a", 41),
+            (7, "tie", "en", "a", 3), (8, "tie", "en", "a", 3), (8, "tie", "en", "a", 3),
+            (9, "ünïcödé 😀 ▁ text", None, None, None), (10, None, None, None, None)]
+    rows += [(100 + i, t, "en", "a", None) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return df.selectExpr("*", "'x' AS TEXT", "'y' AS size", "1 AS h", "2 AS rank", "3 AS shard",
+                         "4 AS node", "5 AS path", "6 AS key", "7 AS rk", "8 AS before")
