@@ -17,7 +17,7 @@ from tessera.operators import orders as ord_ops
 from tessera.operators import profile as prof
 from tessera.operators import usage as use
 from tessera.operators.appstats import clean_appstats
-from tessera.operators.partitions import partition_by_user, partition_report
+from tessera.operators.partitions import partition_by_user, partition_report, placement
 from tessera.operators.tags import join_tags, tag_library
 from tessera.plans import jobs
 from tessera.plans.snapshot import SnapshotStore
@@ -176,9 +176,8 @@ def _order_source_dir(spark: SparkSession, sf: str) -> tuple[str, int]:
     is as parallel as the session. Returns the folder and the file count."""
     src = scratch_path(spark, "order-src")
     lines = d.order_lines(spark, sf)
-    n_files = lines.rdd.getNumPartitions()
     lines.write.text(src)
-    return src, n_files
+    return src, len(spark.read.text(src).inputFiles())
 
 
 def _two_batches(n_files: int) -> int:
@@ -198,6 +197,20 @@ def q_order_kpi_stream(spark: SparkSession, sf: str) -> DataFrame:
     return _money(so.read_kpis(spark, f"{root}/kpi"))
 
 
+def q_order_kpi_restart(spark: SparkSession, sf: str) -> DataFrame:
+    """The stream is stopped after a part of the lines and started again on the same
+    checkpoint for the rest: nothing is lost or counted twice."""
+    root = scratch_path(spark, "order-restart")
+    lines = d.order_lines(spark, sf)
+    part = F.crc32(F.col("value").cast("binary")) % 2
+    for k in (0, 1):
+        lines.where(part == k).write.mode("append").text(f"{root}/src")
+        q = so.start_kpi_query(stream_text_dir(spark, f"{root}/src"), d.ip_rule_lines(spark, sf),
+                               f"{root}/kpi", f"{root}/ckpt", trigger="availableNow")
+        q.awaitTermination()
+    return _money(so.read_kpis(spark, f"{root}/kpi"))
+
+
 def _archive(spark: SparkSession, sf: str) -> str:
     root = scratch_path(spark, "order-archive")
     src, n_files = _order_source_dir(spark, sf)
@@ -230,6 +243,50 @@ def q_appstats_etl_strict(spark: SparkSession, sf: str) -> DataFrame:
     return clean_appstats(d.appstat_lines(spark, sf), "strict")
 
 
+def _through_text(spark: SparkSession, lines: DataFrame, purpose: str, **options) -> DataFrame:
+    path = f"{scratch_path(spark, purpose)}/lines"
+    write_text(lines, path)
+    return read_lines(spark, path, **options)
+
+
+def q_usage_from_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The usage log read from text files."""
+    return use.clean_usage(_through_text(spark, d.usage_lines(spark, sf), "usage-text"))
+
+
+def q_tag_library_from_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The tag library read from text files: the last line by file position wins."""
+    lines = d.tag_lines(spark, sf)
+    lines = lines.repartitionByRange("line_no").sortWithinPartitions("line_no")
+    return tag_library(_through_text(spark, lines, "tag-text", with_order=True), "line_order")
+
+
+def q_ip_province_from_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and IP rules read from text files."""
+    return jobs.orders_with_province(
+        _through_text(spark, d.order_lines(spark, sf), "order-text"),
+        _through_text(spark, d.ip_rule_lines(spark, sf), "rule-text"))
+
+
+def q_appstats_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics lines from text, cleaned, written as text and read back."""
+    clean = clean_appstats(_through_text(spark, d.appstat_lines(spark, sf), "stat-text"))
+    return _through_text(spark, clean, "stat-clean")
+
+
+def q_event_hours(spark: SparkSession, sf: str) -> DataFrame:
+    """Hour buckets of the archive, in both layouts and a zone, at given times."""
+    e = d.table(spark, sf, "events")
+    now = F.col("ts").cast("timestamp")
+    return e.select("event_id", *so.hour_columns("Asia/Shanghai", now=now),
+                    *so.hour_columns("Asia/Shanghai", "hourly", now=now))
+
+
+def q_partition_placement(spark: SparkSession, sf: str) -> DataFrame:
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return placement(partition_by_user(jobs.usage_sums(d.usage_lines(spark, sf)), n))
+
+
 def q_partition_report(spark: SparkSession, sf: str) -> DataFrame:
     """Placement of the usage sums after hash partitioning by user into the
     session's shuffle partition count (the reference used a fixed 4)."""
@@ -268,5 +325,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "appstats_etl": q_appstats_etl,
     "appstats_etl_strict": q_appstats_etl_strict,
     "partition_report": q_partition_report,
+    "partition_placement": q_partition_placement,
+    "order_kpi_restart": q_order_kpi_restart,
+    "usage_from_text": q_usage_from_text,
+    "tag_library_from_text": q_tag_library_from_text,
+    "ip_province_from_text": q_ip_province_from_text,
+    "appstats_text": q_appstats_text,
+    "event_hours": q_event_hours,
 }
 

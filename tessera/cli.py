@@ -10,13 +10,14 @@ kpi-dump         print every KPI counter and value
 appstats-etl     keep the valid app-statistics lines (text in, text out)
 compact-hour     merge one archived hour into a few files
 
-The session comes from spark-submit; its ``spark.checkpoint.dir`` (when set) is
-the default root for stream checkpoints.
+The session comes from spark-submit, with ``spark.checkpoint.dir`` set to a folder that
+all executors share.
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime
 import sys
 
 from pyspark.sql import SparkSession
@@ -25,7 +26,6 @@ from tessera.operators.appstats import clean_appstats
 from tessera.plans import jobs
 from tessera.plans.snapshot import SnapshotStore
 from tessera.plans.textio import profile_to_text, write_text
-from tessera.session import shared_root
 from tessera.sources.text import read_lines, stream_kafka, stream_text_dir
 from tessera.streaming import compact, orders
 
@@ -39,12 +39,13 @@ def cmd_profile_update(a) -> None:
     store = SnapshotStore(spark, a.store, buckets=a.buckets, table_prefix=a.table_prefix)
     if a.init_from and store.latest() is None:
         store.write(spark.read.parquet(a.init_from), 0)
-    base = a.base_version if a.base_version is not None else store.latest()
+    day = a.day or datetime.date.today().isoformat()
+    base = a.base_version if a.base_version is not None else store.base_of_day(day)
     if base is None:
         raise SystemExit(f"no snapshot under {a.store}; seed one with --init-from")
     usage = read_lines(spark, a.logs, rebalance=a.rebalance_input)
     tags = read_lines(spark, a.tags, with_order=True)
-    v = jobs.run_daily_update(store, base, usage, tags, a.policy, order_col="line_order")
+    v = jobs.run_daily_update(store, base, usage, tags, a.policy, order_col="line_order", day=day)
     print(f"wrote {store.path(v)}")
 
 
@@ -67,7 +68,7 @@ def cmd_order_stream(a) -> None:
                            min_partitions=a.min_partitions)
     else:
         src = stream_text_dir(spark, a.input_dir)
-    ckpt = a.checkpoint or f"{shared_root(spark)}/tessera/order-stream"
+    ckpt = a.checkpoint.rstrip("/")
     rules = read_lines(spark, a.rules)
     kq = orders.start_kpi_query(src, rules, a.kpi, f"{ckpt}/kpi", a.policy, a.trigger,
                                 query_name="order_kpis")
@@ -94,7 +95,8 @@ def cmd_order_kpis(a) -> None:
 
 def cmd_kpi_dump(a) -> None:
     spark = _spark()
-    orders.read_kpis(spark, a.kpi).orderBy("metric", "key").show(a.limit, truncate=False)
+    for r in orders.read_kpis(spark, a.kpi).orderBy("metric", "key").toLocalIterator():
+        print(f"{r.metric}\t{r.key}\t{r.value}")
 
 
 def cmd_appstats_etl(a) -> None:
@@ -122,6 +124,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--tags", nargs="+", required=True)
     s.add_argument("--store", required=True)
     s.add_argument("--base-version", type=int)
+    s.add_argument("--day", help="label of the logs (default: today); a repeated day is rebuilt "
+                                 "from the version before it")
     s.add_argument("--init-from", help="Parquet profiles that become version 0 of an empty store")
     s.add_argument("--buckets", type=int, help="bucket the snapshots by mdn (needs --table-prefix)")
     s.add_argument("--table-prefix", help="catalog table name prefix of bucketed snapshots")
@@ -149,7 +153,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--rules", nargs="+", required=True)
     s.add_argument("--kpi", required=True)
     s.add_argument("--archive", required=True)
-    s.add_argument("--checkpoint")
+    s.add_argument("--checkpoint", required=True,
+                   help="folder of this stream's progress; keep it with --kpi and --archive")
     s.add_argument("--trigger", default=orders.BATCH_INTERVAL)
     s.add_argument("--zone", default="Asia/Shanghai")
     s.add_argument("--layout", choices=("ymdh", "hourly"), default="ymdh")
@@ -168,7 +173,6 @@ def parser() -> argparse.ArgumentParser:
 
     s = sub.add_parser("kpi-dump")
     s.add_argument("--kpi", required=True)
-    s.add_argument("--limit", type=int, default=1000)
     s.set_defaults(fn=cmd_kpi_dump)
 
     s = sub.add_parser("appstats-etl")

@@ -1,7 +1,8 @@
 """Column expressions that accept exactly what the reference's Java parsers accept.
 
-Everything here is a plain Catalyst expression (split, rlike, try_cast, aggregate
-over an array), so it stays inside whole-stage codegen / the JVM; no Python UDF.
+Everything here is a plain Catalyst expression (split, rlike, try_cast), evaluated in
+the JVM; no Python UDF. Only the lenient address fold uses lambda functions, which Spark
+interprets.
 """
 
 from __future__ import annotations
@@ -13,14 +14,14 @@ from pyspark.sql import functions as F
 # IPv4 check used by the order and app-statistics ETL: first octet 1-255, the
 # others 0-255, no leading zeros, exactly four octets.
 IPV4_PATTERN = (r"^(1\d{2}|2[0-4]\d|25[0-5]|[1-9]\d|[1-9])\.(1\d{2}|2[0-4]\d|25[0-5]|[1-9]\d|\d)\."
-                r"(1\d{2}|2[0-4]\d|25[0-5]|[1-9]\d|\d)\.(1\d{2}|2[0-4]\d|25[0-5]|[1-9]\d|\d)$")
+                r"(1\d{2}|2[0-4]\d|25[0-5]|[1-9]\d|\d)\.(1\d{2}|2[0-4]\d|25[0-5]|[1-9]\d|\d)\z")
 # Lenient "yyyy-MM-dd HH:mm:ss" parse: numeric fields may be preceded by blanks or
 # tabs, need not be in range, and anything may follow the seconds.
 LENIENT_DATETIME_PATTERN = r"^[ \t]*\d+-[ \t]*\d+-[ \t]*\d+ [ \t]*\d+:[ \t]*\d+:[ \t]*\d+"
 DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # ---------------------------------------------------------------------------------
 
-_INTEGER = r"^[+-]?[0-9]+$"
+_INTEGER = r"^[+-]?[0-9]+\z"      # $ would also match before a final line terminator
 # Java's Double.parseDouble trims chars <= U+0020 and accepts only these spellings
 # of the special values; Spark's cast also takes "inf", "nan", ... in any case.
 _JAVA_SPECIAL = r"^[+-]?(NaN|Infinity)$"
@@ -28,12 +29,6 @@ _ANY_SPECIAL = r"(?i)^[+-]?(nan|inf|infinity)$"
 _EDGE_BLANKS = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
 
-def _char_class(sep: str) -> str:
-    if len(sep) != 1:
-        raise ValueError("separator must be one character")
-    return "[" + ("\\" + sep if sep in "]\\^-[" else sep) + "]"
-
-
 def _split_regex(sep: str) -> str:
     """The separator as a one-char or backslash-escaped regex: ``String.split``
     then takes its non-regex fast path instead of compiling a Pattern per row."""
@@ -46,8 +41,9 @@ def java_split(s: Column, sep: str) -> Column:
     Java drops trailing empty fields ("a|b||" -> 2 fields), returns ``[""]`` for
     the empty string and ``[]`` for a string made only of separators.
     """
-    cls = _char_class(sep)
-    stripped = F.regexp_replace(s, cls + "+$", "")
+    if len(sep) != 1:
+        raise ValueError("separator must be one character")
+    stripped = F.rtrim(s, F.lit(sep))
     return (F.when(s == F.lit(""), F.array(F.lit("")))
             .when(stripped == F.lit(""), F.array().cast("array<string>"))
             .otherwise(F.split(stripped, _split_regex(sep))))
@@ -109,6 +105,13 @@ def ip_to_long(ip: Column) -> Column:
                        lambda acc, x: x.bitwiseOR(F.shiftleft(acc, 8)))
 
 
+def ipv4_to_long(ip: Column) -> Column:
+    """The 32 bits of an address that ``is_ipv4`` accepts, by arithmetic on its four
+    octets; NULL for anything else."""
+    octet = [F.try_element_at(F.split(ip, r"\."), F.lit(i)).try_cast("bigint") for i in (1, 2, 3, 4)]
+    return ((octet[0] * 256 + octet[1]) * 256 + octet[2]) * 256 + octet[3]
+
+
 def ip_from_long(n: Column) -> Column:
     """Dotted text of a 32-bit address held in a long."""
     return F.concat_ws(".", *[F.shiftright(n, s).bitwiseAND(255).cast("string")

@@ -27,12 +27,12 @@ def parse_ip_rules(lines: DataFrame) -> DataFrame:
 
 
 def overlapping_rules(rules: DataFrame) -> DataFrame:
-    """Rules whose start is not above the previous rule's end (sorted by start).
+    """Rules whose start is not above the end of the rule before it.
 
-    Binary search over overlapping ranges is arbitrary; this check runs on the
-    (size-checked, small) rule table only."""
-    w = Window.orderBy("start", "end")
-    return rules.withColumn("prev_end", F.lag("end").over(w)).where(
+    Binary search over overlapping ranges is arbitrary. Two rules that overlap share
+    a /16 block, so each block is looked through on its own, at every table size."""
+    w = Window.partitionBy("block").orderBy("start", "end")
+    return rule_blocks(rules).withColumn("prev_end", F.lag("end").over(w)).where(
         F.col("prev_end") >= F.col("start"))
 
 
@@ -51,14 +51,13 @@ def prepare_rules(rules: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     At most ``max_rows - 65536 + 1`` rules are computed once and checkpointed;
     disjoint ranges over 32 bits explode to at most ``n_rules + 65536`` blocks,
     so a rule count within that budget proves the block table fits the
-    broadcast bound, and the overlap check runs on those checkpointed rules.
-    Otherwise the join is a shuffle join on the block key (AQE splits hot
-    blocks).
+    broadcast bound. Otherwise the join is a shuffle join on the block key (AQE
+    splits hot blocks). Overlapping rules are refused either way.
     """
     budget = max(1, max_rows - 65536)
     head, n = materialize_head(rules.select("start", "end", "province"), budget)
     small = n <= budget
-    if small and check_disjoint and overlapping_rules(head).limit(1).count() > 0:
+    if check_disjoint and overlapping_rules(head if small else rules).take(1):
         raise ValueError("IP rules overlap; a range lookup over them is ambiguous")
     return (F.broadcast(rule_blocks(head)), True) if small else (rule_blocks(rules), False)
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.parsing import (evaluate_once, field, ip_to_long, is_ipv4, parse_double,
-                                       parse_float, split_once)
+from tessera.functions.parsing import (evaluate_once, field, ip_to_long, ipv4_to_long, is_ipv4,
+                                       parse_double, parse_float, split_once)
 
 ORDER_COLUMNS = ("user", "ip", "category", "item", "price", "amount", "total")
 POLICIES = ("strict", "lenient")
@@ -37,12 +37,13 @@ def parse_orders(lines: DataFrame, policy: str = "strict") -> DataFrame:
     ok = (F.col("_n") == 6) & F.col("price").isNotNull() & F.col("amount").isNotNull()
     if policy == "strict":
         ok = ok & is_ipv4(F.col("_ip_text"))
-        ip = ip_to_long(F.col("_ip_text"))
+        as_long = ipv4_to_long
     else:
-        typed = evaluate_once(typed, *[F.col(c) for c in typed.columns],
-                              ip_to_long(F.col("_ip_text")).alias("_ip"))
-        ok = ok & F.col("_ip").isNotNull()
-        ip = F.col("_ip")
+        as_long = ip_to_long
+    typed = evaluate_once(typed, *[F.col(c) for c in typed.columns],
+                          as_long(F.col("_ip_text")).alias("_ip"))
+    ok = ok & F.col("_ip").isNotNull()
+    ip = F.col("_ip")
     return typed.where(ok).select(
         "user", ip.alias("ip"), "category", "item", "price", "amount",
         (F.col("price") * F.col("amount").cast("double")).alias("total"), *extra)

@@ -16,3 +16,13 @@ def partition_report(df: DataFrame, key: str = "mdn") -> DataFrame:
     return (df.select(F.spark_partition_id().alias("partition"), F.col(key))
             .groupBy("partition")
             .agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(key).alias("users")))
+
+
+def placement(df: DataFrame, key: str = "mdn") -> DataFrame:
+    """What hash partitioning promises, whatever the number of partitions: all rows and
+    users are there, and no user is in more than one partition."""
+    per_user = df.select(F.spark_partition_id().alias("p"), F.col(key)).groupBy(key).agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("p").alias("p"))
+    return per_user.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+                        F.count(F.lit(1)).alias("users"),
+                        F.max("p").alias("partitions_per_user"))

@@ -73,11 +73,10 @@ _store_vals = (f"CAST(c_custkey % 100 AS DOUBLE) / {_dbl(100.0)} AS male, "
                + ", ".join(f"{_dbl(float(k))} / {_dbl(15.0)} AS age{k}" for k in range(1, 6)))
 _segments = ", ".join(f"'{s}'" for s in d.STORE_SEGMENTS)
 STORE = f"""store AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS mdn, {_store_vals}
-  FROM customer WHERE c_mktsegment IN ({_segments})
-  UNION ALL
-  SELECT '{d.LAPSED_PREFIX}' || CAST(c_custkey AS VARCHAR) AS mdn, {_store_vals}
-  FROM customer WHERE c_mktsegment = '{d.LAPSED_SEGMENT}' AND c_acctbal < 0)"""
+  SELECT CASE WHEN c_custkey % {d.STORE_EMPTY_MDN} = 0 THEN ''
+              WHEN c_mktsegment IN ({_segments}) THEN CAST(c_custkey AS VARCHAR)
+              ELSE '{d.LAPSED_PREFIX}' || CAST(c_custkey AS VARCHAR) END AS mdn, {_store_vals}
+  FROM customer)"""
 
 STEPS = """steps AS (
   SELECT s.mdn, s.times, t.male AS t_male, t.female AS t_female, t.age1 AS t_age1,
@@ -251,8 +250,19 @@ FROM tagged""",
                              "FROM order_strict GROUP BY category",
         "order_kpi": ORDER_KPI,
         "order_kpi_stream": ORDER_KPI,
+        "order_kpi_restart": ORDER_KPI,
         "order_archive": f"{_ORDERS_BASE}\nSELECT {_ORDER_COLS} FROM order_strict",
         "order_compact": f"{_ORDERS_BASE}\nSELECT {_ORDER_COLS} FROM order_strict",
         "appstats_etl": APPSTATS,
         "appstats_etl_strict": APPSTATS_STRICT,
+        "appstats_text": APPSTATS,
+        "usage_from_text": f"{usage}\nSELECT mdn, app_id, times FROM usage_strict",
+        "tag_library_from_text": f"WITH {TAGS}\nSELECT app_id, name, {', '.join(V)} FROM tags",
+        "ip_province_from_text": f"{_ORDERS_PROV}\nSELECT {_ORDER_COLS}, province FROM order_prov",
+        "partition_placement": f"""{usage_sums}
+SELECT COUNT(*) AS rows, COUNT(DISTINCT mdn) AS users, CAST(1 AS BIGINT) AS partitions_per_user
+FROM sums""",
+        "event_hours": """SELECT event_id, strftime(t, '%Y') AS year, strftime(t, '%m') AS month,
+       strftime(t, '%d') AS day, strftime(t, '%H') AS hour, strftime(t, '%Y-%m-%d-%H') AS dt_hour
+FROM (SELECT event_id, CAST(ts AS TIMESTAMP) + INTERVAL 8 HOUR AS t FROM events)""",
     }

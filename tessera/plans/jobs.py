@@ -69,13 +69,15 @@ def profiles_with_store(store: DataFrame, usage_lines: DataFrame, tag_lines: Dat
 
 def run_daily_update(store: SnapshotStore, base_version: int, usage_lines: DataFrame,
                      tag_lines: DataFrame, policy: str = "strict",
-                     order_col: str = "line_no", fold_mode: str = "auto") -> int:
+                     order_col: str = "line_no", fold_mode: str = "auto",
+                     day: str | None = None) -> int:
     """Read snapshot ``base_version``, fold the day's logs in, write
     ``base_version + 1``. Re-running the same day from the same base rewrites the
-    same snapshot, so a retried day does not apply its logs twice."""
+    same snapshot, so a retried day does not apply its logs twice; ``day`` is
+    recorded with the version, see ``SnapshotStore.base_of_day``."""
     merged = profiles_with_store(store.read(base_version), usage_lines, tag_lines, policy,
                                  order_col, fold_mode)
-    store.write(merged, base_version + 1)
+    store.write(merged, base_version + 1, day=day, placed=True)
     return base_version + 1
 
 

@@ -61,6 +61,39 @@ class SnapshotStore:
         v = self.versions()
         return v[-1] if v else None
 
+    # --- marks: empty files whose name is the message ----------------------------
+
+    def _marks(self, folder: str, prefix: str) -> list[str]:
+        _, fs = self._fs()
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        if not fs.exists(path):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(path)]
+        return [n[len(prefix):] for n in names if n.startswith(prefix)]
+
+    def _mark(self, folder: str, name: str) -> None:
+        _, fs = self._fs()
+        fs.create(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, name), True).close()
+
+    def day_of(self, version: int) -> str | None:
+        """The day whose logs made a version, if it was recorded."""
+        days = self._marks(self.path(version), "_DAY-")
+        return days[0] if days else None
+
+    def base_of_day(self, day: str) -> int | None:
+        """The version that a day's logs are folded into: the latest, or the one
+        before it when the latest is that day's own (a repeated run)."""
+        latest = self.latest()
+        return latest - 1 if latest and self.day_of(latest) == day else latest
+
+    def claim(self, owner: str) -> None:
+        """Make ``owner`` the only writer of this root; another one is refused."""
+        owners = self._marks(self.root, "_OWNER-")
+        if not owners and not self.versions():
+            self._mark(self.root, f"_OWNER-{owner}")
+        elif owners != [owner]:
+            raise ValueError(f"{self.root} holds versions of another writer ({owners or 'unnamed'})")
+
     def read(self, version: int | None = None) -> DataFrame:
         version = self.latest() if version is None else version
         if version is None:
@@ -107,15 +140,24 @@ class SnapshotStore:
             if v < version:
                 fs.delete(jvm.org.apache.hadoop.fs.Path(self.path(v)), True)
 
-    def write(self, df: DataFrame, version: int, sort_key: str | None = "mdn") -> str:
+    def write(self, df: DataFrame, version: int, sort_key: str | None = "mdn",
+              day: str | None = None, placed: bool = False) -> str:
         """Write ``df`` as ``version`` (overwrite: a retried day replaces its own
-        output only). Rows are sorted inside each file by the key, which keeps
-        Parquet min/max statistics tight for point lookups by mdn. A bucketed
-        store writes ``buckets`` files per task at most; input already
-        hash-partitioned by the key into ``buckets`` partitions (the merge's
-        output) writes one file per task."""
+        output only) and record ``day``. Rows are sorted inside each file by the key,
+        which keeps Parquet min/max statistics tight for point lookups by mdn. A
+        bucketed store first deals the rows to one task per bucket, so it writes
+        ``buckets`` files at most, unless they are already ``placed`` so (the merge's
+        output)."""
+        path = self._write(df, version, sort_key, placed)
+        if day:
+            self._mark(path, f"_DAY-{day}")
+        return path
+
+    def _write(self, df: DataFrame, version: int, sort_key: str | None, placed: bool) -> str:
         name = self.table(version)
         if name:
+            if not placed:
+                df = df.repartition(self.buckets, self.key)
             (df.write.mode("overwrite").bucketBy(self.buckets, self.key).sortBy(self.key)
              .option("path", self.path(version)).saveAsTable(name))
             self._write_marker(version)

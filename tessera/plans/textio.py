@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.parsing import evaluate_once, field, parse_double, parse_long, split_once
+from tessera.functions.parsing import (evaluate_once, field, parse_double, parse_long, required,
+                                       split_once)
 from tessera.operators.profile import PROFILE_VALUES, tagged_union
 
 
@@ -20,15 +21,13 @@ def profile_to_text(profiles: DataFrame) -> DataFrame:
 
 
 def profile_from_text(lines: DataFrame) -> DataFrame:
-    """Lines with 8 fields; a value that is not a Java double fails the row."""
+    """The first 8 fields of each line; a missing field or a value that is not a Java
+    double (NaN is one) fails the job, so no stored profile is lost silently."""
     parts = F.col("_parts")
-    vals = [parse_double(field(parts, i + 1)).alias(n) for i, n in enumerate(PROFILE_VALUES)]
-    out = evaluate_once(split_once(lines.select("value"), "|"), F.size(parts).alias("_n"),
-                        field(parts, 0).alias("mdn"), *vals)
-    ok = F.col("_n") == 8
-    for c in ("mdn",) + PROFILE_VALUES:     # NULL = not a Java double; NaN is a valid value
-        ok = ok & F.col(c).isNotNull()
-    return out.where(ok).drop("_n")
+    vals = [required(parse_double(field(parts, i + 1)), f"stored {n}", "double").alias(n)
+            for i, n in enumerate(PROFILE_VALUES)]
+    return evaluate_once(split_once(lines.select("value"), "|"),
+                         required(field(parts, 0), "stored mdn", "string").alias("mdn"), *vals)
 
 
 def usage_sums_to_text(sums: DataFrame) -> DataFrame:

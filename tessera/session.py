@@ -36,8 +36,9 @@ def shared_root(spark: SparkSession) -> str:
     """The cluster-wide folder for lineage cuts, snapshots and stream state.
 
     Read from ``spark.checkpoint.dir`` (or a checkpoint dir already set on the
-    context). Only when neither exists -- a bare test session -- a local temp
-    folder is created. The folder is also registered as the context's
+    context). Only when neither exists and the master is local (a test session) a
+    temp folder is created; on a cluster that would be a folder of one machine,
+    so it is an error there. The folder is also registered as the context's
     checkpoint dir when none is set, so ``DataFrame.checkpoint()`` works.
     """
     sc = spark.sparkContext
@@ -46,6 +47,8 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

@@ -40,8 +40,8 @@ IP_MUL_ORDER = 1640531527     # keys are reduced mod IP_SPAN first: no 64-bit ov
 IP_MUL_PART = 104729
 RULE_STEP = 149000000         # nation k owns [IP_BASE + k*RULE_STEP, + RULE_WIDTH]
 RULE_WIDTH = 120000000
-STORE_SEGMENTS = ("BUILDING", "MACHINERY")   # customers with a stored profile
-LAPSED_SEGMENT = "HOUSEHOLD"                  # ... with c_acctbal < 0: store-only users
+STORE_SEGMENTS = ("BUILDING", "MACHINERY")   # customers still active; the others have lapsed
+STORE_EMPTY_MDN = 97                          # c_custkey % 97 = 0 -> stored mdn ""
 LAPSED_PREFIX = "L"
 # ---------------------------------------------------------------------------------
 
@@ -131,19 +131,19 @@ def tag_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Yesterday's profiles: customers of two segments, plus lapsed users whose
-    mdn never appears in today's logs (``L<custkey>``)."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    """Yesterday's profiles, one per customer: those of two segments under their own
+    mdn, the others as lapsed users whose mdn never appears in today's logs
+    (``L<custkey>``), and a few without an mdn."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     key = F.col("c_custkey")
     male = (key % 100).cast("double") / F.lit(100.0)
     ages = [F.lit(k / 15.0) for k in range(1, 6)]
     cols = [male.alias("male"), (F.lit(1.0) - male).alias("female")] + [
         a.alias(f"age{i}") for i, a in enumerate(ages, 1)]
-    active = c.where(F.col("c_mktsegment").isin(*STORE_SEGMENTS)).select(
-        key.cast("string").alias("mdn"), *cols)
-    lapsed = c.where((F.col("c_mktsegment") == LAPSED_SEGMENT) & (F.col("c_acctbal") < 0)).select(
-        F.concat(F.lit(LAPSED_PREFIX), key.cast("string")).alias("mdn"), *cols)
-    return active.unionByName(lapsed)
+    mdn = F.when(key % STORE_EMPTY_MDN == 0, "").when(
+        F.col("c_mktsegment").isin(*STORE_SEGMENTS), key.cast("string")).otherwise(
+        F.concat(F.lit(LAPSED_PREFIX), key.cast("string")))
+    return c.select(mdn.alias("mdn"), *cols)
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

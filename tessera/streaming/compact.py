@@ -40,10 +40,19 @@ def compact_hour(spark: SparkSession, archive_root: str, out_root: str, year: st
     committed files of that hour are read. ``coalesce`` merges scan splits
     without a shuffle and keeps the work parallel for a big hour. The output is
     an overwrite of its own folder (safe to retry). Inputs are deleted only when
-    asked and only after the write has committed; readers of the archive root
-    then need ``spark.sql.files.ignoreMissingFiles``.
+    asked and only after the write has committed, file by file: exactly those
+    that the plan listed, so a micro-batch that commits to the hour meanwhile
+    keeps its files. Readers of the archive root then need
+    ``spark.sql.files.ignoreMissingFiles``.
     """
-    sel = read_archive(spark, archive_root, layout).where(
+    sub = (f"{HOUR_BUCKET}={year}-{month}-{day}-{hour}" if layout == "hourly"
+           else f"year={year}/month={month}/day={day}/hour={hour}")
+    archive = read_archive(spark, archive_root, layout)
+    files = [f for f in archive.inputFiles() if f"/{sub}/" in f]
+    if not files:
+        raise ValueError(f"the archive holds no committed file of {sub}")
+    # the listed files themselves are read, by their own count and by the rewrite
+    sel = spark.read.schema(archive.schema).option("basePath", archive_root).parquet(*files).where(
         _hour_filter(layout, year, month, day, hour)).select(*ORDER_COLUMNS)
     n_rows = sel.count()
     n_files = max(1, math.ceil(n_rows / rows_per_file))
@@ -51,10 +60,9 @@ def compact_hour(spark: SparkSession, archive_root: str, out_root: str, year: st
     sel.coalesce(n_files).write.mode("overwrite").parquet(out)
     if delete_inputs:
         jvm = spark.sparkContext._jvm
-        sub = (f"{HOUR_BUCKET}={year}-{month}-{day}-{hour}" if layout == "hourly"
-               else f"year={year}/month={month}/day={day}/hour={hour}")
-        src = jvm.org.apache.hadoop.fs.Path(f"{archive_root.rstrip('/')}/{sub}")
-        src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(src, True)
+        for name in files:
+            src = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+            src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(src, False)
     return out
 
 

@@ -18,7 +18,7 @@ cluster, a text directory in tests):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -52,6 +52,9 @@ def kpi_stream(lines: DataFrame, rule_lines: DataFrame, policy: str = "strict",
 def _kpi_writer(kpi_root: str, retain: int):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         store = SnapshotStore(batch.sparkSession, kpi_root)
+        # batch ids only mean something within one query: a new checkpoint on an old
+        # root would start again at 0 below the versions already there
+        store.claim(batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"))
         # repartition (not coalesce) keeps the stateful stage parallel upstream
         store.write(batch.select("metric", "key", "value").repartition(1), batch_id,
                     sort_key=None)
@@ -62,9 +65,10 @@ def _kpi_writer(kpi_root: str, retain: int):
 
 def start_kpi_query(lines: DataFrame, rule_lines: DataFrame, kpi_root: str, checkpoint: str,
                     policy: str = "strict", trigger: str | None = BATCH_INTERVAL,
-                    query_name: str | None = None, retain_versions: int = 10) -> StreamingQuery:
-    """Start the KPI query; ``retain_versions`` old counter tables are kept for
-    readers still holding an older version (0 keeps all)."""
+                    query_name: str | None = None, retain_versions: int = 0) -> StreamingQuery:
+    """Start the KPI query. Every batch's counter table is kept; ``retain_versions``
+    keeps that many of the latest only. A root that another query (another
+    checkpoint) has written is refused."""
     w = (kpi_stream(lines, rule_lines, policy).writeStream.outputMode("complete")
          .foreachBatch(_kpi_writer(kpi_root, retain_versions))
          .option("checkpointLocation", checkpoint))
@@ -78,11 +82,12 @@ def read_kpis(spark: SparkSession, kpi_root: str) -> DataFrame:
     return SnapshotStore(spark, kpi_root).read().select("metric", "key", "value")
 
 
-def hour_columns(zone: str = "UTC", layout: str = "ymdh") -> list:
-    """Processing-time bucket columns in ``zone`` (constant per micro-batch):
-    zero-padded ``year, month, day, hour`` (layout ``ymdh``) or one
+def hour_columns(zone: str = "UTC", layout: str = "ymdh", now: Column | None = None) -> list:
+    """Bucket columns of ``now`` (a timestamp; the processing time, constant per
+    micro-batch, unless given) in ``zone``: zero-padded ``year, month, day, hour`` (layout ``ymdh``) or one
     ``dt_hour = yyyy-MM-dd-HH`` column (layout ``hourly``)."""
-    local = F.convert_timezone(None, F.lit(zone), F.current_timestamp().cast("timestamp_ntz"))
+    local = F.convert_timezone(None, F.lit(zone), 
+                               (F.current_timestamp() if now is None else now).cast("timestamp_ntz"))
     if layout == "hourly":
         return [F.date_format(local, HOUR_BUCKET_FORMAT).alias(HOUR_BUCKET)]
     if layout != "ymdh":
@@ -104,17 +109,14 @@ def start_archive_query(lines: DataFrame, archive_root: str, checkpoint: str,
                         policy: str = "strict", zone: str = "UTC", fmt: str = "parquet",
                         trigger: str | None = BATCH_INTERVAL,
                         max_records_per_file: int | None = None, layout: str = "ymdh",
-                        files_per_batch: int | None = None,
-                        log_retention: str | None = None) -> StreamingQuery:
+                        files_per_batch: int | None = None) -> StreamingQuery:
     """File sink, one directory per processing hour. ``max_records_per_file``
     bounds file size (the rolling size limit); small files of an hour are merged
     later by ``compact_hour``. By default parallelism is left to the source
     partitions, so a large batch is still written in parallel;
     ``files_per_batch=1`` reproduces "one file per batch" (a ``coalesce`` on the
-    stream, narrow, applied per micro-batch) for small streams. ``log_retention``
-    (e.g. ``"30d"``) ages entries out of the sink's commit log, which otherwise
-    lists every file ever written; readers then see only the retained files,
-    so compact an hour before its entries expire."""
+    stream, narrow, applied per micro-batch) for small streams. The sink's commit
+    log lists every file, so readers see all that was ever archived."""
     df = archive_stream(lines, policy, zone, layout)
     if files_per_batch:
         df = df.coalesce(files_per_batch)
@@ -123,8 +125,6 @@ def start_archive_query(lines: DataFrame, archive_root: str, checkpoint: str,
          .option("path", archive_root))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
-    if log_retention:
-        w = w.option("retention", log_retention)
     return _trigger(w, trigger).start()
 
 

@@ -22,10 +22,10 @@ def duck():
 
 def test_every_query_has_an_oracle_or_is_physical():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"partition_report"}
+    assert {q for q in set(QUERIES) - set(SQL) if q not in E.LLM_QUERIES} == {"partition_report"}
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+@pytest.mark.parametrize("name", sorted(set(SQL) - set(E.LLM_ORACLES)))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
