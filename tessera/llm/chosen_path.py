@@ -38,7 +38,7 @@ JACCARD = 0.8
 COORDS = 64
 BRANCH = 2
 RUNS = 4
-SMALL = 32
+SMALL = 512
 BLOCK = 1024
 DEPTH = 12
 STUCK = 0.5             # share of a bucket's pairs that agree at a random coordinate
@@ -263,24 +263,30 @@ def _meetings(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield np.concatenate(left), np.concatenate(right)
 
 
-def _common(leaves: list[np.ndarray], path: np.ndarray, i: np.ndarray, j: np.ndarray
-            ) -> tuple[np.ndarray, np.ndarray]:
-    """Whether this bucket is the smallest that two nodes share, and how many runs bring
-    them together. ``leaves`` are each row's buckets in rising order."""
-    width = max(map(len, leaves))
-    mine = np.zeros((len(leaves), width), np.int64)
-    real = np.zeros((len(leaves), width), bool)
-    for r, x in enumerate(leaves):
-        mine[r, :len(x)], real[r, :len(x)] = x, True
-    first, runs = np.zeros(len(i), bool), np.zeros(len(i), np.int64)
-    step = max(1, 4_000_000 // (width * width))
-    for k in range(0, len(i), step):
-        a, b = i[k:k + step], j[k:k + step]
-        both = ((mine[a][:, :, None] == mine[b][:, None, :]) & real[b][:, None, :]).any(axis=2) & real[a]
-        first[k:k + step] = mine[a, both.argmax(axis=1)] == path[a]
-        for run in range(16):
-            runs[k:k + step] += (both & ((mine[a] & 15) == run)).any(axis=1)
-    return first, runs
+class _Common:
+    """The smallest bucket that two rows share, and how many runs bring them together."""
+
+    def __init__(self, leaves: list[np.ndarray]):
+        width = max(map(len, leaves))
+        mine = np.zeros((len(leaves), width), np.int64)         # rising, then zeros
+        for r, x in enumerate(leaves):
+            mine[r, :len(x)] = x
+        # near copies share their buckets: rows with equal lists are looked at once
+        self.mine, self.kind = np.unique(mine, axis=0, return_inverse=True)
+        self.kind = self.kind.ravel()
+        self.runs = np.unique(self.mine[self.mine != 0] & 15)
+
+    def __call__(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        pairs, at = np.unique(self.kind[i] * len(self.mine) + self.kind[j], return_inverse=True)
+        first, runs = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
+        step = max(1, 4_000_000 // self.mine.shape[1] ** 2)
+        for k in range(0, len(pairs), step):
+            a, b = self.mine[pairs[k:k + step] // len(self.mine)], self.mine[pairs[k:k + step] % len(self.mine)]
+            both = (a[:, :, None] == b[:, None, :]).any(axis=2) & (a != 0)
+            first[k:k + step] = a[np.arange(len(a)), both.argmax(axis=1)]
+            for run in self.runs:
+                runs[k:k + step] += (both & ((a & 15) == run)).any(axis=1)
+        return first[at], runs[at]
 
 
 _GROUP = "path long, lo int, hi int"
@@ -294,16 +300,19 @@ def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leaves = [np.asarray(x) for x in table.column("leaves").to_numpy()]
         path = table.column("path").to_numpy()
         wanted = np.zeros(n, bool)
+        common = _Common(leaves)
         for i, j in _meetings(table):
+            mine = common(i, j)[0] == path[i]
+            i, j = i[mine], j[mine]
             same = np.zeros(len(i), np.int16)
             for c in range(COORDS):
                 column = sketch[:, c]
                 same += column[i] == column[j]
+                if c == 15:             # most pairs of a mixed bucket agree nowhere
+                    near = same >= 3
+                    i, j, same = i[near], j[near], same[near]
             near = same >= (JACCARD - MARGIN) * COORDS
-            i, j = i[near], j[near]
-            if len(i):
-                first, _ = _common(leaves, path, i, j)
-                wanted[i[first]] = wanted[j[first]] = True
+            wanted[i[near]] = wanted[j[near]] = True
         keep = table.select(["path", "lo", "hi", "block", "node", "leaves", "copies"]).filter(
             pa.array(wanted))
         yield from keep.combine_chunks().to_batches()
@@ -327,10 +336,11 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice, links = (np.zeros(len(path), np.int64) for _ in range(3))
         root = np.arange(len(path))
         left, right = [], []
-        overlap = _Overlap(sets, group)
+        overlap, common = _Overlap(sets, group), _Common(leaves)
         for i, j in _meetings(table):
-            first, runs = _common(leaves, path, i, j)
-            i, j, runs = i[first], j[first], runs[first]
+            first, runs = common(i, j)
+            mine = first == path[i]
+            i, j, runs = i[mine], j[mine], runs[mine]
             both = overlap(i, j)
             size = overlap.sizes[i] + overlap.sizes[j] - both
             ok = both >= JACCARD * size

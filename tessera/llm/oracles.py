@@ -2,4 +2,46 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from tessera.llm.mixing import KEY_SEED
+
+# A source is capped when its share by weight, among the sources with more words per unit
+# of weight, is above three times its size; sorted by words per weight the capped ones
+# come first.
+MIX = f"""WITH docs AS (
+  SELECT doc_id, source,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+         CAST('0x' || substr(md5('{KEY_SEED}' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15)
+              AS BIGINT) AS key
+  FROM documents),
+src AS (
+  SELECT source, CAST(sum(size) AS HUGEINT) AS s,
+         (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w
+  FROM docs GROUP BY source),
+tot AS (SELECT sum(s) AS t FROM src),
+ord AS (
+  SELECT src.*, t,
+         coalesce(sum(3 * s) OVER (ORDER BY CAST(s AS DOUBLE) / w, source NULLS LAST
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS closed,
+         sum(w) OVER (ORDER BY CAST(s AS DOUBLE) / w, source NULLS LAST
+                      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open
+  FROM src, tot),
+cap AS (SELECT *, w * (t - closed) > 3 * s * open AS capped FROM ord),
+fin AS (
+  SELECT coalesce(sum(CASE WHEN capped THEN 3 * s END), 0) AS c,
+         sum(CASE WHEN NOT capped THEN w END) AS ow FROM cap),
+budget AS (
+  SELECT source, s, CASE WHEN capped THEN CAST(3 * s AS DOUBLE)
+                         ELSE CAST(w * (t - c) AS DOUBLE) / CAST(ow AS DOUBLE) END AS target,
+         CASE WHEN capped THEN 3 * s ELSE w * (t - c) // ow END AS words
+  FROM cap, fin),
+placed AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source
+                                     ORDER BY key, doc_id NULLS FIRST, size
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM docs)
+SELECT p.doc_id, p.size, CAST(b.s AS BIGINT) AS source_size, b.target,
+       CAST(p.size * (b.words // greatest(b.s, 1))
+            + least(p.size, greatest(0, b.words % greatest(b.s, 1) - p.before)) AS BIGINT) AS taken
+FROM placed p JOIN budget b ON p.source IS NOT DISTINCT FROM b.source"""
+
+ORACLES: dict[str, str] = {"op9_mix_sources": MIX}
