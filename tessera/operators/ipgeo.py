@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.functions.parsing import field, parse_long, required, split_once
-from tessera.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, materialize_head
+from tessera.plans.broadcast import (DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS,
+                                     materialize)
 
 # --- fixed values ------------------------------------------------------------------
 UNKNOWN_PROVINCE = "未知"   # an address outside every range
@@ -48,18 +49,18 @@ def prepare_rules(rules: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                   check_disjoint: bool = True) -> tuple[DataFrame, bool]:
     """Block table of ``rules`` and whether it is broadcast.
 
-    At most ``max_rows - 65536 + 1`` rules are computed once and checkpointed;
-    disjoint ranges over 32 bits explode to at most ``n_rules + 65536`` blocks,
-    so a rule count within that budget proves the block table fits the
-    broadcast bound. Otherwise the join is a shuffle join on the block key (AQE
+    The rules are written once and measured. Disjoint ranges over 32 bits explode to
+    at most ``n_rules + 65536`` blocks, so a rule count of at most ``max_rows - 65536``
+    (and the byte bound) proves that the block table may be broadcast. Otherwise the join is a shuffle join on the block key (AQE
     splits hot blocks). Overlapping rules are refused either way.
     """
     budget = max(1, max_rows - 65536)
-    head, n = materialize_head(rules.select("start", "end", "province"), budget)
-    small = n <= budget
-    if check_disjoint and overlapping_rules(head if small else rules).take(1):
+    table, n, size = materialize(rules.select("start", "end", "province"))
+    small = n <= budget and size <= DEFAULT_MAX_BROADCAST_BYTES
+    if check_disjoint and overlapping_rules(table).take(1):
         raise ValueError("IP rules overlap; a range lookup over them is ambiguous")
-    return (F.broadcast(rule_blocks(head)), True) if small else (rule_blocks(rules), False)
+    blocks = rule_blocks(table)
+    return (F.broadcast(blocks), True) if small else (blocks, False)
 
 
 def attach_province(df: DataFrame, rules: DataFrame, ip_col: str = "ip",

@@ -42,18 +42,10 @@ def tag_library(lines: DataFrame, order_col: str = "line_no") -> DataFrame:
     return dedupe_last_wins(parse_tags(lines, order_col), order_col)
 
 
-def join_tags_checked(usage_sums: DataFrame, tags: DataFrame,
-                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
-                      ) -> tuple[DataFrame, bool]:
-    """Left join of (mdn, app_id, times) to the tag values; a miss keeps the row
-    with NULL tag values. The library is broadcast only after a size check;
-    the flag says whether it was (i.e. whether ``|tags| <= max_broadcast_rows``
-    is proven, which also bounds the number of tagged apps per user)."""
-    side, small = broadcast_if_small(tags.select("app_id", *TAG_VALUES), max_broadcast_rows)
-    joined = usage_sums.join(side, "app_id", "left").select("mdn", "app_id", "times", *TAG_VALUES)
-    return joined, small
-
-
 def join_tags(usage_sums: DataFrame, tags: DataFrame,
               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    return join_tags_checked(usage_sums, tags, max_broadcast_rows)[0]
+    """Left join of (mdn, app_id, times) to the tag values; a miss keeps the row
+    with NULL tag values. The library is broadcast only after its size has been
+    measured."""
+    side, _ = broadcast_if_small(tags.select("app_id", *TAG_VALUES), max_broadcast_rows)
+    return usage_sums.join(side, "app_id", "left").select("mdn", "app_id", "times", *TAG_VALUES)

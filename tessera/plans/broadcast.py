@@ -1,38 +1,37 @@
-"""Broadcast a join side only after its size has been checked."""
+"""Broadcast a join side only after its size has been measured."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import shared_root
+from tessera.session import scratch_path
 
-# Default bound on the rows of a broadcast dimension. An app tag library or an
-# exploded IP-rule table is far below this; a side above it is joined by shuffle.
+# Bounds of a broadcast dimension, in rows and in bytes of its Parquet files. An app tag
+# library or an exploded IP-rule table is far below both; a side above either is joined
+# by shuffle.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
-def materialize_head(df: DataFrame, max_rows: int) -> tuple[DataFrame, int]:
-    """Compute at most ``max_rows + 1`` rows of ``df`` once and keep them.
-
-    The rows go to a reliable checkpoint in the shared ``spark.checkpoint.dir``
-    (lineage cut, survives executor loss). Returns the checkpointed rows and
-    their count; when the count is ``<= max_rows`` they are *all* of ``df``.
-    """
-    shared_root(df.sparkSession)          # make sure a checkpoint dir is set
-    head = df.limit(max_rows + 1).checkpoint(eager=True)
-    return head, head.count()
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
-                       ) -> tuple[DataFrame, bool]:
-    """``(broadcast side, True)`` when ``df`` has at most ``max_rows`` rows,
-    otherwise ``(df, False)`` so the caller's join falls back to a shuffle join
-    (sort-merge; AQE splits skewed keys and may still switch at runtime).
-
-    The small side is computed once: the checked rows themselves are broadcast.
-    """
-    head, n = materialize_head(df, max_rows)
-    if n <= max_rows:
-        return F.broadcast(head), True
-    return df, False
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
+
+
+def materialize(df: DataFrame) -> tuple[DataFrame, int, int]:
+    """Write ``df`` once under the shared ``spark.checkpoint.dir`` and return the table,
+    its rows and its bytes. The write is as parallel as ``df``; a lost executor costs no
+    recomputation afterwards."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "side")
+    df.write.parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    table = spark.read.schema(df.schema).parquet(path)
+    return table, table.count(), fs.getContentSummary(folder).getLength()
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """``(broadcast side, True)`` when ``df`` is within both bounds, otherwise
+    ``(side, False)`` so the caller's join is a shuffle join (AQE splits skewed keys).
+    Either way the side is computed once."""
+    table, rows, size = materialize(df)
+    small = rows <= max_rows and size <= max_bytes
+    return (F.broadcast(table), True) if small else (table, False)

@@ -8,7 +8,7 @@ from tessera.operators.ipgeo import attach_province, parse_ip_rules, prepare_rul
 from tessera.operators.orders import order_kpis, parse_orders
 from tessera.operators.profile import (build_profiles, build_profiles_sorted, merge_profiles,
                                       merge_profiles_sorted)
-from tessera.operators.tags import join_tags_checked, tag_library
+from tessera.operators.tags import join_tags, tag_library
 from tessera.operators.usage import clean_usage, usage_by_user_app
 from tessera.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS
 from tessera.plans.snapshot import SnapshotStore
@@ -18,58 +18,50 @@ def usage_sums(usage_lines: DataFrame, policy: str = "strict") -> DataFrame:
     return usage_by_user_app(clean_usage(usage_lines, policy))
 
 
-FOLD_MODES = ("auto", "array", "sorted")
-
-
-def tagged_usage_checked(usage_lines: DataFrame, tag_lines: DataFrame, policy: str = "strict",
-                         order_col: str = "line_no",
-                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
-                         ) -> tuple[DataFrame, bool]:
-    tags = tag_library(tag_lines, order_col)
-    return join_tags_checked(usage_sums(usage_lines, policy), tags, max_broadcast_rows)
+FOLD_MODES = ("array", "sorted")
 
 
 def tagged_usage(usage_lines: DataFrame, tag_lines: DataFrame, policy: str = "strict",
                  order_col: str = "line_no",
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    return tagged_usage_checked(usage_lines, tag_lines, policy, order_col, max_broadcast_rows)[0]
+    tags = tag_library(tag_lines, order_col)
+    return join_tags(usage_sums(usage_lines, policy), tags, max_broadcast_rows)
 
 
-def _use_array(fold_mode: str, tags_bounded: bool) -> bool:
-    """The per-user array fold needs a proven bound on a user's tagged apps; the
-    size-checked tag library gives one. Without it (a library too large to
-    broadcast) the fold runs by secondary sort, which never builds a group."""
+def _use_array(fold_mode: str) -> bool:
+    """``array`` folds an array per user on the JVM: right while a user's tagged apps,
+    at most the tag library, fit in a row. ``sorted`` folds by secondary sort and never
+    builds a group: for libraries of any size. The choice is the caller's, not the
+    data's."""
     if fold_mode not in FOLD_MODES:
         raise ValueError(f"fold_mode must be one of {FOLD_MODES}")
-    return fold_mode == "array" or (fold_mode == "auto" and tags_bounded)
+    return fold_mode == "array"
 
 
 def profiles_from_logs(usage_lines: DataFrame, tag_lines: DataFrame, policy: str = "strict",
-                       order_col: str = "line_no", fold_mode: str = "auto",
+                       order_col: str = "line_no", fold_mode: str = "array",
                        max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Today's profiles from the prior: parse -> filter -> sum by (user, app) ->
     broadcast tag join -> per-user ordered fold."""
-    tagged, bounded = tagged_usage_checked(usage_lines, tag_lines, policy, order_col,
-                                           max_broadcast_rows)
-    if _use_array(fold_mode, bounded):
+    tagged = tagged_usage(usage_lines, tag_lines, policy, order_col, max_broadcast_rows)
+    if _use_array(fold_mode):
         return build_profiles(tagged)
     return build_profiles_sorted(tagged)
 
 
 def profiles_with_store(store: DataFrame, usage_lines: DataFrame, tag_lines: DataFrame,
                         policy: str = "strict", order_col: str = "line_no",
-                        fold_mode: str = "auto",
+                        fold_mode: str = "array",
                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    tagged, bounded = tagged_usage_checked(usage_lines, tag_lines, policy, order_col,
-                                           max_broadcast_rows)
-    if _use_array(fold_mode, bounded):
+    tagged = tagged_usage(usage_lines, tag_lines, policy, order_col, max_broadcast_rows)
+    if _use_array(fold_mode):
         return merge_profiles(store, tagged)
     return merge_profiles_sorted(store, tagged)
 
 
 def run_daily_update(store: SnapshotStore, base_version: int, usage_lines: DataFrame,
                      tag_lines: DataFrame, policy: str = "strict",
-                     order_col: str = "line_no", fold_mode: str = "auto",
+                     order_col: str = "line_no", fold_mode: str = "array",
                      day: str | None = None) -> int:
     """Read snapshot ``base_version``, fold the day's logs in, write
     ``base_version + 1``. Re-running the same day from the same base rewrites the

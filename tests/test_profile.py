@@ -219,17 +219,18 @@ def test_sorted_fold_equals_array_fold(spark):
     assert a == b and len(a) == 32
 
 
-def test_fold_mode_follows_the_tag_bound(spark):
+def test_fold_mode_is_the_callers_choice(spark):
     from tessera.sources import derived as d
     sf = "/root/testdata/sf0.001"
     usage, tags = d.usage_lines(spark, sf), d.tag_lines(spark, sf)
-    plan_auto = jobs.profiles_from_logs(usage, tags)._jdf.queryExecution().executedPlan().toString()
-    assert "MapInArrow" not in plan_auto                     # bounded library: array fold
-    small_bound = jobs.profiles_from_logs(usage, tags, max_broadcast_rows=10)
-    plan = small_bound._jdf.queryExecution().executedPlan().toString()
-    assert "MapInArrow" in plan                              # no proven bound: sorted fold
-    assert sorted(tuple(r) for r in small_bound.collect()) == sorted(
-        tuple(r) for r in jobs.profiles_from_logs(usage, tags).collect())
+    folds = []
+    for rows in (2_000_000, 10):                             # tags broadcast, tags shuffled
+        for mode in ("array", "sorted"):
+            df = jobs.profiles_from_logs(usage, tags, fold_mode=mode, max_broadcast_rows=rows)
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert ("MapInArrow" in plan) == (mode == "sorted")
+            folds.append(sorted(tuple(r) for r in df.collect()))
+    assert all(f == folds[0] for f in folds)
 
 
 def test_bucketed_store_survives_a_new_catalog(spark):
