@@ -86,9 +86,12 @@ def template_weights() -> tuple[list[tuple[int, str, str, float]], dict[str, flo
 def best_template(spark: SparkSession, parts: DataFrame, keys: list[str]) -> DataFrame:
     """``keys, license, score`` of every part (``keys, part`` rows) with its nearest template."""
     rows, idf, rare = template_weights()
-    weights = F.broadcast(spark.createDataFrame(rows, "template int, license string, term string, "
-                                                "weight double"))
-    known = F.broadcast(spark.createDataFrame(sorted(idf.items()), "term string, idf double"))
+    # both are tables of the templates, a few hundred rows whatever is scanned
+    weights = F.broadcast(spark.sql("SELECT * FROM VALUES " + ", ".join(
+        f"({i}, '{name}', '{t}', {w!r}D)" for i, name, t, w in rows)
+        + " AS t(template, license, term, weight)"))
+    known = F.broadcast(spark.sql("SELECT * FROM VALUES " + ", ".join(
+        f"('{t}', {x!r}D)" for t, x in sorted(idf.items())) + " AS t(term, idf)"))
     terms = parts.select(*keys, F.explode(F.regexp_extract_all(
         F.lower("part"), F.lit(TERM), F.lit(0))).alias("term"))
     tf = terms.groupBy(*keys, "term").agg(F.count("*").alias("tf")).join(known, "term", "left").select(
