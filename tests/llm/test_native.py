@@ -155,3 +155,10 @@ def test_mask_leaves_nothing(spark, docs):
         assert not [t for r in got.collect() for t in [r[1]] if spans_by_hand(t)]
     clean = docs.filter("NOT text RLIKE '[0-9@]'")
     assert clean.exceptAll(pii.mask_documents(clean)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op2_licenses", "op4_hilbert_shards", "op6_quality", "op10_pii"])
+def test_native_plans_hold_no_python(spark, name):
+    from tessera.llm.queries import QUERIES
+    plan = QUERIES[name](spark, SF_TINY)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
