@@ -9,12 +9,16 @@ and one at ``DEPTH``. Large buckets are joined in blocks.
 
 With two draws and similarity s a pair stays together with probability
 p = 1 - (1 - s p)^2 at any depth, at least 0.93 for s = 0.8, so it is missed by all of the
-``RUNS`` runs once in 50,000 times. An audit estimates the recall from how many runs have
-found each link (Chao's estimator) and doubles the runs until it reaches ``TARGET``.
+``RUNS`` runs once in 50,000 times. Two audits double the runs until both reach ``TARGET``:
+one estimates the recall from how many runs have found each link (Chao's estimator); the
+other compares the links of ``AUDIT`` nodes, drawn by hash, with those that their shingle
+sets have with the sets of all rows, so it also sees what the sketches lose. If that is
+still not met at ``MOST`` runs, the join fails instead of giving an incomplete result.
 
 A pair that meets in several buckets counts in its smallest common bucket only, so counts
 are exact without pairs being shuffled: a task ships per node a link count and one edge
-to the smallest linked node. Min-hashes propose a pair, the shingle sets decide.
+to the smallest linked node. Min-hashes propose a pair, the shingle sets decide; a pair of
+similarity 0.8 has fewer than ``AGREE`` equal min-hashes once in a billion times (``LOST``).
 
 Edge cases: a text that is null or has no word links with nothing and is its own class;
 one of fewer than five words is a single shingle; equal texts link; equal rows are copies
@@ -24,6 +28,7 @@ gives an empty result; other columns are ignored, or kept by ``deduplicate``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,14 +47,30 @@ SMALL = 512
 BLOCK = 1024
 DEPTH = 12
 STUCK = 0.5             # share of a bucket's pairs that agree at a random coordinate
-MARGIN = 0.2            # four standard deviations of the estimate from 64 min-hashes
 TARGET = 0.99
+MOST = 16               # runs; the low four bits of a path tell the run
+LOST = 1e-9             # share of the pairs of similarity JACCARD that a filter step may lose
+FIRST = 16              # coordinates of the first filter step
+AUDIT = 512             # nodes whose links are compared with exact overlaps
+AUDIT_CHARS = 1 << 24   # characters of their texts together
 SLICE = 1 << 20         # characters of text handled at a time
 
 _B = 0x9E3779B97F4A7C15
-_SEEDS = [np.uint64((0xD1B54A32D192ED03 * (2 * i + 1)) % 2**64 | 1) for i in range(COORDS)]
 
 
+def _least_agreeing(n: int) -> int:
+    """The largest number of equal coordinates out of ``n`` independent ones that all but
+    ``LOST`` of the pairs of similarity ``JACCARD`` reach."""
+    below = 0.0
+    for k in range(n + 1):
+        below += math.comb(n, k) * JACCARD ** k * (1 - JACCARD) ** (n - k)
+        if below > LOST:
+            return k
+    return n
+
+
+AGREE_FIRST, AGREE = _least_agreeing(FIRST), _least_agreeing(COORDS)
+
 def _mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     x = (x ^ np.uint64(seed)) * np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(31)
@@ -57,6 +78,16 @@ def _mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+# unrelated, so that the coordinates are independent: multiples of one number are not
+_SEEDS = np.random.default_rng(7).integers(1, 2**64 - 1, COORDS, np.uint64).tolist()
+
+
+def minhashes(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """``COORDS`` min-hashes of each set; the sets begin at ``first``."""
+    mins = np.stack([np.minimum.reduceat(_mix(h, seed), first) for seed in _SEEDS], axis=1)
+    return (mins >> np.uint64(8)).astype(np.uint32).view(np.int32)
+
+
 class _Powers:
     """Powers of an odd number modulo 2^64 and of its inverse, as far as needed."""
 
@@ -132,12 +163,72 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(F.xxhash64(text), F.coalesce(doc_id.cast("string"), F.lit("")))
 
 
-def sketched(docs: DataFrame) -> DataFrame:
-    """``doc_id, rk, node, sketch``: node is null for a text without words."""
+class Asked:
+    """Shingle sets of the audited nodes, and the rows of a table that link with them."""
+
+    def __init__(self, texts: list[str]):
+        h, at = shingles(texts)
+        has = np.flatnonzero(np.diff(at))
+        keys = _node_keys(h, at[has]) if len(has) else []
+        own = {key: h[at[i]:at[i + 1]] for key, i in zip(keys, has)}
+        self.nodes = set(own)
+        self.sizes = np.array([len(x) for x in own.values()], np.int64)
+        flat = np.concatenate([np.empty(0, np.uint64), *own.values()])
+        of = np.repeat(np.arange(len(own)), self.sizes)
+        order = np.argsort(flat, kind="stable")
+        self.of = of[order]                                 # nodes, shingle by shingle
+        self.shingle, self.first = np.unique(flat[order], return_index=True)
+        self.times = np.diff(np.append(self.first, len(flat)))
+
+    def linked(self, h: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Rows (of the sets ``h`` with offsets ``at``) and the audited nodes they link with."""
+        n = len(self.sizes)
+        if not n:
+            return
+        for lo in range(0, len(at) - 1, 1024):
+            ends = at[lo:lo + 1025]
+            part = h[ends[0]:ends[-1]]
+            where = np.minimum(np.searchsorted(self.shingle, part), len(self.shingle) - 1)
+            hit = np.flatnonzero(self.shingle[where] == part)
+            if not len(hit):
+                continue
+            row = np.searchsorted(ends, hit + ends[0], "right") - 1
+            where = where[hit]
+            times = self.times[where]
+            skip = np.cumsum(times) - times
+            of = self.of[np.repeat(self.first[where] - skip, times) + np.arange(times.sum())]
+            both = np.bincount(np.repeat(row, times) * n + of, minlength=(len(ends) - 1) * n)
+            both = both.reshape(-1, n)
+            size = np.diff(ends)[:, None] + self.sizes[None, :] - both
+            near = (both > 0) & (both >= JACCARD * size)
+            for i in np.flatnonzero(near.any(axis=1)):
+                yield lo + int(i), np.flatnonzero(near[i]).astype(np.int32)
+
+
+def asked_nodes(docs: DataFrame) -> Asked:
+    """The nodes to audit: ``AUDIT`` rows by hash of their key, as far as their texts have
+    ``AUDIT_CHARS`` characters together."""
+    rows = pick(docs, "doc_id", "text").withColumn("rk", row_key(F.col("doc_id"), F.col("text")))
+    drawn = rows.select("rk", F.length("text").alias("n")).filter("n > 0").orderBy(
+        F.xxhash64("rk"), "rk").limit(AUDIT).collect()
+    keys, size = [], 0
+    for r in drawn:
+        if size + r.n <= AUDIT_CHARS:
+            keys.append(r.rk)
+            size += r.n
+    texts = rows.filter(F.col("rk").isin(keys)).dropDuplicates(["rk"]).select("text").collect()
+    return Asked([r.text for r in texts])
+
+
+def sketched(docs: DataFrame, asked: Asked) -> DataFrame:
+    """``doc_id, rk, node, sketch, asked, near``: node is null for a text without words,
+    near has the audited nodes that the row links with."""
     rows = pick(docs, "doc_id", "text")
     kind = dict(rows.dtypes)["doc_id"]
+    shared = docs.sparkSession.sparkContext.broadcast(asked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = shared.value
         for batch in batches:
             texts = batch.column(2).to_pylist()
             for lo, hi in _slices([len(t or "") for t in texts]):
@@ -145,18 +236,23 @@ def sketched(docs: DataFrame) -> DataFrame:
                 has = np.flatnonzero(np.diff(at))
                 node: list = [None] * (hi - lo)
                 sketch: list = [None] * (hi - lo)
+                near: list = [None] * (hi - lo)
                 if len(has):
-                    mins = np.stack([np.minimum.reduceat(h * s, at[has]) for s in _SEEDS], axis=1)
-                    mins = (mins >> np.uint64(8)).astype(np.uint32).view(np.int32)
+                    mins = minhashes(h, at[has])
                     for i, key, m in zip(has, _node_keys(h, at[has]), mins):
                         node[i], sketch[i] = key, m
+                    for i, q in asked.linked(h, at):
+                        near[i] = q
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo),
-                     pa.array(node, pa.binary()), pa.array(sketch, pa.list_(pa.int32()))],
-                    names=["doc_id", "rk", "node", "sketch"])
+                     pa.array(node, pa.binary()), pa.array(sketch, pa.list_(pa.int32())),
+                     pa.array([x in asked.nodes for x in node], pa.bool_()),
+                     pa.array(near, pa.list_(pa.int32()))],
+                    names=["doc_id", "rk", "node", "sketch", "asked", "near"])
 
     return rows.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("rk"),
-                       "text").mapInArrow(run, f"doc_id {kind}, rk long, node binary, sketch array<int>")
+                       "text").mapInArrow(run, f"doc_id {kind}, rk long, node binary, sketch array<int>, "
+                                          "asked boolean, near array<int>")
 
 
 # -- buckets ------------------------------------------------------------------------------
@@ -308,10 +404,10 @@ def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for c in range(COORDS):
                 column = sketch[:, c]
                 same += column[i] == column[j]
-                if c == 15:             # most pairs of a mixed bucket agree nowhere
-                    near = same >= 3
+                if c == FIRST - 1:      # most pairs of a mixed bucket agree nowhere
+                    near = same >= AGREE_FIRST
                     i, j, same = i[near], j[near], same[near]
-            near = same >= (JACCARD - MARGIN) * COORDS
+            near = same >= AGREE
             wanted[i[near]] = wanted[j[near]] = True
         keep = table.select(["path", "lo", "hi", "block", "node", "leaves", "copies"]).filter(
             pa.array(wanted))
@@ -333,7 +429,7 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group[new] = 1
         group = np.cumsum(group)
         count = np.zeros(len(path), np.int64)
-        once, twice, links = (np.zeros(len(path), np.int64) for _ in range(3))
+        once, twice, links, degree = (np.zeros(len(path), np.int64) for _ in range(4))
         root = np.arange(len(path))
         left, right = [], []
         overlap, common = _Overlap(sets, group), _Common(leaves)
@@ -348,6 +444,8 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(count, i, copies[j])
             np.add.at(count, j, copies[i])
             np.add.at(links, i, 1)
+            np.add.at(degree, i, 1)
+            np.add.at(degree, j, 1)
             np.add.at(once, i[runs == 1], 1)
             np.add.at(twice, i[runs == 2], 1)
             left.append(i)
@@ -370,7 +468,8 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [pa.array(node[hit], pa.binary()), pa.array(count[hit]),
              pa.array(node[root[hit]], pa.binary()), pa.array(links[hit]), pa.array(once[hit]),
-             pa.array(twice[hit])], names=["node", "n", "root", "links", "once", "twice"])
+             pa.array(twice[hit]), pa.array(degree[hit])],
+            names=["node", "n", "root", "links", "once", "twice", "degree"])
 
 
 class _Overlap:
@@ -438,9 +537,23 @@ def _grouped(df: DataFrame) -> DataFrame:
     return df.repartition(partitions(df), *keys).sortWithinPartitions(*keys)
 
 
+def _true_links(nodes: DataFrame) -> int:
+    """Links of the audited nodes by their shingle sets, without those to themselves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = sum(len(batch.column(0).flatten()) for batch in batches)
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    all_ = nodes.filter("near IS NOT NULL").select("near").mapInArrow(run, "n long").agg(
+        F.sum("n")).first()[0] or 0
+    return all_ - nodes.filter("asked").count()
+
+
 def node_links(docs: DataFrame, nodes: DataFrame, target: float = TARGET) -> DataFrame:
     """``(node, n, root, ...)``: link counts and edges of all nodes, in several rows each."""
     runs = RUNS
+    truth = _true_links(nodes)
+    asked = nodes.filter("asked").select("node")
     while True:
         leaves = written(buckets(nodes, runs), "path-leaves")
         of_node = leaves.groupBy("node").agg(F.array_sort(F.collect_set("path")).alias("leaves"))
@@ -456,21 +569,26 @@ def node_links(docs: DataFrame, nodes: DataFrame, target: float = TARGET) -> Dat
         sets = _shingled(docs, wanted).dropDuplicates(["node"])
         found = written(_grouped(proposed.join(sets, "node").select(
             "path", "lo", "hi", "block", "node", "leaves", "copies", "shingles")).mapInArrow(
-            _decide, "node binary, n long, root binary, links long, once long, twice long"),
+            _decide, "node binary, n long, root binary, links long, once long, twice long, degree long"),
             "path-links")
         total, once, twice = (x or 0 for x in found.agg(
             F.sum("links"), F.sum("once"), F.sum("twice")).first())
         missed = once * once / (2 * twice) if twice else once * (once - 1) / 2
-        if runs >= 16 or total >= target * (total + missed):
+        got = found.join(asked, "node", "left_semi").agg(F.sum("degree")).first()[0] or 0
+        if total >= target * (total + missed) and got >= target * truth:
             return found
+        if runs >= MOST:
+            raise RuntimeError(f"recall below {target} at {runs} runs: {total} links found, about "
+                               f"{missed:.0f} missed; {got} of {truth} links of the audited nodes")
         runs *= 2
 
 
 def _classes(docs: DataFrame) -> DataFrame:
     """``doc_id, rk, node, root, least, first, n_links`` of every row."""
-    rows = written(sketched(docs), "path-sketches")
+    rows = written(sketched(docs, asked_nodes(docs)), "path-sketches")
     nodes = written(rows.filter("node IS NOT NULL").groupBy("node").agg(
-        F.first("sketch").alias("sketch"), F.count("*").alias("copies"),
+        F.first("sketch").alias("sketch"), F.first("asked").alias("asked"),
+        F.first("near").alias("near"), F.count("*").alias("copies"),
         F.min("doc_id").alias("least"), F.min("rk").alias("rep")), "path-nodes")
     found = node_links(docs, nodes)
     roots = components(found.filter("node <> root").select(F.col("node").alias("a"),

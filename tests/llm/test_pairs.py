@@ -108,6 +108,42 @@ def test_hot_groups_stay_exact(spark, monkeypatch):
     check_jaccard(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
+def sets_of_similarity(rng, pairs, size, both):
+    """Pairs of sets of ``size`` hashes, ``both`` of them shared, with their offsets."""
+    out = []
+    for _ in range(pairs):
+        h = rng.integers(0, 2**64, 2 * size - both, np.uint64)
+        out += [h[:size], h[size - both:]]
+    return np.concatenate(out), np.arange(2 * pairs) * size
+
+
+def test_sketches_lose_no_link():
+    """Equal min-hashes spread like independent draws, and no pair falls below the filter."""
+    rng = np.random.default_rng(11)
+    h, at = sets_of_similarity(rng, 4000, 90, 80)                # Jaccard 0.8
+    m = chosen_path.minhashes(h, at)
+    same = m[::2] == m[1::2]
+    assert abs(same.mean() - 0.8) < 0.01
+    assert same.sum(axis=1).std() < 3.5                          # 3.2 for independent ones
+    assert (same.sum(axis=1) >= chosen_path.AGREE).all()
+    assert (same[:, :chosen_path.FIRST].sum(axis=1) >= chosen_path.AGREE_FIRST).all()
+
+
+def test_lost_links_are_noticed(spark, monkeypatch):
+    """A filter that drops real links is seen by the exact audit, and the join fails."""
+    import pytest
+    text = [f"w{i}" for i in range(60)]
+    table = spark.createDataFrame([(i, " ".join([*text, f"x{i}"])) for i in range(8)],
+                                  "doc_id long, text string")
+    asked = chosen_path.asked_nodes(table)
+    assert len(asked.nodes) == 8
+    rows = chosen_path.sketched(table, asked).collect()
+    assert all(r.asked and len(r.near) == 8 for r in rows)
+    monkeypatch.setattr(chosen_path, "_decide", lambda batches: iter(()))
+    with pytest.raises(RuntimeError, match="0 of 56 links"):
+        chosen_path.jaccard_classes(table)
+
+
 def test_one_of_each_class_stays(spark, docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     want = {c if c is not None else d for d, c, _ in jaccard_by_hand(rows)}
