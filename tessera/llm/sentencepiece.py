@@ -273,13 +273,13 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and the offsets of the texts in it."""
+        if len(self.codes) > MAX_CHUNKS:        # before splitting, which registers literals
+            self._clear()
         split, counts = [], []
         for t in texts:
             got = self._split(t) if t else []
             split.extend(got)
             counts.append(len(got))
-        if len(self.codes) > MAX_CHUNKS:
-            self._clear()
         new = [w for w in dict.fromkeys(split) if w not in self.codes]
         if new:
             first = len(self.codes)

@@ -114,6 +114,16 @@ def test_round_trip_and_odd_rows(spark, docs):
     assert sp.encode(odd.limit(0)).count() == 0
 
 
+def test_full_chunk_cache_changes_no_ids(encoder, monkeypatch):
+    texts = ["one two", "a▁b", "three four ▁", "▁▁ five", "six"]
+    want = [encoder.encode([t])[0].tolist() for t in texts]
+    monkeypatch.setattr(sp, "MAX_CHUNKS", 1)
+    decode = sp.decoder(encoder.vocabulary)
+    for _ in range(2):
+        for t, ids in zip(texts, want):
+            assert encoder.encode([t])[0].tolist() == ids and decode(ids) == t
+
+
 # -- licenses ------------------------------------------------------------------------------
 
 def test_license_lines_of_documents(spark):
