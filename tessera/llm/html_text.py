@@ -59,6 +59,9 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
         "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
         "option": ({"option"}, {"select"})}
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+# what follows a tag's name, read once without going back: blanks and slashes, names with a
+# quoted, bare or no value; a quote that is never closed is an ordinary character
+TAG_REST = re.compile(r"""(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?)?)*+>""")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 
 
@@ -91,16 +94,9 @@ def _attributes(tag: str, text: str) -> tuple[str, bool]:
 
 
 def _tag_end(page: str, at: int) -> int:
-    """Index of the ``>`` that ends the tag at ``at``; one inside quotes does not."""
-    end = first = page.find(">", at)
-    for _ in range(16):
-        if end < 0:
-            break
-        inside = ATTRIBUTE.sub("", page[at:end]) if "=" in page[at:end] else ""
-        if '"' not in inside and "'" not in inside:
-            return end
-        end = page.find(">", end + 1)
-    return first
+    """Index of the ``>`` that ends the tag at ``at`` (-1: none); one inside quotes does not."""
+    rest = TAG_REST.match(page, at)
+    return rest.end() - 1 if rest else -1
 
 
 def parse(page: str) -> Node:

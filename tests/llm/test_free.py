@@ -201,6 +201,16 @@ def test_markup_by_hand():
     assert html_text.main_text('<a title="1 > 0">in</a> out') == "in out"
 
 
+def test_quoted_tag_ends_are_no_tag_ends():
+    inner = "<p>hidden</p>" * 200
+    for q in "\"'":
+        assert html_text.main_text(f"<article><div data-x={q}{inner}{q} id=a>seen</div></article>") == "seen"
+    assert html_text.main_text("<div data-x = '" + "->" * 50_000 + "'>seen</div>") == "seen"
+    assert html_text.main_text('<a href=/x?a="1>in</a> out') == "in out"
+    assert html_text.main_text("<a b=>in</a> <i title='it>out</i>") == "in out"
+    assert html_text.main_text("one <b c" + "='\"" * 20_000) == "one"
+
+
 def test_recurring_subtrees_go(spark):
     def page(i):
         return (f"<body><div class=top><span>Welcome to our site</span></div><article><h1>T{i}</h1>"
