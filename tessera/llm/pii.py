@@ -56,6 +56,30 @@ def _octets(ip: Column) -> Column:
     return F.forall(parts, lambda p: (F.length(p) <= 3) & (p.cast("int") <= 255))
 
 
+# --- fixed values: characters of an IBAN by country (ISO 13616 register) -------------------
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU"}
+# -------------------------------------------------------------------------------------------
+
+
+def _iban_pattern() -> str:
+    """By the length of the country, so that nothing behind the number is taken with it;
+    other countries have 15 to 34 characters, and no group that begins a known one."""
+    known = "(?:" + "|".join(" ".join(IBAN_LENGTHS.values()).split()) + ")[0-9]{2}"
+    each = []
+    for n, countries in IBAN_LENGTHS.items():
+        groups, rest = divmod(n - 4, 4)
+        end = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+        each.append(f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{end}")
+    other = (f"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?: ?(?!{known})"
+             f"[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?")
+    return rf"\b(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join([*each, other])})\b"
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
@@ -94,7 +118,7 @@ KINDS = (
     Kind("cardgroup", r"(?<![0-9])(?:[0-9]{4}[\x20-]?+){3}[0-9]{4}(?![0-9])",
          _digits_between(16, 16, luhn), lambda t: F.rlike(t, F.lit(r"[0-9](?:[\x20-]?+[0-9]){15}")),
          False, 0.7, r"(?i)\b(?:card|visa|mastercard|credit|payment)\b"),
-    Kind("iban", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b", mod97,
+    Kind("iban", _iban_pattern(), lambda s: (F.length(F.regexp_replace(s, " ", "")) >= 15) & mod97(s),
          lambda t: F.rlike(t, F.lit(r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4} ?[A-Z0-9]{4}")), False, 0.7,
          r"(?i)\b(?:iban|account|bank|transfer)\b"),
     Kind("ssn", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",

@@ -147,6 +147,29 @@ def test_added_spans_need_their_checksum_and_context(spark):
                    5: "secret:9:41", 6: ""}
 
 
+def iban_of(country, bban):
+    code = "".join(str(int(c, 36)) for c in bban + country + "00")
+    return f"{country}{98 - int(code) % 97:02d}{bban}"
+
+
+def test_ibans_end_where_their_country_says(spark):
+    t = ["NO93 8601 1117 947", "NO9386011117947.", "BE68 5390 0754 7034 BANK", "BE68539007547034 CODE 12",
+         "DE89 3704 0044 0532 0130 00 BIC COBA", "DE89 3704 0044 0532 0130 00 NO93 8601 1117 947",
+         "AB12 3456 7890 1234 DE89 3704 0044 0532 0130 00", "NO93 8601 1117 948", "BE68 5390 0754 7035 BANK"]
+    # one of every country, alone and in front of a word; and one of a country not listed
+    by = [(n, c) for n, cs in pii.IBAN_LENGTHS.items() for c in cs.split()]
+    own = [iban_of(c, ("1234567890" * 4)[:n - 4]) for n, c in by] + [iban_of("ZZ", "12345678901234")]
+    t += [x + (" BANK" if x[:2] != "ZZ" else "") for x in own]
+    df = spark.createDataFrame(list(enumerate(t)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.pii_digest(df).select(
+        "doc_id", F.regexp_replace("spans", "(?:card|cardgroup|phone):[0-9]+:[0-9]+,?", "").alias("spans")).collect()}
+    want = ["iban:0:18", "iban:0:15", "iban:0:19", "iban:0:16", "iban:0:27", "iban:0:27,iban:28:46",
+            "iban:20:47", "", ""] + [f"iban:0:{len(x)}" for x in own]
+    assert [got[i] for i in range(len(t))] == want
+    masked = [r.m for r in df.filter("doc_id < 6").orderBy("doc_id").select(pii.mask(F.col("text")).alias("m")).collect()]
+    assert masked == ["<IBAN>", "<IBAN>.", "<IBAN> BANK", "<IBAN> CODE 12", "<IBAN> BIC COBA", "<IBAN> <IBAN>"]
+
+
 def test_mask_leaves_nothing(spark, docs):
     odd = odd_documents(spark, PII_TEXTS)
     for table in (docs, odd):
