@@ -2,8 +2,8 @@
 
 Element subtrees are hashed (tag, classes, text and children). Spark counts on how many
 different pages of a host each hash occurs; a subtree that recurs on at least
-``MIN_PAGES`` pages and on ``MIN_SHARE`` of the host's pages is template and is deleted
-from its pages. Templates whose text differs from page to page do not recur; they are
+``MIN_PAGES`` pages is template and is deleted from its pages, however many pages the host
+has: the sections of a large host have templates of their own. Templates whose text differs from page to page do not recur; they are
 known by what they are: menus, headers, footers, sidebars, forms, scripts and elements
 that call themselves adverts, notices, comments and the like.
 
@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 from tessera.llm.common import pick, written
 
 MIN_PAGES = 5
-MIN_SHARE = 0.2
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -284,23 +283,19 @@ def subtrees(pages: DataFrame) -> DataFrame:
         run, "host long, page long, subtree long")
 
 
-def templates(found: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def templates(found: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """``(host, subtree)`` of the subtrees that recur across a host's pages."""
-    pages = found.select("host", "page").distinct().groupBy("host").agg(
-        F.count("*").alias("pages"))
-    times = found.distinct().groupBy("host", "subtree").agg(F.count("*").alias("n")).filter(
-        F.col("n") >= min_pages)
-    return times.join(pages, "host").filter(F.col("n") >= F.col("pages") * min_share).select(
-        "host", "subtree")
+    return found.distinct().groupBy("host", "subtree").agg(F.count("*").alias("n")).filter(
+        F.col("n") >= min_pages).select("host", "subtree")
 
 
-def extract(table: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract(table: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """One row per page: ``page_id, url, text, n_chars``."""
     rows = pick(table, "page_id", "url", "html").withColumn(
         "host", F.xxhash64(_host(F.col("url")))).withColumn("page", F.xxhash64("html"))
     found = written(subtrees(rows), "html-subtrees")
     # hashes to delete, page by page: no more than the page itself holds
-    gone = written(found.distinct().join(templates(found, min_pages, min_share), ["host", "subtree"])
+    gone = written(found.distinct().join(templates(found, min_pages), ["host", "subtree"])
                    .groupBy("host", "page").agg(F.collect_list("subtree").alias("gone")), "html-gone")
     joined = rows.join(gone, ["host", "page"], "left")
     kind = dict(rows.dtypes)["page_id"]

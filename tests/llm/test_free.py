@@ -230,3 +230,20 @@ def test_recurring_subtrees_go(spark):
     assert got[21] == got[22] == "" and got[None] == got[0]
     assert got[33] == "Story 3 is long enough to be the text of its page"
     assert html_text.extract(table.limit(0)).count() == 0
+
+
+def test_templates_of_sections_go(spark):
+    """Ten sections of twelve pages on one host: none has a fifth of the host's pages."""
+    rows = []
+    for s in range(10):
+        for i in range(12):
+            story = f"Story {i} of section {s} is long enough to be the text of its page"
+            box = f"<div class=box{s}>Best of section {s}</div>"
+            rows.append((100 * s + i, f"http://big.org/{s}/{i}",
+                         f"<body><article><p>{story}</p>{box}</article></body>"))
+            rows.append((5000 + 100 * s + i, f"http://plain.org/{s}/{i}",
+                         f"<body>{box}<div><p>{story}</p><p>Closing words of {s}</p></div></body>"))
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in html_text.extract(table).collect():
+        s, i = r.page_id % 5000 // 100, r.page_id % 100
+        assert r.text == f"Story {i} of section {s} is long enough to be the text of its page"
