@@ -2,11 +2,13 @@
 
 Vectors are compared only within a label. Equal vectors become one node; the nodes of a
 label are dealt by hash to shards of about ``SHARD`` nodes, and each shard gets a graph of
-its own. Every pair of shards meets once: the nodes of one query the graph of the other
-(and of their own). A beam is widened while it holds nothing but links, and for all
-queries of the task while an audit against a full scan finds less than ``RECALL``; a beam
-as wide as the shard is replaced by the scan itself. What the graphs propose is verified
-by the cosine in double precision.
+its own. Every pair of shards meets once: the nodes of each query the graph of the other
+(or of their own). A beam is widened while it holds nothing but links. An audit compares
+``AUDIT`` queries of each task and side with a full scan, links of a node to itself left
+out; their counts are added up over all tasks, all queries are audited if that is less than
+``AUDIT_LINKS`` links, and while less than ``RECALL`` of them are found, all tasks run again
+with wider beams; a beam as wide as the shard is replaced by the scan itself. What the
+graphs propose is verified by the cosine in double precision.
 
 Per task and node only a link count and one edge to the smallest linked node leave the
 task, so a cluster of near copies costs no row per pair. Components are joined in Spark.
@@ -34,7 +36,8 @@ SHARD = 4096            # nodes of a graph, on average
 LINKS = 12              # neighbours per node and layer, twice as many in the lowest
 BEAM = 32               # width to start with
 RECALL = 0.995          # of the links of the audited queries
-AUDIT = 64              # audited queries per task
+AUDIT = 512             # audited queries per task and side, at first
+AUDIT_LINKS = 1000      # true links that an audit must rest on unless it has all queries
 BLOCK = 512             # queries that advance together
 
 
@@ -201,19 +204,24 @@ def levels(nodes: np.ndarray) -> np.ndarray:
 def links(queries: np.ndarray, graph: Graph, stored: np.ndarray, least: float = COSINE,
           beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query row, stored row) of cosine >= ``least`` that the graph leads to."""
-    n = len(stored)
-    audit = np.linspace(0, len(queries) - 1, min(AUDIT, len(queries))).astype(int)
-    truth = queries[audit] @ stored.T >= least
-    while True:
-        found = [_widened(queries[lo:lo + BLOCK], graph, stored, least, beam, lo)
-                 for lo in range(0, len(queries), BLOCK)]
-        a, b = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-        if beam >= n:
-            return a, b
-        got = np.isin(a, audit).sum()
-        if got >= RECALL * truth.sum():
-            return a, b
-        beam *= 2
+    found = [_widened(queries[lo:lo + BLOCK], graph, stored, least, beam, lo)
+             for lo in range(0, len(queries), BLOCK)]
+    return tuple(np.concatenate([f[i] for f in found]) for i in (0, 1))
+
+
+def audited(queries: np.ndarray, stored: np.ndarray, a: np.ndarray, own: bool, audit: int
+            ) -> np.ndarray:
+    """True links of evenly spaced queries by a full scan, and those of them among the found
+    links, whose query rows are ``a``."""
+    at = np.unique(np.linspace(0, len(queries) - 1, min(audit, len(queries))).astype(int))
+    truth = 0
+    for lo in range(0, len(at), BLOCK):
+        part = at[lo:lo + BLOCK]
+        linked = queries[part] @ stored.T >= COSINE
+        if own:
+            linked[np.arange(len(part)), part] = False
+        truth += int(linked.sum())
+    return np.array([truth, int(np.isin(a, at).sum())])
 
 
 def _widened(q: np.ndarray, graph: Graph, stored: np.ndarray, least: float, beam: int, base: int):
@@ -252,21 +260,26 @@ def _build(group: pd.DataFrame) -> pd.DataFrame:
                          "graph": [blob]})
 
 
-def _meet(pair: pd.DataFrame) -> pd.DataFrame:
-    """Two shards (or one with itself) -> link counts and an edge for every linked node."""
+def _meet(pair: pd.DataFrame, beam: int = BEAM, audit: int = AUDIT) -> pd.DataFrame:
+    """Two shards (or one with itself) -> link counts and an edge for every linked node, and
+    a row without a node that has the true and the found links of the audited queries."""
     pair = pair.sort_values("shard")
     nodes, copies, x, graph = pickle.loads(pair["graph"].iloc[0])
-    own = pair["lo"].iloc[0] == pair["hi"].iloc[0]
-    if own:
-        a, b = links(x, graph, x)
+    # a link counts if either end has found it
+    if pair["lo"].iloc[0] == pair["hi"].iloc[0]:
+        a, b = links(x, graph, x, beam=beam)
         a, b = a[a != b], b[a != b]
-        # a link counts if either end has found it
         both = np.unique(np.minimum(a, b) * len(nodes) + np.maximum(a, b))
         a, b = both // len(nodes), both % len(nodes)
+        seen = audited(x, x, np.concatenate([a, b]), True, audit)
     else:
-        more, copies2, x2, _ = pickle.loads(pair["graph"].iloc[1])
-        b, a = links(x2, graph, x)
-        a, b = a, b + len(nodes)
+        more, copies2, x2, graph2 = pickle.loads(pair["graph"].iloc[1])
+        a, b = links(x, graph2, x2, beam=beam)
+        b2, a2 = links(x2, graph, x, beam=beam)
+        both = np.unique(np.concatenate([a * len(more) + b, a2 * len(more) + b2]))
+        a, b = both // len(more), both % len(more)
+        seen = audited(x, x2, a, False, audit) + audited(x2, x, b, False, audit)
+        b = b + len(nodes)
         nodes, copies = np.concatenate([nodes, more]), np.concatenate([copies, copies2])
     count = np.bincount(a, weights=copies[b], minlength=len(nodes)) + np.bincount(
         b, weights=copies[a], minlength=len(nodes))
@@ -280,8 +293,18 @@ def _meet(pair: pd.DataFrame) -> pd.DataFrame:
             break
         root = low
     linked = np.flatnonzero(count)
-    return pd.DataFrame({"node": nodes[linked], "links": count[linked].astype(np.int64),
-                         "root": nodes[root[linked]]})
+    return pd.DataFrame({"node": [*nodes[linked], None],
+                         "links": np.append(count[linked], 0).astype(np.int64),
+                         "root": [*nodes[root[linked]], None],
+                         "truth": np.append(np.zeros(len(linked), np.int64), seen[0]),
+                         "found": np.append(np.zeros(len(linked), np.int64), seen[1])})
+
+
+def _meeting(beam: int, audit: int):
+    def meet(pair: pd.DataFrame) -> pd.DataFrame:
+        return _meet(pair, beam, audit)
+
+    return meet
 
 
 def near_duplicates(table: DataFrame, shard: int = SHARD) -> DataFrame:
@@ -310,8 +333,22 @@ def near_duplicates(table: DataFrame, shard: int = SHARD) -> DataFrame:
     pairs = graphs.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).select(
         "label", "dim", "shard", "graph", F.least("shard", "other").alias("lo"),
         F.greatest("shard", "other").alias("hi"))
-    met = written(pairs.groupBy("label", "dim", "lo", "hi").applyInPandas(
-        _meet, "node string, links long, root string"), "hnsw-links")
+    largest = dealt.groupBy("label", "dim", "shard").count().agg(F.max("count")).first()[0] or 0
+    beam, audit = BEAM, AUDIT
+    while True:
+        met = written(pairs.groupBy("label", "dim", "lo", "hi").applyInPandas(
+            _meeting(beam, audit), "node string, links long, root string, truth long, found long"),
+            "hnsw-links")
+        truth, found = (x or 0 for x in met.agg(F.sum("truth"), F.sum("found")).first())
+        if 2 * beam > largest:                          # every query was a scan
+            break
+        if truth < AUDIT_LINKS and audit < largest:
+            audit = largest
+        elif found < RECALL * truth:
+            beam *= 4
+        else:
+            break
+    met = met.filter("node IS NOT NULL").select("node", "links", "root")
     roots = components(met.filter("node <> root").select(F.col("node").alias("a"),
                                                          F.col("root").alias("b")))
     counted = met.groupBy("node").agg(F.sum("links").alias("links"))

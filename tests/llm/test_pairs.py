@@ -212,6 +212,53 @@ def test_graph_search_finds_neighbours():
     assert found >= 0.95 * truth.sum()
 
 
+def twins(n, linked, seed):
+    """``n`` directions of their own, and a near copy of each of the rows ``linked``."""
+    rng = np.random.default_rng(seed)
+    x = hnsw._unit(rng.normal(size=(n, 24)))
+    return x, hnsw._unit(x[linked] + 0.01 * rng.normal(size=(len(linked), 24)))
+
+
+def shard_row(x, shard, blind=False):
+    import pickle
+    nodes = np.array([f"{shard}{i * 2654435761 % 2**44:011x}" for i in range(len(x))])
+    graph = hnsw.Graph(x, np.zeros(len(x), int))
+    if blind:                                                   # leads nowhere
+        graph.near[0][:] = -1
+    return {"shard": shard, "lo": 0, "hi": 1, "graph": pickle.dumps((nodes, np.ones(len(x), int), x, graph))}
+
+
+def test_links_missed_from_one_side_are_found_from_the_other():
+    import pandas as pd
+    linked = np.arange(5, 2000, 100)
+    x, y = twins(2000, linked, 12)
+    y = np.concatenate([hnsw._unit(np.random.default_rng(13).normal(size=(1500, 24))), y])
+    got = hnsw._meet(pd.DataFrame([shard_row(x, 0, blind=True), shard_row(y, 1)]))
+    truth = int((x @ y.T >= 0.98).sum())
+    assert truth >= 20 and got["links"].sum() == 2 * truth
+    # a blind shard with itself: trivial links do not hide that the others are missing
+    both = np.concatenate([x, y])
+    alone = pd.DataFrame([{**shard_row(both, 0, blind=True), "hi": 0}])
+    got = hnsw._meet(alone, audit=len(both))
+    assert got["truth"].sum() == 2 * truth and got["found"].sum() < 0.1 * truth
+
+
+def test_several_large_shards_by_scan(spark, monkeypatch):
+    """Twins spread over four shards, found although the first beams are narrow."""
+    monkeypatch.setattr(hnsw, "BEAM", 2)
+    x, y = twins(5000, np.arange(0, 5000, 5), 14)
+    x = np.concatenate([x, y]).astype(np.float32)
+    unit = hnsw._unit(x)
+    table = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)],
+                                  "vec_id long, embedding array<float>, label int")
+    linked = unit @ unit.T >= 0.98
+    want = linked.sum(axis=1) - 1
+    got = {r.vec_id: (r.n_links, r.component_id) for r in hnsw.near_duplicates(table, 1500).collect()}
+    wrong = sum(got[i][0] != want[i] for i in got)
+    assert want.sum() >= 2000 and wrong <= 0.005 * want.sum()
+    assert sum(got[5000 + k][1] != 5 * k for k in range(1000)) <= 5
+
+
 def test_pipeline_stages(spark, docs):
     names = docs.columns
     table = docs
