@@ -1,6 +1,8 @@
 """SentencePiece encoding and decoding: unigram Viterbi over a double-array trie.
 
-The vocabulary (pieces, their log scores, byte pieces) is read from a public model file.
+The vocabulary (pieces, their scores, byte pieces) is read from a public model file. The
+installed one is a BPE model: its scores are negative merge ranks, no log-likelihoods, so
+the ids are neither the model's own nor those of a unigram likelihood (see the README).
 A text is put in marker form: one marker in front, every space a marker. Its best
 segmentation maximises the sum of the scores of its pieces; a character that no piece
 covers is spelled in byte pieces. No piece has a marker or a line break behind another
