@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tessera.llm.line_dedup import MIN_CHARS, MIN_DOCS
 from tessera.llm.mixing import KEY_SEED
 
 # A source is capped when its share by weight, among the sources with more words per unit
@@ -44,4 +45,23 @@ SELECT p.doc_id, p.size, CAST(b.s AS BIGINT) AS source_size, b.target,
             + least(p.size, greatest(0, b.words % greatest(b.s, 1) - p.before)) AS BIGINT) AS taken
 FROM placed p JOIN budget b ON p.source IS NOT DISTINCT FROM b.source"""
 
-ORACLES: dict[str, str] = {"op9_mix_sources": MIX}
+LINES = f"""WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+flat AS (SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM docs),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM flat),
+often AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= {MIN_CHARS}
+  GROUP BY key HAVING count(DISTINCT doc_id) + max(CAST(doc_id IS NULL AS INT)) >= {MIN_DOCS}),
+marked AS (
+  SELECT k.*, o.key IS NOT NULL AND k.doc_id IS DISTINCT FROM o.keeper AS gone
+  FROM keyed k LEFT JOIN often o ON k.key = o.key)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INT)) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), ''))
+         AS kept_sha256
+FROM marked GROUP BY r, doc_id"""
+
+ORACLES: dict[str, str] = {"op9_mix_sources": MIX, "op13_line_dedup": LINES}

@@ -13,6 +13,7 @@ from tessera.llm.hnsw import near_duplicates
 from tessera.llm.html_text import extract
 from tessera.llm.langid import identify
 from tessera.llm.licenses import document_paths, scan
+from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.mixing import mix
 from tessera.llm.pii import pii_digest
 from tessera.llm.quality import quality
@@ -68,6 +69,11 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii_digest(_table(spark, sf, "documents"))
 
 
+def op13_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup_lines(_table(spark, sf, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_licenses": op2_licenses,
@@ -79,4 +85,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_mix_sources": op9_mix_sources,
     "op10_pii": op10_pii,
+    "op13_line_dedup": op13_line_dedup,
 }
