@@ -64,4 +64,56 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INT)) AS BIGINT) AS n_
          AS kept_sha256
 FROM marked GROUP BY r, doc_id"""
 
-ORACLES: dict[str, str] = {"op9_mix_sources": MIX, "op13_line_dedup": LINES}
+# CRC-32 bit by bit: DuckDB has no function for it.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(range(1, length({0}) + 1), lambda i: ascii(substr({0}, i, 1))::BIGINT)),
+  lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+# A node's key is the digests of its turns, one after another. Subtree totals: every node adds
+# to all prefixes of its smallest member.
+TRIE = f"""WITH turns AS (
+  SELECT conv_id, md5(octet_length(encode(role)) || ':' || role || text) AS digest,
+         octet_length(encode(text)) AS bytes, turn
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations WHERE conv_id IS NOT NULL)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS pos
+  FROM turns),
+plan AS (
+  SELECT c.conv_id, c.conv_id - c.conv_id % 5 AS base, h, least(h, coalesce(b.n, 0)) AS taken
+  FROM (SELECT conv_id, {CRC32.format("CAST(conv_id AS VARCHAR)")} % 9 AS h
+        FROM (SELECT DISTINCT conv_id FROM placed)) c
+  LEFT JOIN (SELECT conv_id, count(*) AS n FROM placed GROUP BY 1) b
+    ON b.conv_id = c.conv_id - c.conv_id % 5),
+rebuilt AS (
+  SELECT p.conv_id AS c, t.pos AS depth, digest, bytes
+  FROM plan p JOIN placed t ON t.conv_id = p.base AND t.pos <= p.taken
+  UNION ALL
+  SELECT p.conv_id, t.pos - p.h + p.taken, digest, bytes
+  FROM plan p JOIN placed t ON t.conv_id = p.conv_id AND t.pos > p.h),
+prefixes AS (
+  SELECT c, depth, bytes, string_agg(digest, '') OVER (PARTITION BY c ORDER BY depth) AS key
+  FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM plan),
+nodes AS (
+  SELECT key, min(depth) AS depth, min(c) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * min(bytes) AS own FROM prefixes GROUP BY key),
+kids AS (
+  SELECT left(key, length(key) - 32) AS key, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+below AS (
+  SELECT a.key, count(*) FILTER (k.key IS NULL) AS n_leaves, sum(u.own) AS saved
+  FROM nodes u LEFT JOIN kids k ON k.key = u.key
+  JOIN prefixes a ON a.c = u.conv_id AND a.depth <= u.depth GROUP BY a.key),
+ends AS (
+  SELECT key, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS digest
+  FROM (SELECT c, arg_max(key, depth) AS key FROM prefixes GROUP BY c) GROUP BY key)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(k.n, 0) AS n_children, b.n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens,
+       coalesce(e.digest, sha256('')) AS ends_sha256
+FROM nodes n JOIN below b ON b.key = n.key
+LEFT JOIN nodes p ON n.depth > 0 AND p.key = left(n.key, length(n.key) - 32)
+LEFT JOIN kids k ON k.key = n.key LEFT JOIN ends e ON e.key = n.key"""
+
+ORACLES: dict[str, str] = {"op9_mix_sources": MIX, "op12_prefix_trie": TRIE,
+                           "op13_line_dedup": LINES}
