@@ -8,26 +8,33 @@ summation order; the profile fold is computed in a fixed order and not rounded.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import orders as ord_ops
 from tessera.operators import profile as prof
 from tessera.operators import usage as use
 from tessera.operators.appstats import clean_appstats
-from tessera.operators.partitions import partition_by_user, partition_report, placement
-from tessera.operators.tags import join_tags, tag_library
+from tessera.operators.ipgeo import attach_province_sweep, parse_ip_rules
+from tessera.operators.partitions import (partition_by_user, partition_by_user_md5,
+                                          partition_report, placement)
+from tessera.operators.tags import join_tags, join_tags_salted, tag_library
 from tessera.plans import jobs
+from tessera.plans.commitlog import move_path
+from tessera.plans.ledger import DayLedger
 from tessera.plans.snapshot import SnapshotStore
 from tessera.plans.textio import (profile_from_text, profile_to_text, tagged_from_text,
                                   usage_sums_from_text, usage_sums_to_text, write_text)
 from tessera.session import scratch_path
 from tessera.sources import derived as d
-from tessera.sources.text import read_lines, read_tagged_paths, stream_text_dir
+from tessera.sources.text import (read_lines, read_tagged_paths, stream_folders,
+                                  stream_text_dir)
 from tessera.streaming import compact as cmp
 from tessera.streaming import orders as so
+from tessera.streaming.kpi_delta import KpiDeltas, start_kpi_delta_query
+from tessera.streaming.rolled import RolledArchive, start_rolled_query
 
 
 def _money(df: DataFrame, col: str = "value") -> DataFrame:
@@ -66,6 +73,12 @@ def q_usage_tag_join(spark: SparkSession, sf: str) -> DataFrame:
     return join_tags(jobs.usage_sums(d.usage_lines(spark, sf)), tag_library(d.tag_lines(spark, sf)))
 
 
+def q_usage_tag_join_salted(spark: SparkSession, sf: str) -> DataFrame:
+    """The same join without a broadcast: hot apps are salted."""
+    return join_tags_salted(jobs.usage_sums(d.usage_lines(spark, sf)),
+                            tag_library(d.tag_lines(spark, sf)))
+
+
 def q_profile_build(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.profiles_from_logs(d.usage_lines(spark, sf), d.tag_lines(spark, sf))
 
@@ -100,6 +113,22 @@ def q_profile_merge_sorted(spark: SparkSession, sf: str) -> DataFrame:
     return store.read(v)
 
 
+def q_profile_two_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Two days' logs (by order key) applied to the stored profiles through the day ledger;
+    then both days are run again, the earlier one first, which changes nothing."""
+    root = scratch_path(spark, "two-days")
+    lines = d.usage_lines(spark, sf, "l_orderkey")
+    lines.select("value", (F.col("l_orderkey") % 2).alias("day")).write.partitionBy("day").text(
+        f"{root}/logs")
+    tags = d.tag_lines(spark, sf)
+    ledger = DayLedger(SnapshotStore(spark, f"{root}/store"), lambda base, logs: jobs.profiles_with_store(
+        base, read_lines(spark, logs), tags))
+    ledger.seed(d.stored_profiles(spark, sf))
+    for day in (0, 1, 0, 1):
+        ledger.apply(f"day-{day}", [f"{root}/logs/day={day}"])
+    return ledger.read()
+
+
 def q_tagged_union(spark: SparkSession, sf: str) -> DataFrame:
     return prof.tagged_union(d.stored_profiles(spark, sf), jobs.usage_sums(d.usage_lines(spark, sf)))
 
@@ -124,6 +153,11 @@ def q_merged_sorted(spark: SparkSession, sf: str) -> DataFrame:
     return prof.merged_sorted(q_tagged_union(spark, sf))
 
 
+def q_merged_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    """The global order with every row's rank."""
+    return prof.merged_ranked(q_tagged_union(spark, sf))
+
+
 def q_profile_text(spark: SparkSession, sf: str) -> DataFrame:
     """The chained-job form: usage sums and profiles hop through ``|`` text."""
     root = scratch_path(spark, "profile-text")
@@ -152,6 +186,11 @@ def q_ip_province(spark: SparkSession, sf: str) -> DataFrame:
     return _orders_with_province(spark, sf)
 
 
+def q_ip_province_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    """The same lookup without a broadcast: rules and orders are swept in address order."""
+    return attach_province_sweep(q_order_etl(spark, sf), parse_ip_rules(d.ip_rule_lines(spark, sf)))
+
+
 def q_order_total(spark: SparkSession, sf: str) -> DataFrame:
     return _money(ord_ops.order_total(q_order_etl(spark, sf)))
 
@@ -211,6 +250,18 @@ def q_order_kpi_restart(spark: SparkSession, sf: str) -> DataFrame:
     return _money(so.read_kpis(spark, f"{root}/kpi"))
 
 
+def q_order_kpi_delta(spark: SparkSession, sf: str) -> DataFrame:
+    """Running KPIs kept as deltas of changed keys, one batch per landing group, merged into
+    a base every third batch."""
+    root = scratch_path(spark, "kpi-delta")
+    store = KpiDeltas(spark, f"{root}/kpi", merge_every=3)
+    rules = d.ip_rule_lines(spark, sf)
+    for _, src in _landings(spark, sf, _landing_group(), d.LANDING_GROUPS + 1):
+        start_kpi_delta_query(stream_folders(spark, src), rules, store, f"{root}/ckpt",
+                              trigger="availableNow").awaitTermination()
+    return _money(store.read().select("metric", "key", "value"))
+
+
 def _archive(spark: SparkSession, sf: str) -> str:
     root = scratch_path(spark, "order-archive")
     src, n_files = _order_source_dir(spark, sf)
@@ -225,6 +276,70 @@ def q_order_archive(spark: SparkSession, sf: str) -> DataFrame:
     return so.read_archive(spark, _archive(spark, sf)).select(*ord_ops.ORDER_COLUMNS)
 
 
+def _landing_group() -> Column:
+    """The micro-batch of an order line, see ``derived.LANDING_GROUPS``."""
+    k = F.col("l_orderkey")
+    return F.when(k % d.ORDER_SPOIL_DROP_FIELD == 0, d.LANDING_GROUPS).otherwise(k % d.LANDING_GROUPS)
+
+
+def _landings(spark: SparkSession, sf: str, groups: Column, n: int) -> Iterator[tuple[int, str]]:
+    """Write the order lines once, dealt to ``n`` folders, and move these one by one into
+    the stream's input folder; yields each group that has lines and that folder."""
+    root = scratch_path(spark, "landing")
+    lines = d.order_lines(spark, sf, "l_orderkey").select("value", groups.cast("int").alias("g"))
+    lines.write.partitionBy("g").text(f"{root}/staged")
+    for g in range(n):
+        if move_path(spark, f"{root}/staged/g={g}", f"{root}/src/g={g}"):
+            yield g, f"{root}/src"
+
+
+def _rolled(spark: SparkSession, sf: str, **options) -> RolledArchive:
+    """A rolled archive of all groups, one batch each, with an injected clock."""
+    root = scratch_path(spark, "rolled")
+    now = {"t": float(d.ROLL_START)}
+    archive = RolledArchive(spark, f"{root}/archive", clock=lambda: now["t"], **options)
+    for g, src in _landings(spark, sf, _landing_group(), d.LANDING_GROUPS + 1):
+        now["t"] = float(d.ROLL_START + g * d.ROLL_STEP)
+        start_rolled_query(stream_folders(spark, src), archive, f"{root}/ckpt",
+                           trigger="availableNow").awaitTermination()
+    now["t"] = float(d.ROLL_START + (d.LANDING_GROUPS + 1) * d.ROLL_STEP)
+    archive.close_open()
+    return archive
+
+
+def q_order_archive_rolled(spark: SparkSession, sf: str) -> DataFrame:
+    """All archived orders with their hour, and for the part that holds them its files and
+    the seconds (of the injected clock) when it was opened and closed."""
+    archive = _rolled(spark, sf, roll_bytes=d.ROLL_BYTES, roll_seconds=d.ROLL_SECONDS)
+    parts = archive.parts().select(F.col("bucket").alias("dt_hour"), "part", "files",
+                                   F.col("opened").cast("bigint").alias("opened"),
+                                   F.col("closed").cast("bigint").alias("closed"))
+    return archive.read().join(parts, ["dt_hour", "part"]).drop("part")
+
+
+def q_order_archive_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The manifest of an archive with one file per batch, also for the batch whose rows
+    were all rejected; ``stored`` are the rows that the files named in it hold."""
+    archive = _rolled(spark, sf, roll_bytes=0)
+    held = archive.read().groupBy("part").agg(F.count("*").alias("stored"))
+    return archive.batches().select("batch", F.size("files").cast("bigint").alias("files"), "rows",
+                                    F.col("published")[0]["part"].alias("part")).join(
+        held, "part", "left").select("batch", "files", "rows", F.coalesce("stored", F.lit(0)).alias(
+            "stored"))
+
+
+def q_order_compact_late(spark: SparkSession, sf: str) -> DataFrame:
+    """The archive is compacted, with its inputs deleted, after each of two loads: rows
+    that arrive late, in hours that are compacted already, are merged in."""
+    root = scratch_path(spark, "compact-late")
+    half = F.pmod(F.col("l_orderkey"), F.lit(2))
+    for _, src in _landings(spark, sf, half, 2):
+        so.start_archive_query(stream_folders(spark, src), f"{root}/data", f"{root}/ckpt",
+                               trigger="availableNow").awaitTermination()
+        cmp.compact_all(spark, f"{root}/data", f"{root}/compacted", delete_inputs=True)
+    return so.read_archive(spark, f"{root}/data").select(*ord_ops.ORDER_COLUMNS)
+
+
 def q_order_compact(spark: SparkSession, sf: str) -> DataFrame:
     archive = _archive(spark, sf)
     out = archive.rsplit("/", 1)[0] + "/compacted"
@@ -288,11 +403,9 @@ def q_partition_placement(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_partition_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Placement of the usage sums after hash partitioning by user into the
-    session's shuffle partition count (the reference used a fixed 4)."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Rows and users of the usage sums in each partition, dealt by the MD5 of the user."""
     sums = jobs.usage_sums(d.usage_lines(spark, sf))
-    return partition_report(partition_by_user(sums, n))
+    return partition_report(partition_by_user_md5(sums, d.REPORT_PARTITIONS))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -332,5 +445,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ip_province_from_text": q_ip_province_from_text,
     "appstats_text": q_appstats_text,
     "event_hours": q_event_hours,
+    "order_archive_rolled": q_order_archive_rolled,
+    "order_compact_late": q_order_compact_late,
+    "order_archive_batches": q_order_archive_batches,
+    "order_kpi_delta": q_order_kpi_delta,
+    "profile_two_days": q_profile_two_days,
+    "merged_ranked": q_merged_ranked,
+    "usage_tag_join_salted": q_usage_tag_join_salted,
+    "ip_province_sweep": q_ip_province_sweep,
 }
 

@@ -20,10 +20,11 @@ import argparse
 import datetime
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators.appstats import clean_appstats
 from tessera.plans import jobs
+from tessera.plans.ledger import DayLedger
 from tessera.plans.snapshot import SnapshotStore
 from tessera.plans.textio import profile_to_text, write_text
 from tessera.sources.text import read_lines, stream_kafka, stream_text_dir
@@ -37,16 +38,20 @@ def _spark() -> SparkSession:
 def cmd_profile_update(a) -> None:
     spark = _spark()
     store = SnapshotStore(spark, a.store, buckets=a.buckets, table_prefix=a.table_prefix)
-    if a.init_from and store.latest() is None:
-        store.write(spark.read.parquet(a.init_from), 0)
-    day = a.day or datetime.date.today().isoformat()
-    base = a.base_version if a.base_version is not None else store.base_of_day(day)
-    if base is None:
-        raise SystemExit(f"no snapshot under {a.store}; seed one with --init-from")
-    usage = read_lines(spark, a.logs, rebalance=a.rebalance_input)
     tags = read_lines(spark, a.tags, with_order=True)
-    v = jobs.run_daily_update(store, base, usage, tags, a.policy, order_col="line_order", day=day)
-    print(f"wrote {store.path(v)}")
+
+    def fold(base: DataFrame, logs: list[str]) -> DataFrame:
+        usage = read_lines(spark, logs, rebalance=a.rebalance_input)
+        return jobs.profiles_with_store(base, usage, tags, a.policy, order_col="line_order")
+
+    ledger = DayLedger(store, fold, placed=True)
+    if a.init_from:
+        ledger.seed(spark.read.parquet(a.init_from))
+    if ledger.head() is None:
+        raise SystemExit(f"no snapshot under {a.store}; seed one with --init-from")
+    day = a.day or datetime.date.today().isoformat()
+    v = ledger.rebuild(day, a.logs) if a.rebuild else ledger.apply(day, a.logs)
+    print(f"{day} is in {store.path(v)}")
 
 
 def cmd_profiles(a) -> None:
@@ -123,9 +128,10 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--logs", nargs="+", required=True)
     s.add_argument("--tags", nargs="+", required=True)
     s.add_argument("--store", required=True)
-    s.add_argument("--base-version", type=int)
-    s.add_argument("--day", help="label of the logs (default: today); a repeated day is rebuilt "
-                                 "from the version before it")
+    s.add_argument("--day", help="label of the logs (default: today); a day that the store holds "
+                                 "already is not applied again")
+    s.add_argument("--rebuild", action="store_true",
+                   help="replace a day's logs and apply the days after it again")
     s.add_argument("--init-from", help="Parquet profiles that become version 0 of an empty store")
     s.add_argument("--buckets", type=int, help="bucket the snapshots by mdn (needs --table-prefix)")
     s.add_argument("--table-prefix", help="catalog table name prefix of bucketed snapshots")

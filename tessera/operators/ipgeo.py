@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.functions.parsing import field, parse_long, required, split_once
+from tessera.operators.skew import hot_keys, replicated, salted
 from tessera.plans.broadcast import (DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS,
                                      materialize)
 
@@ -77,3 +78,36 @@ def attach_province(df: DataFrame, rules: DataFrame, ip_col: str = "ip",
     j = probe.join(b, (F.col("_block") == F.col("_rb")) & (ip >= F.col("_rs")) & (ip <= F.col("_re")),
                    "left")
     return j.select(*df.columns, F.coalesce(F.col("_rp"), F.lit(UNKNOWN_PROVINCE)).alias("province"))
+
+
+def attach_province_sweep(df: DataFrame, rules: DataFrame, ip_col: str = "ip",
+                          partitions: int | None = None, check_disjoint: bool = True) -> DataFrame:
+    """``attach_province`` by a sweep, for rules that may not be broadcast.
+
+    Rules, cut into /16 blocks, and probes are one relation, sorted by address within each
+    block with rules first; the last rule that starts at or before a probe is carried
+    forward and holds if it has not ended. A block with more than a partition's share of
+    the probes is cut into salts: its probes are dealt to them by their hash, its rules
+    stand in each. A task sees about a partition's share of rows, however hot a block or an
+    address is; probes that are equal in every column stay together.
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table, _, _ = materialize(rules.select("start", "end", "province"))
+    if check_disjoint and overlapping_rules(table).take(1):
+        raise ValueError("IP rules overlap; a range lookup over them is ambiguous")
+    rows, _, _ = materialize(df)
+    probes = rows.withColumn("_block", F.shiftright(F.col(ip_col), BLOCK_BITS))
+    tiers = hot_keys(probes, "_block", n)
+    spread = F.struct(*[F.col(c) for c in df.columns])
+    rule = F.struct(F.col("end").alias("end"), F.col("province").alias("province"))
+    starts = replicated(rule_blocks(table).withColumnRenamed("block", "_block"), "_block", tiers)
+    events = salted(probes, "_block", tiers, spread).select(
+        "*", F.col(ip_col).alias("_at"), F.lit(1).alias("_probe")).unionByName(
+        starts.select("_block", "_salt", F.col("start").alias("_at"), F.lit(0).alias("_probe"),
+                      rule.alias("_rule")), allowMissingColumns=True)
+    sweep = Window.partitionBy("_block", "_salt").orderBy("_at", "_probe").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    found = events.withColumn("_last", F.last("_rule", ignorenulls=True).over(sweep)).where("_probe = 1")
+    hit = F.when(F.col("_last.end") >= F.col(ip_col), F.col("_last.province"))
+    return found.select(*df.columns, F.coalesce(hit, F.lit(UNKNOWN_PROVINCE)).alias("province"))

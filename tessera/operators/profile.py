@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.operators import sorted_fold
+from tessera.operators.ranking import ranked
 from tessera.operators.tags import TAG_VALUES
 
 GENDER = ("male", "female")
@@ -163,6 +164,12 @@ def merged_sorted(tagged: DataFrame) -> DataFrame:
     return tagged.orderBy("mdn", source_rank(), "app_id")
 
 
+def merged_ranked(tagged: DataFrame) -> DataFrame:
+    """``merged_sorted`` with each row's place in the global order, which proves it."""
+    by = tagged.withColumn("_source_rank", source_rank())
+    return ranked(by, [F.col("mdn"), F.col("_source_rank"), F.col("app_id")]).drop("_source_rank")
+
+
 # --- streaming fold: the exact path for groups with no proven size bound ---------
 
 _OUT_SCHEMA = "mdn string, " + ", ".join(f"{n} double" for n in PROFILE_VALUES)

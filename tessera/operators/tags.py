@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.parsing import field, parse_double, required, split_once
-from tessera.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
+from tessera.operators.skew import salted_left_join
+from tessera.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small, materialize
 
 TAG_VALUES = ("male", "female", "age1", "age2", "age3", "age4", "age5")
 TAG_COLUMNS = ("app_id", "name") + TAG_VALUES
@@ -49,3 +50,14 @@ def join_tags(usage_sums: DataFrame, tags: DataFrame,
     measured."""
     side, _ = broadcast_if_small(tags.select("app_id", *TAG_VALUES), max_broadcast_rows)
     return usage_sums.join(side, "app_id", "left").select("mdn", "app_id", "times", *TAG_VALUES)
+
+
+def join_tags_salted(usage_sums: DataFrame, tags: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``join_tags`` for a library that may not be broadcast: apps that hold more than a
+    partition's share of the rows are spread over salts, their tag rows repeated."""
+    spark = usage_sums.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    probe, _, _ = materialize(usage_sums.select("mdn", "app_id", "times"))
+    side = tags.select("app_id", *TAG_VALUES)
+    return salted_left_join(probe, side, "app_id", F.col("mdn"), n).select(
+        "mdn", "app_id", "times", *TAG_VALUES)

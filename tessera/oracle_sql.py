@@ -144,6 +144,22 @@ seed AS (
 {_fold("seed")}
 {_FOLD_RESULT}"""
 
+# Two days: one sequence of steps per user, the first day's before the second's.
+PROFILE_TWO_DAYS = f"""WITH RECURSIVE {USAGE_RAW},
+{USAGE_STRICT.replace("AS mdn,", "AS mdn, k % 2 AS day,", 1)},
+sums AS (
+  SELECT mdn, day, app_id, CAST(SUM(times) AS BIGINT) AS times FROM usage_strict
+  GROUP BY mdn, day, app_id),
+{TAGS},
+{STORE},
+{STEPS.replace("ORDER BY s.app_id", "ORDER BY s.day, s.app_id")},
+seed AS (
+  SELECT COALESCE(st.mdn, u.mdn) AS mdn, {_seed_merge}
+  FROM (SELECT * FROM store WHERE length(mdn) > 0) st
+  FULL OUTER JOIN (SELECT DISTINCT mdn FROM sums) u ON st.mdn = u.mdn),
+{_fold("seed")}
+{_FOLD_RESULT}"""
+
 _null_vals = ", ".join(f"CAST(NULL AS DOUBLE) AS {n}" for n in V)
 TAGGED = f"""tagged AS (
   SELECT mdn, {", ".join(V)}, CAST(NULL AS VARCHAR) AS app_id, CAST(NULL AS BIGINT) AS times,
@@ -196,6 +212,60 @@ UNION ALL
 SELECT 'category' AS metric, category AS key, ROUND(SUM(total), 2) AS value
 FROM order_prov GROUP BY category"""
 
+
+
+def landed_batches(groups: int) -> str:
+    """``batches``: the groups that order lines land in, one micro-batch each, with the rows
+    that stay and their size; short lines, all rejected, are the last group."""
+    strict = _orders("order_keyed", False).replace("SELECT CAST(o_custkey", "SELECT k, CAST(o_custkey", 1)
+    return f"""WITH RECURSIVE {ORDER_RAW},
+{strict},
+batches AS (
+  SELECT g, coalesce(n, 0) AS n, coalesce(bytes, 0) AS bytes FROM (
+    SELECT DISTINCT CASE WHEN k % {d.ORDER_SPOIL_DROP_FIELD} = 0 THEN {groups}
+                         ELSE k % {groups} END AS g FROM order_raw)
+  LEFT JOIN (
+    SELECT k % {groups} AS g, count(*) AS n,
+           sum(28 + octet_length(encode("user")) + octet_length(encode(category))
+               + octet_length(encode(item))) AS bytes
+    FROM order_keyed GROUP BY 1) USING (g))"""
+
+
+def rolled_archive(groups: int, start: int, step: int, roll_bytes: int, roll_seconds: int) -> str:
+    """Parts grow batch by batch within an hour until they are full or too old; a part that
+    is not full is closed by the first batch at which it is too old, or at the end."""
+    end = start + (groups + 1) * step
+    return f"""{landed_batches(groups)},
+timed AS (
+  SELECT g, n, bytes, {start} + g * {step} AS t,
+         strftime(make_timestamp(({start} + g * {step} + 8 * 3600) * 1000000::BIGINT), '%Y-%m-%d-%H')
+           AS dt_hour FROM batches),
+filled AS (
+  SELECT *, row_number() OVER (PARTITION BY dt_hour ORDER BY g) AS i FROM timed WHERE n > 0),
+grown AS (
+  SELECT g, dt_hour, i, t, 0 AS part, bytes AS size, t AS opened FROM filled WHERE i = 1
+  UNION ALL
+  SELECT f.g, f.dt_hour, f.i, f.t,
+         CASE WHEN fresh THEN p.part + 1 ELSE p.part END,
+         CASE WHEN fresh THEN f.bytes ELSE p.size + f.bytes END,
+         CASE WHEN fresh THEN f.t ELSE p.opened END
+  FROM (SELECT *, size >= {roll_bytes} AS is_full FROM grown) p
+  JOIN filled f ON f.dt_hour = p.dt_hour AND f.i = p.i + 1,
+  LATERAL (SELECT p.is_full OR f.t - p.opened >= {roll_seconds} AS fresh)),
+parts AS (
+  SELECT dt_hour, part, max(size) AS size, max(opened) AS opened, max(t) AS last
+  FROM grown GROUP BY 1, 2),
+closed AS (
+  SELECT *, greatest(1, CAST(ceil(size / {roll_bytes}) AS BIGINT)) AS files,
+         CASE WHEN size >= {roll_bytes} THEN last
+              ELSE coalesce((SELECT min(t) FROM timed WHERE t >= opened + {roll_seconds}), {end}) END
+           AS closed FROM parts)
+SELECT o."user", o.ip, o.category, o.item, o.price, o.amount, o.total, c.dt_hour, c.files,
+       CAST(c.opened AS BIGINT) AS opened, CAST(c.closed AS BIGINT) AS closed
+FROM order_keyed o JOIN grown w ON w.g = o.k % {groups}
+JOIN closed c ON c.dt_hour = w.dt_hour AND c.part = w.part"""
+
+
 _stat_ip = _pseudo_ip("event_id", d.IP_MUL_ORDER)
 _stat_date = (f"CASE WHEN event_id % {d.STAT_MONTH_13} = 0 THEN strftime(ts, '%Y-13-%d %H:%M:%S') "
               "ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END")
@@ -238,6 +308,9 @@ SELECT mdn, source, app_id, times,
        ROW_NUMBER() OVER (PARTITION BY mdn ORDER BY {rank}, app_id) AS seq
 FROM tagged""",
         "merged_sorted": f"{with_store}\nSELECT * FROM tagged ORDER BY mdn, {rank}, app_id",
+        "merged_ranked": f"{with_store}\nSELECT *, row_number() OVER (ORDER BY mdn, {rank}, app_id) "
+                         "AS rank FROM tagged",
+        "profile_two_days": PROFILE_TWO_DAYS,
         "profile_text": PROFILE_BUILD,
         "order_etl": f"{_ORDERS_BASE}\nSELECT {_ORDER_COLS} FROM order_strict",
         "order_etl_lenient": f"WITH {ORDER_RAW},\n{_orders('order_lenient', True)}\n"
@@ -250,8 +323,15 @@ FROM tagged""",
                              "FROM order_strict GROUP BY category",
         "order_kpi": ORDER_KPI,
         "order_kpi_stream": ORDER_KPI,
+        "order_kpi_delta": ORDER_KPI,
         "order_kpi_restart": ORDER_KPI,
         "order_archive": f"{_ORDERS_BASE}\nSELECT {_ORDER_COLS} FROM order_strict",
+        "order_archive_rolled": rolled_archive(d.LANDING_GROUPS, d.ROLL_START, d.ROLL_STEP,
+                                               d.ROLL_BYTES, d.ROLL_SECONDS),
+        "order_archive_batches": f"""{landed_batches(d.LANDING_GROUPS)}
+SELECT CAST(row_number() OVER (ORDER BY g) - 1 AS BIGINT) AS batch, CAST(1 AS BIGINT) AS files,
+       n AS rows, n AS stored FROM batches""",
+        "order_compact_late": f"{_ORDERS_BASE}\nSELECT {_ORDER_COLS} FROM order_strict",
         "order_compact": f"{_ORDERS_BASE}\nSELECT {_ORDER_COLS} FROM order_strict",
         "appstats_etl": APPSTATS,
         "appstats_etl_strict": APPSTATS_STRICT,
@@ -259,6 +339,13 @@ FROM tagged""",
         "usage_from_text": f"{usage}\nSELECT mdn, app_id, times FROM usage_strict",
         "tag_library_from_text": f"WITH {TAGS}\nSELECT app_id, name, {', '.join(V)} FROM tags",
         "ip_province_from_text": f"{_ORDERS_PROV}\nSELECT {_ORDER_COLS}, province FROM order_prov",
+        "usage_tag_join_salted": f"""{usage_sums},\n{TAGS}
+SELECT s.mdn, s.app_id, s.times, {', '.join('t.' + n for n in V)}
+FROM sums s LEFT JOIN tags t ON s.app_id = t.app_id""",
+        "ip_province_sweep": f"{_ORDERS_PROV}\nSELECT {_ORDER_COLS}, province FROM order_prov",
+        "partition_report": f"""{usage_sums}
+SELECT CAST(CAST('0x' || substr(md5(mdn), 1, 8) AS BIGINT) % {d.REPORT_PARTITIONS} AS INTEGER)
+         AS partition, COUNT(*) AS rows, COUNT(DISTINCT mdn) AS users FROM sums GROUP BY 1""",
         "partition_placement": f"""{usage_sums}
 SELECT COUNT(*) AS rows, COUNT(DISTINCT mdn) AS users, CAST(1 AS BIGINT) AS partitions_per_user
 FROM sums""",

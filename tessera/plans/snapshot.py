@@ -20,7 +20,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.plans.commitlog import CommitLog
+
 _PREFIX = "version="
+LEDGER = "_ledger"               # commit records of the versions, see ``plans.ledger``
 
 
 class SnapshotStore:
@@ -58,6 +61,11 @@ class SnapshotStore:
         return sorted(out)
 
     def latest(self) -> int | None:
+        """The latest version: that of the ledger if there is one, whatever data stands
+        beside it without a record."""
+        published = CommitLog(self.spark, f"{self.root}/{LEDGER}").latest()
+        if published is not None:
+            return published
         v = self.versions()
         return v[-1] if v else None
 

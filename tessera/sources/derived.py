@@ -43,6 +43,13 @@ RULE_WIDTH = 120000000
 STORE_SEGMENTS = ("BUILDING", "MACHINERY")   # customers still active; the others have lapsed
 STORE_EMPTY_MDN = 97                          # c_custkey % 97 = 0 -> stored mdn ""
 LAPSED_PREFIX = "L"
+LANDING_GROUPS = 6            # order lines land in batches by l_orderkey % 6; short lines, which
+                              # are all rejected, make a last batch of their own
+ROLL_START = 1704039000       # clock of the first batch: 2024-01-01 00:10 in Asia/Shanghai
+ROLL_STEP = 25 * 60           # seconds from one batch to the next
+ROLL_BYTES = 1_000_000        # a small bound, so that the given tables fill parts
+ROLL_SECONDS = 60 * 60
+REPORT_PARTITIONS = 32        # partitions of the per-partition report
 # ---------------------------------------------------------------------------------
 
 
@@ -91,8 +98,9 @@ def _spoil_first_octet(ip: Column, spoil: Column) -> Column:
     return F.when(spoil, F.regexp_replace(dotted, r"^[0-9]+", "0")).otherwise(dotted)
 
 
-def usage_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Usage log: 16 ``|`` fields, mdn at 0, procedure time at 12, app id at 15."""
+def usage_lines(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    """Usage log: 16 ``|`` fields, mdn at 0, procedure time at 12, app id at 15; ``keep``
+    names columns of the tables that stay beside the line."""
     li = _by_order(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -109,7 +117,7 @@ def usage_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.col("l_suppkey").cast("string"), F.lit("460"), F.lit("03"), F.lit("cmnet"),
                  F.lit("LTE"), F.lit("0"), F.lit("1"), F.lit("up"), F.lit("down")]
     fillers_b = [F.lit("200"), F.lit("wap")]
-    return j.select(F.concat_ws("|", mdn, *fillers_a, times, *fillers_b, app).alias("value"))
+    return j.select(F.concat_ws("|", mdn, *fillers_a, times, *fillers_b, app).alias("value"), *keep)
 
 
 def tag_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,8 +154,9 @@ def stored_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(mdn.alias("mdn"), *cols)
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders: ``user ip category item price amount`` separated by one space."""
+def order_lines(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    """Orders: ``user ip category item price amount`` separated by one space; ``keep``
+    names columns of the tables that stay beside the line."""
     li = _by_order(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
@@ -161,7 +170,8 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     amount = F.col("l_quantity").cast("string")
     full = F.concat_ws(" ", *head, amount)
     short = F.concat_ws(" ", *head)
-    return j.select(F.when(k % ORDER_SPOIL_DROP_FIELD == 0, short).otherwise(full).alias("value"))
+    return j.select(F.when(k % ORDER_SPOIL_DROP_FIELD == 0, short).otherwise(full).alias("value"),
+                    *keep)
 
 
 def ip_rule_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,6 +59,11 @@ def stream_text_dir(spark: SparkSession, path: str, max_files_per_trigger: int |
     return r.load(path)
 
 
+def stream_folders(spark: SparkSession, path: str) -> DataFrame:
+    """The text files of all folders below ``path`` as a stream of ``value`` lines."""
+    return spark.readStream.format("text").option("recursiveFileLookup", "true").load(path)
+
+
 def stream_kafka(spark: SparkSession, brokers: str, topics: str, *,
                  starting_offsets: str = "earliest", group_id: str | None = None,
                  max_offsets_per_trigger: int | None = None,

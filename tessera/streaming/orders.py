@@ -18,6 +18,8 @@ cluster, a text directory in tests):
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,6 +28,7 @@ from tessera.operators.ipgeo import attach_province, parse_ip_rules, prepare_rul
 from tessera.operators.orders import ORDER_COLUMNS, order_kpis, parse_orders
 from tessera.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS
 from tessera.plans.snapshot import SnapshotStore
+from tessera.streaming import manifest
 
 # --- fixed values -----------------------------------------------------------------
 BATCH_INTERVAL = "20 seconds"           # micro-batch interval of the order job
@@ -136,7 +139,39 @@ def archive_schema(layout: str = "ymdh") -> str:
     return ORDER_SCHEMA + "".join(f", {c} string" for c in partition_names(layout))
 
 
-def read_archive(spark: SparkSession, archive_root: str, layout: str = "ymdh") -> DataFrame:
-    """The archive through the sink's commit log (only committed files), with
-    string partition values (``month=03`` stays ``"03"``)."""
+def read_sink(spark: SparkSession, archive_root: str, layout: str = "ymdh") -> DataFrame:
+    """Everything the archive stream has ever committed, through the sink's commit log,
+    with string partition values (``month=03`` stays ``"03"``)."""
     return spark.read.schema(archive_schema(layout)).parquet(archive_root)
+
+
+def sink_files(sink: DataFrame) -> list[str]:
+    """The committed files of ``read_sink`` as the file system names them."""
+    return [unquote(f) for f in sink.inputFiles()]
+
+
+def read_archive(spark: SparkSession, archive_root: str, layout: str = "ymdh") -> DataFrame:
+    """The archive's rows, each once: files that the sink has committed, and for compacted
+    hours the compacted files in place of those they replace."""
+    sink = read_sink(spark, archive_root, layout)
+    if not manifest.has_manifest(spark, archive_root):
+        return sink
+    records = manifest.latest_records(spark, archive_root)
+    # lists of files, as a reader's file index holds them on the driver
+    replaced = {r[0] for r in records.select(F.explode("replaced")).toLocalIterator()}
+    outputs = [r[0] for r in records.select(F.explode("outputs")).toLocalIterator()]
+    live = [f for f in sink_files(sink) if f not in replaced]
+    out = (spark.read.schema(sink.schema).option("basePath", archive_root).parquet(*live) if live
+           else spark.createDataFrame([], sink.schema))
+    if outputs:
+        out = out.unionByName(read_compacted_files(spark, outputs, layout))
+    return out
+
+
+def read_compacted_files(spark: SparkSession, files: list[str], layout: str = "ymdh") -> DataFrame:
+    """Compacted files ``.../yyyy/MM/dd/HH/<file>`` with their hour columns."""
+    at = F.split(F.col("_metadata.file_path"), "/")
+    parts = [F.element_at(at, i) for i in (-5, -4, -3, -2)]
+    hour = ([F.concat_ws("-", *parts).alias(HOUR_BUCKET)] if layout == "hourly"
+            else [p.alias(n) for p, n in zip(parts, HOUR_PARTITIONS)])
+    return spark.read.schema(ORDER_SCHEMA).parquet(*files).select("*", *hour)
