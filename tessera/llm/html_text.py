@@ -3,15 +3,24 @@
 Element subtrees are hashed (tag, classes, text and children). Spark counts on how many
 different pages of a host each hash occurs; a subtree that recurs on at least
 ``MIN_PAGES`` pages is template and is deleted from its pages, however many pages the host
-has: the sections of a large host have templates of their own. Templates whose text differs from page to page do not recur; they are
-known by what they are: menus, headers, footers, sidebars, forms, scripts and elements
-that call themselves adverts, notices, comments and the like.
+has: the sections of a large host have templates of their own. Templates whose text differs
+from page to page do not recur; they are known by what they are: menus, headers, footers,
+sidebars, forms, scripts and containers that call themselves adverts, notices, comments and
+the like. Paragraphs and headings are never judged by a class or id; inside an article or
+main part a container is only if a whole class or id says so (``related-posts``, not
+``related-work``); and no menu, form or named container is dropped that holds an article, no
+form that holds more than half of the page's text and no named container with three quarters.
 
 The text comes from the page's articles (else its main part, else its body). Paragraphs,
 headings and the like inside an article are never template, so a sentence that a site
 repeats in many articles stays; neither is a subtree that holds most of the page's text.
 
-Edge cases: a null html and a page without text give ""; broken markup is read as
+Pages are parsed once. That pass writes the hashes, and the article's text in segments, each
+with the place of its innermost subtree that may be template; the html itself is never
+shuffled. Hashes are counted and joined back to pages as lists, and a text is put together
+from the segments whose subtrees stay.
+
+Edge cases: a page is parsed whole, whatever its length, in one task; a null html and a page without text give ""; broken markup is read as
 browsers do in the common cases (implied ends, stray ends, unclosed elements and
 comments); pages of equal html count once, equal rows are all returned; a null url is
 a host of its own; an empty table gives an empty result; other columns are ignored.
@@ -38,9 +47,9 @@ INLINE = frozenset(("a abbr acronym b bdi bdo big br cite code data del dfn em f
                     "label mark q rp rt ruby s samp small span strike strong sub sup time tt u "
                     "var wbr").split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th tr tbody figcaption".split())
-DROPPED = frozenset(("head script style noscript template nav footer aside form button select "
-                     "option textarea iframe object svg canvas menu dialog audio video title "
-                     "input noembed noframes").split())
+DROPPED = frozenset(("head script style noscript template button select option textarea iframe "
+                     "object svg canvas audio video title input noembed noframes").split())
+SOFTLY_DROPPED = frozenset("nav footer aside menu dialog".split())
 ROLES = frozenset(("navigation banner contentinfo complementary search form dialog alert menu "
                    "menubar alertdialog").split())
 # words of class and id that name what is no article
@@ -49,6 +58,16 @@ HINTS = frozenset(("nav navbar navigation menu sidebar footer ad ads advert adve
                    "notice notices popup modal newsletter subscribe subscription share sharing "
                    "social related breadcrumb breadcrumbs pagination pager comment comments "
                    "disqus reply replies respond widget login signup masthead").split())
+# words that may stand beside them in a class or id without naming anything else
+GENERIC = frozenset(("site page main top bottom left right header head bar box boxes block list "
+                     "lists links link item items section area wrapper wrap container inner outer "
+                     "content panel slot group row col buttons button icons icon form posts post "
+                     "articles stories thread js the primary secondary global local inline").split())
+# text that is judged by what it says, not by a class or id
+TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption dt dd figure table ul ol dl".split())
+# how an element is dropped: always; unless it holds an article or main part; likewise or more
+# than half of the page's text (forms); likewise or more than three quarters (named containers)
+FIRM, SOFT, FORM, NAMED = 1, 2, 3, 4
 # an opening tag ends these open elements, up to the nearest of the limits
 BLOCK_ENDS_P = frozenset(("address article aside blockquote details div dl fieldset figcaption "
                           "figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre "
@@ -67,29 +86,45 @@ NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 class Node:
     __slots__ = ("tag", "mark", "drop", "kids", "digest", "size")
 
-    def __init__(self, tag: str, mark: str = "", drop: bool = False):
+    def __init__(self, tag: str, mark: str = "", drop: int = 0):
         self.tag, self.mark, self.drop = tag, mark, drop
         self.kids: list = []                # nodes and strings
         self.digest = self.size = 0
 
 
-def _attributes(tag: str, text: str) -> tuple[str, bool]:
-    """What tells an element apart (class, id, role) and whether it is no article."""
+def _named(name: str, inside: bool) -> bool:
+    """Whether a class or id names what is no article: by any of its words, inside an
+    article only if all of its words do or are generic."""
+    words = set(re.split(r"[_-]+", name)) - {""}
+    return bool(words & HINTS) and (not inside or words <= HINTS | GENERIC)
+
+
+def _attributes(tag: str, text: str, inside: bool) -> tuple[str, int]:
+    """What tells an element apart (class, id, role) and whether it is no article;
+    ``inside`` an article or main part."""
     found = {}
     for m in ATTRIBUTE.finditer(text):
         name = m[1].lower()
         if name in ("class", "id", "role", "hidden", "aria-hidden", "itemprop"):
             found.setdefault(name, entities.unescape((m[2] or "").strip("\"'")).lower())
+    firm = FIRM if tag in DROPPED else 0
+    soft = SOFT if tag in SOFTLY_DROPPED else FORM if tag == "form" else 0
     if not found:
-        return "", tag in DROPPED
+        return "", firm or soft
     mark = " ".join(f"{k}={found[k]}" for k in sorted(found))
+    names = [*found.get("class", "").split(), *found.get("id", "").split()]
     if tag in ("html", "body", "article", "main"):
-        own = set(re.split(r"[\s_-]+", found.get("class", "")))
-        return mark, tag == "article" and bool(own & {"comment", "reply"})
-    names = set(re.split(r"[\s_-]+", found.get("class", "") + " " + found.get("id", "")))
-    drop = (tag in DROPPED or "hidden" in found or found.get("aria-hidden") == "true"
-            or found.get("role") in ROLES or bool(names & HINTS))
-    return mark, drop
+        comment = tag == "article" and any({"comment", "reply"} & set(re.split(r"[_-]+", x))
+                                           for x in found.get("class", "").split())
+        return mark, FIRM if comment else 0
+    if firm or "hidden" in found or found.get("aria-hidden") == "true":
+        return mark, FIRM
+    if soft or found.get("role") in ROLES:
+        return mark, soft or SOFT
+    if (tag not in TEXTUAL or not inside and tag in ("ul", "ol", "dl", "table", "figure")) and any(
+            _named(x, inside) for x in names):
+        return mark, NAMED
+    return mark, 0
 
 
 def _tag_end(page: str, at: int) -> int:
@@ -102,10 +137,16 @@ def parse(page: str) -> Node:
     """The element tree; text is kept with its character references decoded."""
     root = Node("#")
     stack, at, n = [root], 0, len(page)
+    parts = 0                       # open articles and main parts
+
+    def is_part(node: Node) -> bool:
+        return node.tag in ("article", "main") or "role=main" in node.mark
 
     def close(tags, limits=frozenset()) -> None:
+        nonlocal parts
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in tags:
+                parts -= sum(map(is_part, stack[i:]))
                 del stack[i:]
                 return
             if stack[i].tag in limits:
@@ -147,7 +188,7 @@ def parse(page: str) -> Node:
             close({"p"}, {"table", "button", "article", "td", "th"})
         if tag in ENDS:
             close(*ENDS[tag])
-        mark, drop = _attributes(tag, page[name.end():end])
+        mark, drop = _attributes(tag, page[name.end():end], parts > 0)
         node = Node(tag, mark, drop)
         stack[-1].kids.append(node)
         if tag in RAW and page[end - 1] != "/":
@@ -158,6 +199,7 @@ def parse(page: str) -> Node:
         elif tag not in VOID and page[end - 1] != "/" or tag in ("p", "div", "article", "section"):
             if tag not in VOID:
                 stack.append(node)
+                parts += is_part(node)
     return root
 
 
@@ -172,7 +214,8 @@ def _walk(root: Node) -> list[Node]:
 
 
 def digest(root: Node) -> list[Node]:
-    """Fills every node's subtree hash and its text length; returns all nodes."""
+    """Fills every node's subtree hash and its text length, keeps what is dropped only
+    softly and holds the article; returns all nodes."""
     nodes = _walk(root)
     for node in reversed(nodes):
         h = xxhash.xxh64(f"{node.tag} {node.mark}".encode("utf-8", "surrogatepass"))
@@ -186,6 +229,14 @@ def digest(root: Node) -> list[Node]:
                 h.update(k.digest.to_bytes(8, "little"))
                 node.size += k.size
         node.digest = h.intdigest()
+    holds = set()                           # nodes that are or hold an article or main part
+    for node in reversed(nodes):
+        if node.tag in ("article", "main") and node.size and not node.drop or any(
+                id(k) in holds for k in node.kids):
+            holds.add(id(node))
+        if node.drop > FIRM and (id(node) in holds or node.drop == FORM and 2 * node.size > root.size
+                                 or node.drop == NAMED and 4 * node.size > 3 * root.size):
+            node.drop = 0
     return nodes
 
 
@@ -227,64 +278,109 @@ def removable(root: Node) -> list[Node]:
     return out
 
 
-def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
-    """The blocks of the article, one a line, without subtrees whose hash is template."""
-    if not page:
-        return ""
-    root = parse(page)
-    digest(root)
-    gone = {id(x) for x in removable(root) if x.digest in template} if template else set()
-    blocks: list[list[str]] = [[]]
+BREAK = "\n"               # ends a block; in the text itself every white space is a blank
+_SPACES = re.compile(r"\s+")
+
+
+def segments(root: Node) -> tuple[list[tuple[int, int]], list[tuple[int, str]]]:
+    """A digested page's article as text in page order.
+
+    Returns ``(digest, parent)`` of the subtrees that may be template and hold some of the
+    text (``parent``: the place of the next such subtree around it, else -1), and
+    ``(place, text)`` segments, place -1 for text in no such subtree.
+    """
+    may = {id(x) for x in removable(root)}
+    around: list[tuple[int, int]] = []
+    out: list[tuple[int, list[str]]] = []
+
+    def put(place: int, text: str) -> None:
+        if out and out[-1][0] == place:
+            out[-1][1].append(text)
+        else:
+            out.append((place, [text]))
+
     for top in _roots(root):
-        blocks.append([])
-        todo: list = [top]
+        put(-1, BREAK)
+        todo: list = [(top, -1)]
         while todo:
-            node = todo.pop()
+            node, place = todo.pop()
             if node is None:
-                blocks.append([])
+                put(place, BREAK)
             elif isinstance(node, str):
-                blocks[-1].append(node)
+                put(place, _SPACES.sub(" ", node))
             elif node.tag == "br":
-                blocks[-1].append(" ")
-            elif not node.drop and id(node) not in gone and not (
-                    node.tag == "header" and top is root):
+                put(place, " ")
+            elif not node.drop and not (node.tag == "header" and top is root):
+                if id(node) in may:
+                    around.append((node.digest, place))
+                    place = len(around) - 1
                 if node.tag not in INLINE:
-                    blocks.append([])
-                    todo.append(None)
-                todo.extend(reversed(node.kids))
-    lines = (" ".join("".join(b).split()) for b in blocks)
+                    put(place, BREAK)
+                    todo.append((None, place))
+                todo.extend((k, place) for k in reversed(node.kids))
+    return around, [(p, "".join(t)) for p, t in out]
+
+
+def join_segments(around, parts, template) -> str:
+    """The blocks, one a line, of the segments whose subtrees are no template."""
+    gone: list[bool] = []
+    for value, parent in around:
+        gone.append(value in template or parent >= 0 and gone[parent])
+    text = "".join(t for p, t in parts if p < 0 or not gone[p])
+    lines = (" ".join(b.split()) for b in text.split(BREAK))
     return "\n".join(x for x in lines if x)
 
 
+def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
+    """The blocks of the article, one a line, without subtrees whose hash is template."""
+    if not page:
+        return ""
+    root = parse(page)
+    digest(root)
+    return join_segments(*segments(root), template)
+
+
 def _host(url):
     """Host of a url, null for none."""
     return F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
 
 
-def subtrees(pages: DataFrame) -> DataFrame:
-    """``(host, page, subtree)``: for every page (by hash of its html) the hashes of the
-    subtrees that may be template."""
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+PARSED = ("around array<struct<subtree:long,parent:int>>, parts array<struct<place:int,text:string>>, "
+          "subtrees array<long>")
+
 
+def parsed(rows: DataFrame) -> DataFrame:
+    """``page_id, url, host, page`` and what the page is made of: ``subtrees``, the hashes of
+    all subtrees that may be template, and the article's segments (see ``segments``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.list_(pa.struct([("subtree", pa.int64()), ("parent", pa.int32())])),
+                 pa.list_(pa.struct([("place", pa.int32()), ("text", pa.string())])),
+                 pa.list_(pa.int64())]
         for batch in batches:
-            host, page, found = [], [], []
-            for h, p, text in zip(*[c.to_pylist() for c in batch.columns]):
-                root = parse(text)
+            made: list[list] = [[], [], []]
+            for text in batch.column(4).to_pylist():
+                root = parse(text or "")
                 digest(root)
-                own = {x.digest for x in removable(root)}
-                host.extend([h] * len(own))
-                page.extend([p] * len(own))
-                found.extend(x - (1 << 64) if x >> 63 else x for x in own)
+                around, parts = segments(root)
+                made[0].append([{"subtree": _signed(d), "parent": p} for d, p in around])
+                made[1].append([{"place": p, "text": t} for p, t in parts])
+                made[2].append(sorted({_signed(x.digest) for x in removable(root)}))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(host, pa.int64()), pa.array(page, pa.int64()),
-                 pa.array(found, pa.int64())], names=["host", "page", "subtree"])
+                [*batch.columns[:4], *[pa.array(m, k) for m, k in zip(made, kinds)]],
+                names=["page_id", "url", "host", "page", "around", "parts", "subtrees"])
 
-    return pages.filter("html IS NOT NULL").select("host", "page", "html").mapInArrow(
-        run, "host long, page long, subtree long")
+    kind = dict(rows.dtypes)["page_id"]
+    return rows.select("page_id", "url", "host", "page", "html").mapInArrow(
+        run, f"page_id {kind}, url string, host long, page long, {PARSED}")
 
 
 def templates(found: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``(host, subtree)`` of the subtrees that recur across a host's pages."""
+    """``(host, subtree)`` of the subtrees that recur across a host's pages; ``found`` has a
+    row ``(host, page, subtree)`` for each, once or more."""
     return found.distinct().groupBy("host", "subtree").agg(F.count("*").alias("n")).filter(
         F.col("n") >= min_pages).select("host", "subtree")
 
@@ -293,21 +389,24 @@ def extract(table: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """One row per page: ``page_id, url, text, n_chars``."""
     rows = pick(table, "page_id", "url", "html").withColumn(
         "host", F.xxhash64(_host(F.col("url")))).withColumn("page", F.xxhash64("html"))
-    found = written(subtrees(rows), "html-subtrees")
-    # hashes to delete, page by page: no more than the page itself holds
-    gone = written(found.distinct().join(templates(found, min_pages), ["host", "subtree"])
+    whole = written(parsed(rows), "html-parsed")
+    template = templates(whole.select("host", "page", F.explode("subtrees").alias("subtree")), min_pages)
+    # hashes to delete, page by page: no more than the article itself holds
+    held = whole.select("host", "page", F.explode("around.subtree").alias("subtree")).distinct()
+    gone = written(held.join(written(template, "html-templates"), ["host", "subtree"])
                    .groupBy("host", "page").agg(F.collect_list("subtree").alias("gone")), "html-gone")
-    joined = rows.join(gone, ["host", "page"], "left")
-    kind = dict(rows.dtypes)["page_id"]
+    joined = whole.drop("subtrees").join(gone, ["host", "page"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(h, frozenset(x + (1 << 64) if x < 0 else x for x in g or ()))
-                     for h, g in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            texts = [join_segments([(a["subtree"], a["parent"]) for a in around],
+                                   [(p["place"], p["text"]) for p in parts], frozenset(g or ()))
+                     for around, parts, g in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
 
-    return joined.select("page_id", "url", "html", "gone").mapInArrow(
+    kind = dict(rows.dtypes)["page_id"]
+    return joined.select("page_id", "url", "around", "parts", "gone").mapInArrow(
         run, f"page_id {kind}, url string, text string, n_chars long")

@@ -232,6 +232,94 @@ def test_recurring_subtrees_go(spark):
     assert html_text.extract(table.limit(0)).count() == 0
 
 
+def test_article_text_is_not_lost_to_names():
+    """Classes and ids that hold a telling word and name something else, and forms around all."""
+    kept = ("<article><h2 id=related-work>Related work</h2><p class=notice>Take notice.</p>"
+            "<section id=social-policy><p>Social policy.</p></section><div class='share-price'>"
+            "Price of a share</div><p class=share-price>10.5</p><ul class=menu-of-the-day><li>Soup</ul>"
+            "</article>")
+    lines = "Related work\nTake notice.\nSocial policy.\nPrice of a share\n10.5\nSoup"
+    assert html_text.main_text(kept) == lines
+    assert html_text.main_text(f"<form id=aspnetForm><nav>Home</nav><main>{kept}</main></form>") == lines
+    assert html_text.main_text(f"<div class=page-with-sidebar>{kept}</div>") == lines
+    long = "Plain text of a page without any article. " * 5
+    assert html_text.main_text(f"<form><p>{long}</p></form><form><p>Search</p></form>") == long.strip()
+    assert html_text.main_text(f"<div class=has-sidebar><p>{long}</p></div>") == long.strip()
+    for box in ("<div class=related-posts>x</div>", "<div class='share buttons'>x</div>",
+                "<section id=comments><p>x</p></section>", "<div class=cookie_notice>x</div>",
+                "<form><p>x</p></form>", "<aside>x</aside>", "<div class='a ad-slot'>x</div>",
+                "<nav>x</nav>", "<div role=search>x</div>", "<div hidden>x</div>"):
+        assert html_text.main_text(f"<article><p>{long}</p>{box}</article>") == long.strip(), box
+    assert html_text.main_text("<nav>" + "<a>menu</a> " * 99 + "</nav><p>short</p>") == "short"
+
+
+def brute_force(rows, min_pages=html_text.MIN_PAGES):
+    """The subtree counts again, with dictionaries, and texts by deleting from the tree."""
+    seen = {}
+    for _, url, page in rows:
+        root = html_text.parse(page or "")
+        html_text.digest(root)
+        host = re.match(r"\w+://([^/]*)", url or "")
+        for x in html_text.removable(root):
+            seen.setdefault((host and host[1].lower(), x.digest), set()).add(page)
+    out = {}
+    for i, url, page in rows:
+        root = html_text.parse(page or "")
+        html_text.digest(root)
+        host = re.match(r"\w+://([^/]*)", url or "")
+        gone = {id(x) for x in html_text.removable(root)
+                if len(seen[host and host[1].lower(), x.digest]) >= min_pages}
+
+        def text(node, top):
+            if isinstance(node, str):
+                return " ".join(node.split()).join(["\1" if node[:1].isspace() else "",
+                                                    "\1" if node[-1:].isspace() else ""])
+            if node.tag == "br":
+                return "\1"
+            if node.drop or id(node) in gone or node.tag == "header" and top is root:
+                return ""
+            inner = "".join(text(k, top) for k in node.kids)
+            return inner if node.tag in html_text.INLINE else f"\n{inner}\n"
+
+        blocks = "".join(text(r, r) for r in html_text._roots(root)).replace("\1", " ").split("\n")
+        out[i] = "\n".join(" ".join(b.split()) for b in blocks if b.strip())
+    return out
+
+
+def test_templates_without_telling_names_go_by_their_hashes(spark):
+    """Sites whose menus and boxes are plain divs: only counting subtrees tells them."""
+    rows = []
+    for site in range(3):
+        for i in range(9):
+            menu = "".join(f"<div>Section {site}.{k}</div>" for k in range(4))
+            box = f"<div><div>Read on at site {site}</div><b>every day</b></div>"
+            rare = "<div>Only on four pages</div>" if i < 4 else ""
+            story = f"<div>Story {site}-{i} tells what happened, and says it at length.</div>"
+            article = f"<article><div>{story}{box}{rare}<p>The end.</p></div></article>"
+            body = f"<div>{menu}</div>" + (article if site else f"<div>{story}{rare}</div>{box}")
+            rows.append((100 * site + i, f"http://s{site}.example/{i}", f"<body>{body}<div>(c) {site}</div>"))
+    rows += [(900, None, rows[0][2]), (901, "http://s1.example/again", rows[9][2]), (902, "x", None)]
+    got = {r.page_id: r.text for r in html_text.extract(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == brute_force(rows)
+    story = "Story 1-7 tells what happened, and says it at length."
+    assert got[107] == f"{story}\nThe end."
+    assert html_text.main_text(rows[16][2]) == f"{story}\nRead on at site 1\nevery day\nThe end."
+    assert got[102] == got[102].replace("Read on", "") and "Only on four pages" in got[102]
+    assert "Section 0.1" in got[900] and "Section" not in got[3]      # another host: once
+
+
+def test_pages_against_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_TINY}/pages.parquet").select(
+        "page_id", "url", "html").collect()]
+    long = "<body><article>" + "".join(f"<p>Paragraph {i} &amp; more</p>" for i in range(30_000))
+    rows.append((-1, "http://long.example/", long))
+    got = {r.page_id: r.text for r in html_text.extract(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == brute_force(rows)
+    assert got[-1].count("\n") == 29_999 and got[-1].endswith("Paragraph 29999 & more")
+
+
 def test_templates_of_sections_go(spark):
     """Ten sections of twelve pages on one host: none has a fifth of the host's pages."""
     rows = []
