@@ -159,9 +159,12 @@ def q_merged_ranked(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_profile_text(spark: SparkSession, sf: str) -> DataFrame:
-    """The chained-job form: usage sums and profiles hop through ``|`` text."""
+    """The chained-job form: usage sums and profiles hop through ``|`` text, among lines of
+    two and of four fields, which are no usage sums."""
     root = scratch_path(spark, "profile-text")
-    write_text(usage_sums_to_text(jobs.usage_sums(d.usage_lines(spark, sf))), f"{root}/sums")
+    lines = usage_sums_to_text(jobs.usage_sums(d.usage_lines(spark, sf)))
+    write_text(lines.select(F.explode(d.with_wrong_widths(F.col("value"))).alias("value")),
+               f"{root}/sums")
     sums = usage_sums_from_text(read_lines(spark, f"{root}/sums"))
     profiles = prof.build_profiles(join_tags(sums, tag_library(d.tag_lines(spark, sf))))
     write_text(profile_to_text(profiles), f"{root}/profiles")
@@ -240,11 +243,8 @@ def q_order_kpi_restart(spark: SparkSession, sf: str) -> DataFrame:
     """The stream is stopped after a part of the lines and started again on the same
     checkpoint for the rest: nothing is lost or counted twice."""
     root = scratch_path(spark, "order-restart")
-    lines = d.order_lines(spark, sf)
-    part = F.crc32(F.col("value").cast("binary")) % 2
-    for k in (0, 1):
-        lines.where(part == k).write.mode("append").text(f"{root}/src")
-        q = so.start_kpi_query(stream_text_dir(spark, f"{root}/src"), d.ip_rule_lines(spark, sf),
+    for _, src in _landings(spark, sf, F.col("l_orderkey") % 2, 2):
+        q = so.start_kpi_query(stream_folders(spark, src), d.ip_rule_lines(spark, sf),
                                f"{root}/kpi", f"{root}/ckpt", trigger="availableNow")
         q.awaitTermination()
     return _money(so.read_kpis(spark, f"{root}/kpi"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.functions.parsing import field, parse_long, required, split_once
+from tessera.operators.ranking import ranked
 from tessera.operators.skew import hot_keys, replicated, salted
 from tessera.plans.broadcast import (DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS,
                                      materialize)
@@ -28,14 +29,19 @@ def parse_ip_rules(lines: DataFrame) -> DataFrame:
         required(field(parts, 6), "rule province", "string").alias("province"))
 
 
-def overlapping_rules(rules: DataFrame) -> DataFrame:
-    """Rules whose start is not above the end of the rule before it.
+def overlapping_rules(rules: DataFrame, small: bool = False) -> DataFrame:
+    """Rules whose start is not above the end of the rule before it in order of start.
 
-    Binary search over overlapping ranges is arbitrary. Two rules that overlap share
-    a /16 block, so each block is looked through on its own, at every table size."""
-    w = Window.partitionBy("block").orderBy("start", "end")
-    return rule_blocks(rules).withColumn("prev_end", F.lag("end").over(w)).where(
-        F.col("prev_end") >= F.col("start"))
+    If any two rules overlap, two neighbours do, so neighbours are enough, and no rule is
+    exploded. ``small`` (a table of measured, broadcast size) looks through them in one
+    sorted task; otherwise each rule gets its exact rank and is joined to the one before.
+    """
+    if small:
+        w = Window.orderBy("start", "end")
+        return rules.withColumn("prev_end", F.lag("end").over(w)).where(F.col("prev_end") >= F.col("start"))
+    placed = ranked(rules, [F.col("start"), F.col("end")], "place")
+    before = placed.select((F.col("place") + 1).alias("place"), F.col("end").alias("prev_end"))
+    return placed.join(before, "place").where(F.col("prev_end") >= F.col("start")).drop("place")
 
 
 def rule_blocks(rules: DataFrame) -> DataFrame:
@@ -51,14 +57,15 @@ def prepare_rules(rules: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     """Block table of ``rules`` and whether it is broadcast.
 
     The rules are written once and measured. Disjoint ranges over 32 bits explode to
-    at most ``n_rules + 65536`` blocks, so a rule count of at most ``max_rows - 65536``
-    (and the byte bound) proves that the block table may be broadcast. Otherwise the join is a shuffle join on the block key (AQE
-    splits hot blocks). Overlapping rules are refused either way.
+    at most ``n_rules + 65536`` blocks, so the rows and bytes of the rules bound those of
+    the block table; within both bounds it is broadcast. Otherwise the join is a shuffle
+    join on the block key (AQE splits hot blocks). Overlapping rules are refused either way.
     """
-    budget = max(1, max_rows - 65536)
     table, n, size = materialize(rules.select("start", "end", "province"))
-    small = n <= budget and size <= DEFAULT_MAX_BROADCAST_BYTES
-    if check_disjoint and overlapping_rules(table).take(1):
+    blocks_at_most = n + (1 << BLOCK_BITS)
+    row = size / max(1, n) + 8                  # a block's row: the rule and the block
+    small = blocks_at_most <= max(max_rows, 1) and blocks_at_most * row <= DEFAULT_MAX_BROADCAST_BYTES
+    if check_disjoint and overlapping_rules(table, small).take(1):
         raise ValueError("IP rules overlap; a range lookup over them is ambiguous")
     blocks = rule_blocks(table)
     return (F.broadcast(blocks), True) if small else (blocks, False)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.parsing import field, parse_double, required, split_once
 from tessera.operators.skew import salted_left_join
-from tessera.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small, materialize
+from tessera.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, materialize, measured_side
 
 TAG_VALUES = ("male", "female", "age1", "age2", "age3", "age4", "age5")
 TAG_COLUMNS = ("app_id", "name") + TAG_VALUES
@@ -44,11 +44,17 @@ def tag_library(lines: DataFrame, order_col: str = "line_no") -> DataFrame:
 
 
 def join_tags(usage_sums: DataFrame, tags: DataFrame,
-              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+              max_library_rows: int | None = None) -> DataFrame:
     """Left join of (mdn, app_id, times) to the tag values; a miss keeps the row
     with NULL tag values. The library is broadcast only after its size has been
-    measured."""
-    side, _ = broadcast_if_small(tags.select("app_id", *TAG_VALUES), max_broadcast_rows)
+    measured. A user has at most as many tagged apps as the library has rows; callers
+    that build an array per user give the bound that they rely on as ``max_library_rows``."""
+    side, rows, small = measured_side(tags.select("app_id", *TAG_VALUES), max_broadcast_rows)
+    if max_library_rows is not None and rows > max_library_rows:
+        raise ValueError(f"the tag library has {rows} rows, above the {max_library_rows} that an "
+                         "array per user may hold; fold with fold_mode='sorted'")
+    side = F.broadcast(side) if small else side
     return usage_sums.join(side, "app_id", "left").select("mdn", "app_id", "times", *TAG_VALUES)
 
 

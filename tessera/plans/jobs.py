@@ -19,20 +19,22 @@ def usage_sums(usage_lines: DataFrame, policy: str = "strict") -> DataFrame:
 
 
 FOLD_MODES = ("array", "sorted")
+MAX_ARRAY_STEPS = 100_000        # tagged apps that a user's array may hold: 8 MB of steps
 
 
 def tagged_usage(usage_lines: DataFrame, tag_lines: DataFrame, policy: str = "strict",
                  order_col: str = "line_no",
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                 max_library_rows: int | None = None) -> DataFrame:
     tags = tag_library(tag_lines, order_col)
-    return join_tags(usage_sums(usage_lines, policy), tags, max_broadcast_rows)
+    return join_tags(usage_sums(usage_lines, policy), tags, max_broadcast_rows, max_library_rows)
 
 
 def _use_array(fold_mode: str) -> bool:
     """``array`` folds an array per user on the JVM: right while a user's tagged apps,
-    at most the tag library, fit in a row. ``sorted`` folds by secondary sort and never
-    builds a group: for libraries of any size. The choice is the caller's, not the
-    data's."""
+    at most the tag library, fit in a row; a library above ``MAX_ARRAY_STEPS`` is refused.
+    ``sorted`` folds by secondary sort and never builds a group: for libraries of any
+    size. The choice is the caller's, not the data's."""
     if fold_mode not in FOLD_MODES:
         raise ValueError(f"fold_mode must be one of {FOLD_MODES}")
     return fold_mode == "array"
@@ -43,8 +45,10 @@ def profiles_from_logs(usage_lines: DataFrame, tag_lines: DataFrame, policy: str
                        max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Today's profiles from the prior: parse -> filter -> sum by (user, app) ->
     broadcast tag join -> per-user ordered fold."""
-    tagged = tagged_usage(usage_lines, tag_lines, policy, order_col, max_broadcast_rows)
-    if _use_array(fold_mode):
+    array = _use_array(fold_mode)
+    tagged = tagged_usage(usage_lines, tag_lines, policy, order_col, max_broadcast_rows,
+                          MAX_ARRAY_STEPS if array else None)
+    if array:
         return build_profiles(tagged)
     return build_profiles_sorted(tagged)
 
@@ -53,8 +57,10 @@ def profiles_with_store(store: DataFrame, usage_lines: DataFrame, tag_lines: Dat
                         policy: str = "strict", order_col: str = "line_no",
                         fold_mode: str = "array",
                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    tagged = tagged_usage(usage_lines, tag_lines, policy, order_col, max_broadcast_rows)
-    if _use_array(fold_mode):
+    array = _use_array(fold_mode)
+    tagged = tagged_usage(usage_lines, tag_lines, policy, order_col, max_broadcast_rows,
+                          MAX_ARRAY_STEPS if array else None)
+    if array:
         return merge_profiles(store, tagged)
     return merge_profiles_sorted(store, tagged)
 

@@ -155,7 +155,9 @@ class SnapshotStore:
         which keeps Parquet min/max statistics tight for point lookups by mdn. A
         bucketed store first deals the rows to one task per bucket, so it writes
         ``buckets`` files at most, unless they are already ``placed`` so (the merge's
-        output)."""
+        output, as long as the session shuffles into as many partitions)."""
+        shuffled = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        placed = placed and shuffled == self.buckets
         path = self._write(df, version, sort_key, placed)
         if day:
             self._mark(path, f"_DAY-{day}")

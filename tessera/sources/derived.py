@@ -120,6 +120,15 @@ def usage_lines(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     return j.select(F.concat_ws("|", mdn, *fillers_a, times, *fillers_b, app).alias("value"), *keep)
 
 
+def with_wrong_widths(line: Column) -> Column:
+    """A usage-sum line, followed by a line without its last field where its CRC-32 is
+    divisible by 7, and by a line with one more field where it is divisible by 11."""
+    crc = F.crc32(line.cast("binary"))
+    short = F.when(crc % 7 == 0, F.substring_index(line, "|", 2))
+    long = F.when(crc % 11 == 0, F.concat(line, F.lit("|9")))
+    return F.array_compact(F.array(line, short, long))
+
+
 def tag_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """App tag library: ``app_id|name|male|female|age1..age5``, one line per part.
 

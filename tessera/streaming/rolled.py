@@ -14,7 +14,7 @@ batch does nothing. Pending folders are deleted after the record that closes the
 should that fail, the next batch deletes them.
 
 The clock gives the processing time in seconds and can be injected. The size of a row is
-that of its values: UTF-8 bytes of strings, 8 of a long or double, 4 of a float.
+that of its values (``plans.broadcast.row_bytes``).
 """
 
 from __future__ import annotations
@@ -24,11 +24,12 @@ import time
 from collections.abc import Callable
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.operators.orders import ORDER_COLUMNS, parse_orders
+from tessera.plans.broadcast import measured_write
 from tessera.plans.commitlog import CommitLog, delete_paths, list_files
 from tessera.streaming.orders import BATCH_INTERVAL, HOUR_BUCKET, ORDER_SCHEMA, _trigger
 
@@ -43,18 +44,6 @@ PARTS = ("struct<seq: bigint, batch: bigint, time: double, rows: bigint, files:
          "files: array<string>, rows: bigint, bytes: bigint, opened: double, closed: double>>>")
 
 
-def row_bytes(schema) -> Column:
-    """Size of a row's values; a null has none."""
-    fixed = {"bigint": 8, "double": 8, "float": 4, "int": 4}
-    size = F.lit(0).cast("long")
-    for f in schema.fields:
-        kind = f.dataType.simpleString()
-        one = F.octet_length(F.col(f.name)) if kind == "string" else F.when(
-            F.col(f.name).isNotNull(), fixed[kind])
-        size = size + F.coalesce(one, F.lit(0)).cast("long")
-    return size
-
-
 class RolledArchive:
     """Writer and reader of one rolled archive; one writer (stream) at a time."""
 
@@ -92,12 +81,8 @@ class RolledArchive:
                        "files": list_files(self.spark, folder)}
 
     def _write(self, df: DataFrame, folder: str) -> tuple[int, int]:
-        """Rows and bytes of ``df``, counted by the write itself."""
-        seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(
-            F.sum(row_bytes(df.schema)), F.lit(0)).alias("bytes")).write.mode("overwrite").parquet(folder)
-        got = seen.get
-        return got["rows"], got["bytes"]
+        """Rows and bytes of ``df``."""
+        return measured_write(df, folder)
 
     def write_batch(self, batch: DataFrame, batch_id: int, owner: str | None = None) -> bool:
         """Add a batch; False if its record is there already (a replay)."""

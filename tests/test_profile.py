@@ -261,3 +261,14 @@ def test_nan_tag_value_same_in_both_folds(spark):
     b = {r.mdn: tuple(r) for r in PR.build_profiles_sorted(steps).collect()}
     assert repr(sorted(a.items())) == repr(sorted(b.items()))   # NaN-aware via repr
     assert a["u"][1] != a["u"][1]        # the NaN tag was applied, not skipped
+
+
+def test_a_library_above_the_array_bound_is_refused(spark, monkeypatch):
+    from tests.conftest import lines_df
+    usage = lines_df(spark, ["u|" + "|" * 11 + "5|a|b|1"])
+    tags = lines_df(spark, [f"{i}|n|0.5|0.5|0.2|0.2|0.2|0.2|0.2" for i in range(4)],
+                    line_no=list(range(4)))
+    monkeypatch.setattr(jobs, "MAX_ARRAY_STEPS", 3)
+    with pytest.raises(ValueError, match="fold_mode='sorted'"):
+        jobs.profiles_from_logs(usage, tags)
+    assert jobs.profiles_from_logs(usage, tags, fold_mode="sorted").count() >= 0
