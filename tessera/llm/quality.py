@@ -31,45 +31,59 @@ from pyspark.sql import functions as F
 from tessera.llm.common import let, pick, words
 
 BUCKETS = 1 << 14
-TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
+TOKEN = r"[\p{L}\p{N}]++|[^\p{L}\p{N}\s]++"
 RAW_SHARE = 0.75        # of the raw distribution in the smoothed target
 THRESHOLD = -0.03       # nats per n-gram below the raw corpus' own likelihood
 MIN_WORDS = 50
 MAX_TRUSTED = 100_000   # documents that the target is counted on
 
 
-def _pairs(w: Column, use) -> Column:
-    """``use(i)`` for the start of every two-word window."""
-    return F.when(F.size(w) >= 2, F.transform(F.sequence(F.lit(0), F.size(w) - 2), use)).otherwise(
-        F.array().cast("array<int>"))
-
-
 def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
 
 
+def _bucket(*x: Column) -> Column:
+    return F.xxhash64(*x).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+
+
 def ngram_buckets(w: Column) -> Column:
     """Buckets of all unigrams and bigrams of an array of tokens."""
-    ones = F.transform(w, lambda x: F.pmod(F.xxhash64(x), F.lit(BUCKETS)).cast("int"))
-    twos = _pairs(w, lambda i: F.pmod(F.xxhash64(F.get(w, i), F.get(w, i + 1)),
-                                      F.lit(BUCKETS)).cast("int"))
+    ones = F.transform(w, lambda x: _bucket(x))
+    twos = F.when(F.size(w) >= 2, F.transform(
+        F.sequence(F.lit(0), F.size(w) - 2),
+        lambda i: _bucket(F.get(w, i), F.get(w, i + 1)))).otherwise(F.array().cast("array<int>"))
     return F.concat(ones, twos)
 
 
+FEW = 16                # repeated windows of a text that are looked up one by one
+
+
 def repeated_words(w: Column) -> Column:
     """Number of words that lie in a three-word window which the text holds twice or more."""
-    def exact(n: Column) -> Column:
-        hashes = F.transform(F.sequence(F.lit(0), n - 3),
-                             lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
-
-        def spread(h: Column) -> Column:
-            # equal windows stand side by side once sorted by hash
-            order = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
-            return let(order, lambda o: F.size(F.array_distinct(F.flatten(F.transform(
-                F.filter(o, lambda s, i: (s["x"] == F.get(o, i - 1)["x"]) | (
-                    s["x"] == F.get(o, i + 1)["x"])),
-                lambda s: F.array(s["i"], s["i"] + 1, s["i"] + 2))))))
+    def by_lookup(h: Column, again: Column) -> Column:
+        return F.array_compact(F.transform(h, lambda x, i: F.when(F.array_contains(again, x), i)))
+
+    def by_sorting(h: Column) -> Column:
+        # equal windows stand side by side once sorted by hash
+        order = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
+        return let(order, lambda o: F.sort_array(F.transform(
+            F.filter(o, lambda s, i: (s["x"] == F.get(o, i - 1)["x"]) | (s["x"] == F.get(o, i + 1)["x"])),
+            lambda s: s["i"])))
+
+    def covered(places: Column) -> Column:
+        # a window covers its three words, as far as the next one does not
+        return let(places, lambda p: F.aggregate(F.transform(p, lambda x, i: F.least(
+            F.lit(3), F.coalesce(F.get(p, i + 1) - x, F.lit(3)))), F.lit(0), lambda s, x: s + x))
+
+    def spread(h: Column) -> Column:
+        again = let(F.sort_array(h), lambda o: F.array_distinct(
+            F.filter(o, lambda x, i: x == F.get(o, i + 1))))
+        return let(again, lambda a: covered(
+            F.when(F.size(a) <= FEW, by_lookup(h, a)).otherwise(by_sorting(h))))
 
+    def exact(n: Column) -> Column:
+        hashes = F.transform(F.slice(w, F.lit(3), n), lambda x, i: F.xxhash64(
+            F.get(w, i), F.get(w, i + 1), x))
         return let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), 0)
                    .otherwise(spread(h)))
 
@@ -81,9 +95,8 @@ def _base(text: Column, w: Column) -> dict[str, Column]:
     lines = F.filter(F.split(text, "\n"), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
     return {
         "n_words": F.size(w).cast("long"),
-        "word_chars": F.char_length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")).cast("long"),
-        "n_symbols": (F.char_length(text) - F.char_length(
-            F.translate(text, "#*$%&|<>", ""))).cast("long"),
+        "word_chars": F.char_length(F.array_join(w, "")).cast("long"),
+        "n_symbols": F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long"),
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
         "n_repeat_words": repeated_words(w).cast("long"),
     }
