@@ -154,6 +154,55 @@ def test_nearest_directory_wins(spark):
     assert licenses.scan(files.limit(0)).count() == 0
 
 
+GPL_2 = """{0}This program is free software; you can redistribute it and/or modify
+{0}it under the terms of the GNU General Public License as published by
+{0}the Free Software Foundation; either version 2 of the License, or
+{0}(at your option) any later version.
+{0}
+{0}This program is distributed in the hope that it will be useful,
+{0}but WITHOUT ANY WARRANTY; without even the implied warranty of
+{0}MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""
+
+
+def wrapped(parts, mark=""):
+    return "\n".join(mark + line.strip() for part in parts
+                     for line in [*re.findall(r".{1,65}(?:\s|$)", part), ""])
+
+
+def test_standard_headers_tags_and_files(spark):
+    mit = "MIT License\n\nCopyright (c) 2020 A B\n\n" + wrapped((*licenses._MIT, licenses._MIT_WARRANTY))
+    code = "\n\nint main(void) { return 0; }\n" * 40
+    apache = wrapped(licenses._APACHE, "# ")
+    three, lesser = GPL_2.replace("version 2", "version 3"), GPL_2.replace(
+        "GNU General", "GNU Lesser General").replace("version 2", "version 2.1")
+    cases = [("SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+             ("// SPDX-License-Identifier: MIT", "MIT"),
+             ("# SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0"),
+             ("/* SPDX-License-Identifier: GPL-2.0-only */", "GPL-2.0"),
+             ("This file is MIT licensed.", "MIT"), (GPL_2.format(" * "), "GPL-2.0"),
+             (GPL_2.format("# "), "GPL-2.0"), (three.format(""), "GPL-3.0"),
+             (lesser.format("// "), "LGPL-2.1"), (apache, "Apache-2.0"), ("/*\n" + mit + "*/", "MIT"),
+             ("Licensed under the Foo License.", None),
+             ("All rights reserved. No license is granted.", None),
+             ("He copied the license of a driver, with permission of the court.", None)]
+    rows = [(i, f"r{i}/a.c", text + code) for i, (text, _) in enumerate(cases)]
+    rows += [(100, "lib/LICENSE", mit), (101, "lib/x/y.c", code),
+             (102, "lib/z.c", GPL_2.format("-- ") + code), (103, "own/text.md", mit),
+             (104, "own/deep/er/a", None), (105, "long/a", code * 500 + apache)]
+    files = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r.doc_id: (r.license, r.found) for r in licenses.scan(files).collect()}
+    assert {i: got[i][0] for i in range(len(cases))} == {i: c[1] for i, c in enumerate(cases)}
+    assert got[100] == ("MIT", "file") and got[101] == ("MIT", "inherited")
+    assert got[102] == ("GPL-2.0", "header") and got[103] == ("MIT", "file")
+    assert got[104] == ("MIT", "inherited") and got[105] == ("Apache-2.0", "header")
+
+
+def test_licenses_of_odd_rows(spark):
+    odd = odd_documents(spark, ["This file is MIT licensed."])
+    got = {repr(r.doc_id): r.license for r in licenses.scan(licenses.document_paths(odd)).collect()}
+    assert got["100"] == "MIT" and set(got.values()) == {None, "MIT"}
+
+
 def test_cosine_by_hand(spark):
     rows, idf, rare = licenses.template_weights()
     line = "Licensed under the Apache License, Version 2.1"
