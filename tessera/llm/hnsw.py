@@ -316,7 +316,9 @@ def near_duplicates(table: DataFrame, shard: int = SHARD) -> DataFrame:
               & F.exists(v, lambda c: c != 0))
     # + 0 makes -0 the same as 0, so equal vectors have equal keys
     same = F.transform(v, lambda c: c + F.lit(0).cast("float"))
-    key = F.md5(F.concat_ws(",", F.col("label").cast("string"), same.cast("array<string>"))
+    # the label's length in front: a label that ends like a component is not taken for one
+    label = F.col("label").cast("string")
+    key = F.md5(F.concat_ws(",", F.length(label).cast("string"), label, same.cast("array<string>"))
                 .cast("binary"))
     rows = rows.withColumn("node", F.when(F.coalesce(usable, F.lit(False)), key))
     nodes = written(rows.filter("node IS NOT NULL").groupBy("node").agg(

@@ -5,11 +5,13 @@ from collections import defaultdict
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm.line_dedup import MIN_CHARS, MIN_DOCS, ascii_lower, dedup_lines, repeated_lines
 from tests.llm.conftest import LONG, odd_documents
 
+pytestmark = pytest.mark.usefixtures("few_partitions")
 EDGE = re.compile(r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$")
 
 
@@ -78,7 +80,7 @@ def test_hot_line_of_all_documents(spark):
     assert repeated_lines(df).select("keeper", "n_docs").distinct().collect() == [(2999, 3000)]
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)),
                           st.text(alphabet="aAbBé \t\r\n", max_size=30)), max_size=25))
 def test_random_texts(spark, rows):

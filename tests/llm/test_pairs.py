@@ -201,6 +201,15 @@ def test_embedding_links_by_hand(spark):
     assert hnsw.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_text_labels_are_kept_apart(spark):
+    rows = [(1, [1.0, 2.0], "x"), (2, [2.0], "x,1.0"), (3, [2.0], "x,1.0"), (4, [1.0, 2.0], "x"),
+            (5, [2.0], "x,1.0,"), (6, [1.0, 2.0], ""), (7, [2.0], ",1.0"), (8, [1.0, 2.0], "1,x")]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string")
+    got = Counter((r.vec_id, r.n_links, r.component_id, r.kept)
+                  for r in hnsw.near_duplicates(table).collect())
+    assert got == cosine_by_hand(rows)
+
+
 def test_graph_search_finds_neighbours():
     rng = np.random.default_rng(9)
     x = hnsw._unit(np.repeat(rng.normal(size=(500, 24)), 4, 0) + 0.02 * rng.normal(size=(2000, 24)))

@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm.queries import op12_prefix_trie
@@ -48,6 +49,7 @@ def conversations(rows):
     return {c: [t[3] for t in sorted(v)] for c, v in out.items()}
 
 
+pytestmark = pytest.mark.usefixtures("few_partitions")
 SCHEMA = "conv_id long, turn long, role string, text string"
 
 
@@ -100,10 +102,10 @@ def test_members_without_turns_end_at_the_root(spark):
 
 
 def test_deep_and_hot_conversations(spark):
-    deep = [("user", str(i % 7)) for i in range(1500)]
-    convs = {c: deep[:1500 - (c % 3) * 500] for c in range(40)}
-    convs |= {c: [("user", "hello"), ("bot", "hi"), ("user", str(c))] for c in range(100, 400)}
-    convs[900] = deep[:1200] + [("user", "else")]
+    deep = [("user", str(i % 7)) for i in range(700)]
+    convs = {c: deep[:700 - (c % 3) * 200] for c in range(40)}
+    convs |= {c: [("user", "hello"), ("bot", "hi"), ("user", str(c))] for c in range(100, 250)}
+    convs[900] = deep[:600] + [("user", "else")]
     rows = [(c, i, r, t) for c, turns in convs.items() for i, (r, t) in enumerate(turns)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(8)
     assert rows_of(prefix_trie(df)) == by_prefixes(convs)
