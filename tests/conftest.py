@@ -20,6 +20,16 @@ def spark():
     s.stop()
 
 
+@pytest.fixture
+def few_partitions(spark):
+    """Two shuffle partitions: for tests of many small jobs."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    yield
+    spark.conf.set(key, old)
+
+
 def lines_df(spark, lines, **extra):
     """A ``value`` DataFrame from literal lines (plus optional extra columns)."""
     rows = [(v, *[extra[k][i] for k in extra]) for i, v in enumerate(lines)]
