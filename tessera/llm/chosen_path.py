@@ -163,14 +163,15 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(F.xxhash64(text), F.coalesce(doc_id.cast("string"), F.lit("")))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, rk`` of all rows."""
+    return pick(docs, "doc_id", "text").withColumn("rk", row_key(F.col("doc_id"), F.col("text")))
+
+
 class Asked:
     """Shingle sets of the audited nodes, and the rows of a table that link with them."""
 
-    def __init__(self, texts: list[str]):
-        h, at = shingles(texts)
-        has = np.flatnonzero(np.diff(at))
-        keys = _node_keys(h, at[has]) if len(has) else []
-        own = {key: h[at[i]:at[i + 1]] for key, i in zip(keys, has)}
+    def __init__(self, own: dict[bytes, np.ndarray]):
         self.nodes = set(own)
         self.sizes = np.array([len(x) for x in own.values()], np.int64)
         flat = np.concatenate([np.empty(0, np.uint64), *own.values()])
@@ -208,7 +209,7 @@ class Asked:
 def asked_nodes(docs: DataFrame) -> Asked:
     """The nodes to audit: ``AUDIT`` rows by hash of their key, as far as their texts have
     ``AUDIT_CHARS`` characters together."""
-    rows = pick(docs, "doc_id", "text").withColumn("rk", row_key(F.col("doc_id"), F.col("text")))
+    rows = _keyed(docs)
     drawn = rows.select("rk", F.length("text").alias("n")).filter("n > 0").orderBy(
         F.xxhash64("rk"), "rk").limit(AUDIT).collect()
     keys, size = [], 0
@@ -216,8 +217,9 @@ def asked_nodes(docs: DataFrame) -> Asked:
         if size + r.n <= AUDIT_CHARS:
             keys.append(r.rk)
             size += r.n
-    texts = rows.filter(F.col("rk").isin(keys)).dropDuplicates(["rk"]).select("text").collect()
-    return Asked([r.text for r in texts])
+    # the sets come from tasks: taking the texts apart needs some sixty times their size
+    sets = _shingled(rows.filter(F.col("rk").isin(keys))).dropDuplicates(["node"]).collect()
+    return Asked({bytes(r.node): np.frombuffer(r.shingles, np.uint64) for r in sets})
 
 
 def sketched(docs: DataFrame, asked: Asked) -> DataFrame:
@@ -511,12 +513,8 @@ class _Overlap:
 
 # -- the join -----------------------------------------------------------------------------
 
-def _shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(node, shingles)`` of the rows whose key is wanted."""
-    rows = pick(docs, "doc_id", "text")
-    rows = rows.withColumn("rk", row_key(F.col("doc_id"), F.col("text"))).join(
-        wanted, "rk", "left_semi").select("text")
-
+def _shingled(rows: DataFrame) -> DataFrame:
+    """``(node, shingles)`` of the rows that have a word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(0).to_pylist()
@@ -529,7 +527,7 @@ def _shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                          pa.array([h[at[k]:at[k + 1]].tobytes() for k in has], pa.binary())],
                         names=["node", "shingles"])
 
-    return rows.mapInArrow(run, "node binary, shingles binary")
+    return rows.select("text").mapInArrow(run, "node binary, shingles binary")
 
 
 def _grouped(df: DataFrame) -> DataFrame:
@@ -566,7 +564,7 @@ def node_links(docs: DataFrame, nodes: DataFrame, target: float = TARGET) -> Dat
         wanted = written(known.select("node", "rep").join(
             proposed.select("node").distinct(), "node", "left_semi").select(
             F.col("rep").alias("rk")), "path-wanted")
-        sets = _shingled(docs, wanted).dropDuplicates(["node"])
+        sets = _shingled(_keyed(docs).join(wanted, "rk", "left_semi")).dropDuplicates(["node"])
         found = written(_grouped(proposed.join(sets, "node").select(
             "path", "lo", "hi", "block", "node", "leaves", "copies", "shingles")).mapInArrow(
             _decide, "node binary, n long, root binary, links long, once long, twice long, degree long"),
@@ -594,8 +592,8 @@ def _classes(docs: DataFrame) -> DataFrame:
     roots = components(found.filter("node <> root").select(F.col("node").alias("a"),
                                                            F.col("root").alias("b")))
     counted = found.groupBy("node").agg(F.sum("n").alias("links"))
-    full = nodes.select("node", "copies", "least").join(roots, "node", "left").join(
-        counted, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    full = written(nodes.select("node", "copies", "least").join(roots, "node", "left").join(
+        counted, "node", "left").withColumn("root", F.coalesce("root", "node")), "path-rooted")
     least = full.groupBy("root").agg(F.min("least").alias("class_id"))
     known = written(full.join(least, "root").select(
         "node", "root", "class_id",
@@ -619,8 +617,8 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     rows = _classes(docs).filter("node IS NOT NULL")
     best = rows.groupBy("root").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("rk"))).alias("best"))
-    judged = rows.select("rk", "root").join(best, "root").select(
-        "rk", (F.col("rk") == F.col("best.rk")).alias("stays"))
+    judged = written(rows.select("rk", "root").join(best, "root").select(
+        "rk", (F.col("rk") == F.col("best.rk")).alias("stays")), "path-judged")
     gone = written(judged.filter("NOT stays").select("rk").distinct(), "path-gone")
     again = judged.filter("stays").groupBy("rk").count().filter("count > 1").take(1)
     names = docs.columns

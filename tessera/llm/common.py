@@ -105,7 +105,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     node of its component. Alternates the large-star and small-star steps until
     the edge set is a set of stars around the roots. Every step is a ``min`` per
     node followed by a join, so a node with very many neighbours is combined
-    map-side and its join is one that AQE can split. Each round is checkpointed.
+    map-side and its join is one that AQE can split. Each step is checkpointed and
+    reads its edges twice, so plans, which the driver holds, do not grow from step to
+    step.
     """
     def linked(e: DataFrame) -> DataFrame:
         return e.filter("a <> b").select(F.greatest("a", "b").alias("a"),
@@ -115,25 +117,27 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         least = pairs.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
         return pairs.join(least, "u")
 
-    now = cut(linked(edges))
-    size = (-1, -1)
+    def two(e: DataFrame, first: dict[str, Column], second: dict[str, Column]) -> DataFrame:
+        # both rows out of one, where a union would hold the plan of e twice
+        rows = F.array(*[F.struct(*[c.alias(n) for n, c in x.items()]) for x in (first, second)])
+        return e.select(F.explode(rows).alias("row")).select("row.*")
+
+    a, b, u, v, m = (F.col(c) for c in "abuvm")
+    now, loose = cut(linked(edges)), -1
     for _ in range(max_rounds):
-        both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
-            now.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        large = with_least(both).filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        stars = with_least(linked(large).select(F.col("a").alias("u"), F.col("b").alias("v")))
-        small = stars.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
-            stars.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        after = cut(linked(small))
+        both = two(now, {"u": a, "v": b}, {"u": b, "v": a})
+        large = cut(linked(with_least(both).filter("v > u").select(v.alias("a"), m.alias("b"))))
+        stars = with_least(large.select(a.alias("u"), b.alias("v")))
+        now = cut(linked(two(stars, {"a": v, "b": m}, {"a": u, "b": m})))
         # a star forest has one edge per non-root node and no root that is itself a leaf
-        got = after.agg(F.count("*"), F.countDistinct("a")).first()
-        if got[0] == got[1] and not after.select(F.col("b").alias("n")).join(
-                after.select(F.col("a").alias("n")), "n", "left_semi").take(1):
-            now = after
+        ends = two(now, {"n": a, "leaf": F.lit(1), "root": F.lit(0)},
+                   {"n": b, "leaf": F.lit(0), "root": F.lit(1)})
+        loose = ends.groupBy("n").agg(F.sum("leaf").alias("leaf"), F.max("root").alias("root")).filter(
+            "leaf + root > 1").count()
+        if not loose:
             break
-        now, size = after, (got[0], got[1])
     else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds: {size}")
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds: {loose} nodes are left")
     roots = now.select(F.col("b").alias("node")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         roots.select("node", F.col("node").alias("root")))

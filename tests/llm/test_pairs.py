@@ -282,3 +282,40 @@ def test_pipeline_stages(spark, docs):
     assert out.count() == seen[4] and out.filter("NOT exact").count() == 0
     assert [r.doc_id for r in out.orderBy("doc_id").collect()] == [
         r.doc_id for r in table.orderBy("doc_id").collect()]
+
+
+def test_plans_of_components_stay_small(spark, monkeypatch):
+    """The driver holds the plan of every query; none reads the edges more than twice."""
+    from tessera.llm import common
+    seen, cut = [], common.cut
+
+    def watched(df):
+        seen.append(df._jdf.queryExecution().executedPlan().toString().count("Scan "))
+        return cut(df)
+
+    monkeypatch.setattr(common, "cut", watched)
+    edges = spark.range(40).selectExpr("id + 1 AS a", "id AS b")
+    edges = edges.unionByName(edges.selectExpr("a + 100 AS a", "b + 100 AS b")).localCheckpoint()
+    got = {r.node: r.root for r in components(edges).collect()}
+    assert got == {i + k: k for i in range(41) for k in (0, 100)}
+    assert len(seen) > 2 and max(seen) <= 2
+
+
+def test_audited_texts_stay_in_the_tasks(spark, monkeypatch):
+    """The driver gets the shingle sets of the audited nodes, and takes no text apart itself."""
+    rows = [(i, " ".join(f"w{i}_{j}" for j in range(9))) for i in range(20)]
+    table = spark.createDataFrame([*rows, *rows, (30, "few words"), (31, " "), (32, None)],
+                                  "doc_id long, text string")
+    h, at = chosen_path.shingles([t for _, t in rows] + ["few words"])
+    want = set(chosen_path._node_keys(h, at[:-1]))
+
+    shingles = chosen_path.shingles
+
+    def in_tasks(texts):
+        from pyspark import TaskContext
+        assert TaskContext.get() is not None, "texts on the driver"
+        return shingles(texts)
+
+    monkeypatch.setattr(chosen_path, "shingles", in_tasks)
+    asked = chosen_path.asked_nodes(table)
+    assert asked.nodes == want and asked.sizes.sum() == len(h)
